@@ -1,0 +1,2 @@
+"""Streaming: the original system is batch-only and names real-time updates
+only as future work, so no streaming operator is built (see README)."""
