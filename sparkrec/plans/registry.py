@@ -66,3 +66,341 @@ WHERE rank <= 10""", _pop_base(POP_M)))
 def q_popular_items_for_users(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r1")
     return pop.popular_items_for_users(d.train, d.items, n=10, min_ratings=POP_M)
+
+
+def _stats_cte(name: str, m: int) -> str:
+    """Item stats with unrounded v, r and weighted rating, v >= m."""
+    return f"""
+{name} AS (SELECT s.item_id, s.v, s.r, {wr('s.v', 's.r', m, 'cm.c')} AS wr
+           FROM (SELECT item_id, count(*) AS v, sum(rating) / count(*) AS r FROM train
+                 GROUP BY item_id HAVING count(*) >= {m}) s
+           CROSS JOIN (SELECT sum(rating) / count(*) AS c FROM train) cm)"""
+
+
+def _epoch(col: str) -> str:
+    return f"date_diff('second', TIMESTAMP '1970-01-01 00:00:00', {col})"
+
+
+@register("similarity_seed_items", with_views("r2", """
+SELECT item_id, rating_count, seed_rank FROM (
+  SELECT item_id, count(*) AS rating_count,
+         row_number() OVER (ORDER BY count(*) DESC, item_id) AS seed_rank
+  FROM train GROUP BY item_id HAVING count(*) >= 30) WHERE seed_rank <= 500"""))
+def q_similarity_seed_items(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return pop.similarity_seed_items(d.train, min_ratings=30, limit=500)
+
+
+@register("volume_popularity", with_views("r1", f"""
+SELECT * FROM (
+  SELECT s.item_id, i.title, s.v AS rating_count, s.r AS avg_rating, s.v * s.r AS weighted_rating,
+         row_number() OVER (ORDER BY s.v * s.r DESC, s.item_id) AS rank
+  FROM (SELECT item_id, count(*) AS v, sum(rating) / count(*) AS r FROM train
+        GROUP BY item_id HAVING count(*) >= {POP_M}) s JOIN items i ON s.item_id = i.item_id)
+WHERE rank <= 10"""))
+def q_volume_popularity(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return pop.volume_popularity(d.train, d.items, n=10, min_ratings=POP_M)
+
+
+# ------------------------------------------------------------------ cleaning
+from sparkrec.operators import cleaning  # noqa: E402
+from sparkrec.sources import fixtures  # noqa: E402
+from sparkrec.sources.tables import read_table  # noqa: E402
+
+
+@register("title_year", with_views(None, "SELECT item_id, title, release_year FROM items"))
+def q_title_year(spark, sf_dir):
+    return cleaning.title_year(fixtures.items_raw_view(spark, sf_dir))
+
+
+@register("genre_dictionary", with_views(None, "SELECT genre_id, genre_name FROM genres"))
+def q_genre_dictionary(spark, sf_dir):
+    return cleaning.genre_dictionary(fixtures.items_raw_view(spark, sf_dir))
+
+
+@register("item_genre_bridge", with_views(None, "SELECT item_id, genre_id FROM item_genres"))
+def q_item_genre_bridge(spark, sf_dir):
+    raw = fixtures.items_raw_view(spark, sf_dir)
+    return cleaning.item_genre_bridge(raw, cleaning.genre_dictionary(raw))
+
+
+@register("item_genre_string", with_views(None, """
+SELECT i.item_id, gs.genres FROM items i LEFT JOIN genre_strings gs ON i.item_id = gs.item_id"""))
+def q_item_genre_string(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return d.items.select("item_id").join(d.genre_strings, "item_id", "left")
+
+
+@register("rating_range_filter", """
+SELECT count(*) FILTER (WHERE r BETWEEN 0.5 AND 5.0) AS kept,
+       count(*) FILTER (WHERE NOT (r BETWEEN 0.5 AND 5.0) OR r IS NULL) AS rejected
+FROM (SELECT CAST((1 + floor(value / 8)) * 0.5 AS DOUBLE) AS r FROM events)""")
+def q_rating_range_filter(spark, sf_dir):
+    return cleaning.rating_range_report(fixtures.ratings_r2_uncapped_view(spark, sf_dir))
+
+
+@register("rating_step_check", """
+SELECT value, count(*) AS n_rows,
+       coalesce(value BETWEEN 0.5 AND 5.0
+                AND abs(value - (0.5 + round_even((value - 0.5) / 0.5, 0) * 0.5)) <= 0.001,
+                false) AS is_valid
+FROM (SELECT l_quantity / 10 AS value FROM lineitem) GROUP BY value""")
+def q_rating_step_check(spark, sf_dir):
+    from pyspark.sql import functions as F
+    vals = read_table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 10).alias("value"))
+    return cleaning.rating_step_report(vals, "value")
+
+
+@register("row_count_audit", with_views("r1", """
+SELECT (SELECT count(*) FROM users) AS users, (SELECT count(*) FROM items) AS items,
+       (SELECT count(*) FROM genres) AS genres, (SELECT count(*) FROM item_genres) AS item_genres,
+       (SELECT count(*) FROM ratings) AS ratings"""))
+def q_row_count_audit(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return cleaning.row_count_audit(d.users, d.items, d.genres, d.item_genres, d.ratings)
+
+
+# --------------------------------------------------------------------- split
+from sparkrec.operators import split as split_ops  # noqa: E402
+from sparkrec.operators.lookup import epoch_seconds  # noqa: E402
+
+
+@register("min_activity_filter", with_views("r1", f"""
+SELECT rating_id, user_id, item_id, rating, {_epoch('ts')} AS timestamp FROM ratings
+WHERE user_id IN (SELECT user_id FROM ratings GROUP BY user_id HAVING count(*) >= 5)"""))
+def q_min_activity_filter(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    f = split_ops.min_activity_filter(d.ratings, 5)
+    return f.select("rating_id", "user_id", "item_id", "rating",
+                    epoch_seconds("ts").alias("timestamp"))
+
+
+@register("split_by_time", with_views("r1", """
+SELECT rating_id, user_id, item_id, rating, is_test FROM labelled"""))
+def q_split_by_time(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    from pyspark.sql import functions as F
+    return (d.train.select("rating_id", "user_id", "item_id", "rating", F.lit(False).alias("is_test"))
+            .unionByName(d.test.select("rating_id", "user_id", "item_id", "rating",
+                                       F.lit(True).alias("is_test"))))
+
+
+@register("split_by_time_r2", with_views("r2", """
+SELECT rating_id, user_id, item_id, rating, is_test FROM labelled"""))
+def q_split_by_time_r2(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    from pyspark.sql import functions as F
+    return (d.train.select("rating_id", "user_id", "item_id", "rating", F.lit(False).alias("is_test"))
+            .unionByName(d.test.select("rating_id", "user_id", "item_id", "rating",
+                                       F.lit(True).alias("is_test"))))
+
+
+@register("split_stats", with_views("r1", """
+SELECT dataset, count, unique_users, unique_items, avg_rating,
+       count / sum(count) OVER () AS ratio FROM (
+  SELECT 'Train' AS dataset, count(*) AS count, count(DISTINCT user_id) AS unique_users,
+         count(DISTINCT item_id) AS unique_items, sum(rating) / count(rating) AS avg_rating FROM train
+  UNION ALL
+  SELECT 'Test', count(*), count(DISTINCT user_id), count(DISTINCT item_id),
+         sum(rating) / count(rating) FROM test)"""))
+def q_split_stats(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return split_ops.split_stats(d.train, d.test)
+
+
+# ------------------------------------------------------------------- profile
+from sparkrec.operators import profile  # noqa: E402
+
+
+@register("rating_distribution", with_views("r1", """
+SELECT rating, count(*) AS count, count(*) / sum(count(*)) OVER () AS share,
+       (SELECT sum(rating) / count(rating) FROM ratings) AS mean_rating,
+       (SELECT CAST(median(rating) AS DOUBLE) FROM ratings) AS median_rating,
+       (SELECT sqrt((sum(rating * rating) - sum(rating) * sum(rating) / CAST(count(rating) AS DOUBLE))
+                    / (CAST(count(rating) AS DOUBLE) - 1.0)) FROM ratings) AS std_rating
+FROM ratings GROUP BY rating"""))
+def q_rating_distribution(spark, sf_dir):
+    return profile.rating_distribution(datasets.load(spark, sf_dir, "r1").ratings)
+
+
+def _bucket_sql(key: str, unit: str, edges: list[tuple[str, int | None, int | None]]) -> str:
+    whens = []
+    for label, lo, hi in edges:
+        conds = ([f"n >= {lo}"] if lo is not None else []) + ([f"n <= {hi}"] if hi is not None else [])
+        whens.append(f"WHEN {' AND '.join(conds)} THEN '{label}'")
+    return f"""
+SELECT CASE {' '.join(whens)} END AS bucket, count(*) AS {unit},
+       (SELECT min(n) FROM c) AS min_ratings,
+       (SELECT CAST(median(n) AS DOUBLE) FROM c) AS median_ratings,
+       (SELECT max(n) FROM c) AS max_ratings
+FROM c GROUP BY 1"""
+
+
+@register("user_activity_profile", with_views(
+    "r1", _bucket_sql("user_id", "users", profile.USER_BUCKETS),
+    "c AS (SELECT user_id, count(*) AS n FROM ratings GROUP BY user_id)"))
+def q_user_activity_profile(spark, sf_dir):
+    return profile.user_activity_profile(datasets.load(spark, sf_dir, "r1").ratings)
+
+
+@register("item_popularity_profile", with_views(
+    "r1", _bucket_sql("item_id", "items", profile.ITEM_BUCKETS),
+    "c AS (SELECT item_id, count(*) AS n FROM ratings GROUP BY item_id)"))
+def q_item_popularity_profile(spark, sf_dir):
+    return profile.item_popularity_profile(datasets.load(spark, sf_dir, "r1").ratings)
+
+
+@register("top_rated_items_by_count", with_views("r1", """
+SELECT * FROM (
+  SELECT s.item_id, i.title, i.release_year, s.rating_count, s.avg_rating,
+         row_number() OVER (ORDER BY s.rating_count DESC, s.item_id) AS rank
+  FROM (SELECT item_id, count(*) AS rating_count, sum(rating) / count(*) AS avg_rating
+        FROM ratings GROUP BY item_id) s JOIN items i ON s.item_id = i.item_id)
+WHERE rank <= 10"""))
+def q_top_rated_items_by_count(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return profile.top_rated_items_by_count(d.ratings, d.items, 10)
+
+
+@register("matrix_stats", with_views("r1", """
+SELECT n_users, n_items, nnz,
+       100.0 * (1.0 - nnz / (CAST(n_users AS DOUBLE) * CAST(n_items AS DOUBLE))) AS sparsity_pct
+FROM (SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+             count(*) AS nnz FROM train)"""))
+def q_matrix_stats(spark, sf_dir):
+    return profile.matrix_stats(datasets.load(spark, sf_dir, "r1").train)
+
+
+@register("genre_profile", with_views("r1", """
+SELECT genre_name, rating_count, share, avg_rating,
+       row_number() OVER (ORDER BY rating_count DESC, genre_name) AS rank_by_count,
+       row_number() OVER (ORDER BY avg_rating DESC, genre_name) AS rank_by_avg
+FROM (SELECT g.genre_name, count(*) AS rating_count,
+             count(*) / (SELECT count(*) FROM ratings) AS share,
+             sum(r.rating) / count(*) AS avg_rating
+      FROM ratings r JOIN item_genres ig ON r.item_id = ig.item_id
+      JOIN genres g ON ig.genre_id = g.genre_id GROUP BY g.genre_name)"""))
+def q_genre_profile(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return profile.genre_profile(d.ratings, d.item_genres, d.genres)
+
+
+# --------------------------------------------------------------------- genre
+from sparkrec.operators import genre as genre_ops  # noqa: E402
+
+GENRE_M = 20
+
+_PREF_CTE = """
+ug AS (SELECT t.user_id, ig.genre_id, g.genre_name, count(*) AS rating_count, sum(t.rating) AS pref
+       FROM train t JOIN item_genres ig ON t.item_id = ig.item_id
+       JOIN genres g ON ig.genre_id = g.genre_id
+       GROUP BY t.user_id, ig.genre_id, g.genre_name HAVING count(*) >= 3)"""
+
+
+@register("user_genre_preference", with_views("r1", f"""
+SELECT user_id, rank, genre_name, rating_count, avg_rating, preference_score FROM (
+  SELECT user_id, genre_name, rating_count, {rnd('pref / rating_count', 2)} AS avg_rating,
+         {rnd('pref', 2)} AS preference_score,
+         row_number() OVER (PARTITION BY user_id ORDER BY {rnd('pref', 2)} DESC, genre_name) AS rank
+  FROM ug) WHERE rank <= 3""", _PREF_CTE))
+def q_user_genre_preference(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return genre_ops.user_genre_preference(d.train, d.item_genres, d.genres)
+
+
+def _genre_rec_sql(n: int, m: int, top_g: int = 3) -> tuple[str, str]:
+    ctes = _PREF_CTE + "," + _stats_cte("gstats", m) + f""",
+pref AS (SELECT user_id, genre_id, genre_name, pref FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pref DESC, genre_name) AS grn
+           FROM ug) WHERE grn <= {top_g}),
+gm AS (SELECT DISTINCT p.user_id, ig.item_id, p.genre_name, p.pref
+       FROM pref p JOIN item_genres ig ON ig.genre_id = p.genre_id
+       WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = p.user_id AND t.item_id = ig.item_id)),
+ms AS (SELECT gm.user_id, gm.item_id, gm.genre_name, s.v, s.r, s.wr,
+              s.wr * (gm.pref / 100.0) AS combined
+       FROM gm JOIN gstats s ON gm.item_id = s.item_id),
+genre_recs AS (
+  SELECT ms.user_id,
+         row_number() OVER (PARTITION BY ms.user_id
+                            ORDER BY ms.combined DESC, ms.wr DESC, ms.item_id, ms.genre_name) AS rank,
+         ms.item_id, i.title, i.release_year, ms.genre_name AS preferred_genre, gs.genres,
+         ms.v AS rating_count, {rnd('ms.r', 2)} AS avg_rating, {rnd('ms.wr', 2)} AS weighted_rating,
+         {rnd('ms.combined', 2)} AS combined_score
+  FROM ms JOIN items i ON ms.item_id = i.item_id
+  LEFT JOIN genre_strings gs ON ms.item_id = gs.item_id)"""
+    return ctes, f"SELECT * FROM genre_recs WHERE rank <= {n}"
+
+
+_ctes, _sel = _genre_rec_sql(10, GENRE_M)
+
+
+@register("genre_recommendations", with_views("r1", _sel, _ctes))
+def q_genre_recommendations(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
+                                           d.genre_strings, n=10, min_movie_ratings=GENRE_M)
+
+
+# -------------------------------------------------------------------- lookup
+from sparkrec.operators import lookup  # noqa: E402
+
+
+@register("user_profile", with_views("r1", f"""
+SELECT u.user_id, u.gender, u.age, u.occupation, count(t.rating) AS total_ratings,
+       {rnd('sum(t.rating) / count(t.rating)', 2)} AS avg_rating
+FROM users u LEFT JOIN train t ON u.user_id = t.user_id
+GROUP BY u.user_id, u.gender, u.age, u.occupation"""))
+def q_user_profile(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.user_profile(d.users, d.train)
+
+
+@register("user_list", with_views(None, "SELECT DISTINCT user_id FROM users"))
+def q_user_list(spark, sf_dir):
+    return lookup.user_list(fixtures.users_view(spark, sf_dir))
+
+
+_HISTORY = f"""
+hist AS (
+  SELECT t.user_id,
+         row_number() OVER (PARTITION BY t.user_id ORDER BY t.rating DESC, t.ts DESC, t.item_id) AS rank,
+         t.item_id, i.title, gs.genres, t.rating, {_epoch('t.ts')} AS timestamp
+  FROM train t JOIN items i ON t.item_id = i.item_id
+  LEFT JOIN genre_strings gs ON t.item_id = gs.item_id)"""
+
+
+@register("watch_history", with_views("r1", "SELECT * FROM hist WHERE rank <= 50", _HISTORY))
+def q_watch_history(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.watch_history(d.train, d.items, d.genre_strings, limit=50)
+
+
+@register("history_rating_filter", with_views(
+    "r1", "SELECT * FROM hist WHERE rank <= 50 AND rating >= 4.0", _HISTORY))
+def q_history_rating_filter(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.history_rating_filter(
+        lookup.watch_history(d.train, d.items, d.genre_strings, limit=50), 4.0)
+
+
+SEARCH_TERM = "gear"
+
+
+@register("title_search", with_views("r1", f"""
+SELECT * FROM (
+  SELECT item_id, title, genres, avg_rating, rating_count, distinct_rating_count,
+         row_number() OVER (ORDER BY rating_count DESC, item_id) AS rank
+  FROM (SELECT i.item_id, i.title,
+               (SELECT string_agg(DISTINCT g.genre_name, '|' ORDER BY g.genre_name)
+                FROM item_genres ig JOIN genres g ON ig.genre_id = g.genre_id
+                WHERE ig.item_id = i.item_id) AS genres,
+               coalesce((SELECT sum(t.rating) / count(t.rating) FROM train t WHERE t.item_id = i.item_id), 0.0) AS avg_rating,
+               (SELECT count(t.rating) FROM items i2 LEFT JOIN item_genres ig ON i2.item_id = ig.item_id
+                JOIN train t ON t.item_id = i2.item_id WHERE i2.item_id = i.item_id) AS rating_count,
+               (SELECT count(t.rating) FROM train t WHERE t.item_id = i.item_id) AS distinct_rating_count
+        FROM items i WHERE lower(i.title) LIKE '%{SEARCH_TERM}%'))
+WHERE rank <= 20"""))
+def q_title_search(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.title_search(d.items, d.item_genres, d.genres, d.train, SEARCH_TERM, 20)
