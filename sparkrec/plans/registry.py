@@ -404,3 +404,125 @@ WHERE rank <= 20"""))
 def q_title_search(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r1")
     return lookup.title_search(d.items, d.item_genres, d.genres, d.train, SEARCH_TERM, 20)
+
+
+# ---------------------------------------------------------------- similarity
+from sparkrec.operators import similarity as sim_ops  # noqa: E402
+
+SEED_MIN, SEED_LIMIT, MIN_COMMON = 30, 500, 20
+
+
+def r2_similarities(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
+    seed = pop.similarity_seed_items(d.train, SEED_MIN, SEED_LIMIT)
+    return seed, sim_ops.item_similarities(d.train, seed, MIN_COMMON)
+
+
+_SIM_CTES = f"""
+seed AS (SELECT item_id, seed_rank FROM (
+           SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS seed_rank
+           FROM train GROUP BY item_id HAVING count(*) >= {SEED_MIN}) WHERE seed_rank <= {SEED_LIMIT}),
+pair_parts AS (
+  SELECT a.item_id AS item_id_1, b.item_id AS item_id_2, count(r1.user_id) AS common_users,
+         sum(r1.rating * r2.rating) AS dot, sqrt(sum(r1.rating * r1.rating)) AS m1,
+         sqrt(sum(r2.rating * r2.rating)) AS m2
+  FROM seed a JOIN seed b ON a.item_id < b.item_id
+  JOIN train r1 ON r1.item_id = a.item_id
+  JOIN train r2 ON r2.item_id = b.item_id AND r2.user_id = r1.user_id
+  GROUP BY a.item_id, b.item_id HAVING count(r1.user_id) >= {MIN_COMMON}),
+sims AS (SELECT item_id_1, item_id_2, common_users, {rnd('dot / (m1 * m2)', 4)} AS similarity_score
+         FROM pair_parts WHERE m1 > 0 AND m2 > 0),
+edges AS (SELECT item_id_1 AS src, item_id_2 AS dst, similarity_score, common_users FROM sims
+          UNION ALL
+          SELECT item_id_2, item_id_1, similarity_score, common_users FROM sims),
+liked_edges AS (
+  SELECT t.user_id, e.src, e.dst, e.similarity_score, t.rating
+  FROM train t JOIN sims s ON t.item_id IN (s.item_id_1, s.item_id_2)
+  JOIN edges e ON e.src = t.item_id AND e.dst = CASE WHEN s.item_id_1 = t.item_id THEN s.item_id_2 ELSE s.item_id_1 END
+  WHERE t.rating >= 4.0
+    AND NOT EXISTS (SELECT 1 FROM train w WHERE w.user_id = t.user_id AND w.item_id = e.dst))"""
+
+
+@register("item_similarities", with_views("r2", "SELECT * FROM sims", _SIM_CTES))
+def q_item_similarities(spark, sf_dir):
+    return r2_similarities(datasets.load(spark, sf_dir, "r2"))[1]
+
+
+@register("pair_similarity", with_views("r2", f"""
+SELECT a.item_id AS item_id_1, b.item_id AS item_id_2, count(*) AS common_users,
+       CASE WHEN sum(r1.rating * r1.rating) > 0 AND sum(r2.rating * r2.rating) > 0
+            THEN sum(r1.rating * r2.rating) / (sqrt(sum(r1.rating * r1.rating)) * sqrt(sum(r2.rating * r2.rating)))
+            ELSE 0.0 END AS similarity
+FROM seed a JOIN seed b ON a.seed_rank < b.seed_rank
+JOIN train r1 ON r1.item_id = a.item_id
+JOIN train r2 ON r2.item_id = b.item_id AND r2.user_id = r1.user_id
+GROUP BY a.item_id, b.item_id HAVING count(*) >= {MIN_COMMON}""", _SIM_CTES))
+def q_pair_similarity(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    seed = pop.similarity_seed_items(d.train, SEED_MIN, SEED_LIMIT)
+    return sim_ops.pair_similarity_batch(d.train, seed, MIN_COMMON)
+
+
+@register("similarity_summary", with_views("r2", """
+SELECT (SELECT count(*) FROM seed) AS items,
+       CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT) AS possible_pairs,
+       count(*) AS pairs_found,
+       CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE) / count(*) AS score_mean,
+       median(similarity_score) AS score_median, min(similarity_score) AS score_min,
+       max(similarity_score) AS score_max,
+       CAST(sum(common_users) AS DOUBLE) / count(*) AS common_mean,
+       median(CAST(common_users AS DOUBLE)) AS common_median,
+       min(common_users) AS common_min, max(common_users) AS common_max,
+       count(*) / CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT) * 100.0
+         AS coverage_pct
+FROM sims""", _SIM_CTES))
+def q_similarity_summary(spark, sf_dir):
+    seed, sims = r2_similarities(datasets.load(spark, sf_dir, "r2"))
+    return sim_ops.similarity_summary(sims, seed)
+
+
+@register("similar_items", with_views("r2", """
+SELECT * FROM (
+  SELECT e.src AS item_id,
+         row_number() OVER (PARTITION BY e.src ORDER BY e.similarity_score DESC, e.dst) AS rank,
+         e.dst AS similar_item_id, i.title, gs.genres, e.similarity_score, e.common_users
+  FROM edges e JOIN items i ON i.item_id = e.dst LEFT JOIN genre_strings gs ON gs.item_id = e.dst)
+WHERE rank <= 10""", _SIM_CTES))
+def q_similar_items(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return sim_ops.similar_items(r2_similarities(d)[1], d.items, d.genre_strings, n=10)
+
+
+_CF_CTES = _SIM_CTES + f""",
+cf_agg AS (
+  SELECT user_id, dst AS item_id,
+         sum(CAST(similarity_score AS DECIMAL(6,4)) * CAST(rating AS DECIMAL(3,1))) AS exact,
+         count(DISTINCT src) AS based_on_count,
+         string_agg(DISTINCT CAST(src AS VARCHAR), ',' ORDER BY CAST(src AS VARCHAR)) AS based_on_items
+  FROM liked_edges GROUP BY user_id, dst),
+cf_recs AS (
+  SELECT c.user_id, row_number() OVER (PARTITION BY c.user_id ORDER BY c.exact DESC, c.item_id) AS rank,
+         c.item_id, i.title, gs.genres,
+         CAST(round(c.exact * CAST(0.2 AS DECIMAL(2,1)), 4) AS DOUBLE) AS recommendation_score,
+         c.based_on_count, c.based_on_items
+  FROM cf_agg c JOIN items i ON i.item_id = c.item_id LEFT JOIN genre_strings gs ON gs.item_id = c.item_id)"""
+
+
+@register("cf_recommendations", with_views("r2", "SELECT * FROM cf_recs WHERE rank <= 10", _CF_CTES))
+def q_cf_recommendations(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return sim_ops.cf_recommendations(d.train, r2_similarities(d)[1], d.items, d.genre_strings, n=10)
+
+
+@register("cf_predicted_rating", with_views("r2", """
+SELECT user_id, rank, item_id, predicted_rating, source_count FROM (
+  SELECT user_id, item_id, predicted_rating, source_count,
+         row_number() OVER (PARTITION BY user_id ORDER BY predicted_rating DESC, item_id) AS rank
+  FROM (SELECT user_id, dst AS item_id,
+               CAST(sum(CAST(similarity_score AS DECIMAL(6,4)) * CAST(rating AS DECIMAL(3,1))) AS DOUBLE)
+               / CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE) AS predicted_rating,
+               count(*) AS source_count
+        FROM liked_edges GROUP BY user_id, dst HAVING count(*) >= 2))
+WHERE rank <= 10""", _CF_CTES))
+def q_cf_predicted_rating(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return sim_ops.cf_predicted_rating(d.train, r2_similarities(d)[1], n=10)
