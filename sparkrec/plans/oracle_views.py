@@ -13,6 +13,11 @@ def rnd(expr: str, scale: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,6)), {scale}) AS DOUBLE)"
 
 
+def mr(expr: str) -> str:
+    """Metric rounding to 12 decimals (same recipe as the Spark side)."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,18)), 12) AS DOUBLE)"
+
+
 def wr(v: str, r: str, m: int, c: str) -> str:
     """Bayesian weighted rating in double precision."""
     vd = f"CAST({v} AS DOUBLE)"

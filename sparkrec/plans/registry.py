@@ -417,10 +417,11 @@ def r2_similarities(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
     return seed, sim_ops.item_similarities(d.train, seed, MIN_COMMON)
 
 
-_SIM_CTES = f"""
+def _sim_ctes(seed_min: int, seed_limit: int, min_common: int) -> str:
+    return f"""
 seed AS (SELECT item_id, seed_rank FROM (
            SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS seed_rank
-           FROM train GROUP BY item_id HAVING count(*) >= {SEED_MIN}) WHERE seed_rank <= {SEED_LIMIT}),
+           FROM train GROUP BY item_id HAVING count(*) >= {seed_min}) WHERE seed_rank <= {seed_limit}),
 pair_parts AS (
   SELECT a.item_id AS item_id_1, b.item_id AS item_id_2, count(r1.user_id) AS common_users,
          sum(r1.rating * r2.rating) AS dot, sqrt(sum(r1.rating * r1.rating)) AS m1,
@@ -428,7 +429,7 @@ pair_parts AS (
   FROM seed a JOIN seed b ON a.item_id < b.item_id
   JOIN train r1 ON r1.item_id = a.item_id
   JOIN train r2 ON r2.item_id = b.item_id AND r2.user_id = r1.user_id
-  GROUP BY a.item_id, b.item_id HAVING count(r1.user_id) >= {MIN_COMMON}),
+  GROUP BY a.item_id, b.item_id HAVING count(r1.user_id) >= {min_common}),
 sims AS (SELECT item_id_1, item_id_2, common_users, {rnd('dot / (m1 * m2)', 4)} AS similarity_score
          FROM pair_parts WHERE m1 > 0 AND m2 > 0),
 edges AS (SELECT item_id_1 AS src, item_id_2 AS dst, similarity_score, common_users FROM sims
@@ -436,12 +437,14 @@ edges AS (SELECT item_id_1 AS src, item_id_2 AS dst, similarity_score, common_us
           SELECT item_id_2, item_id_1, similarity_score, common_users FROM sims),
 liked_edges AS (
   SELECT t.user_id, e.src, e.dst, e.similarity_score, t.rating
-  FROM train t JOIN sims s ON t.item_id IN (s.item_id_1, s.item_id_2)
-  JOIN edges e ON e.src = t.item_id AND e.dst = CASE WHEN s.item_id_1 = t.item_id THEN s.item_id_2 ELSE s.item_id_1 END
+  FROM train t JOIN edges e ON e.src = t.item_id
   WHERE t.rating >= 4.0
     AND NOT EXISTS (SELECT 1 FROM train w WHERE w.user_id = t.user_id AND w.item_id = e.dst))"""
 
 
+_SIM_CTES = _sim_ctes(SEED_MIN, SEED_LIMIT, MIN_COMMON)
+
+
 @register("item_similarities", with_views("r2", "SELECT * FROM sims", _SIM_CTES))
 def q_item_similarities(spark, sf_dir):
     return r2_similarities(datasets.load(spark, sf_dir, "r2"))[1]
@@ -492,7 +495,7 @@ def q_similar_items(spark, sf_dir):
     return sim_ops.similar_items(r2_similarities(d)[1], d.items, d.genre_strings, n=10)
 
 
-_CF_CTES = _SIM_CTES + f""",
+_CF_AGG = """,
 cf_agg AS (
   SELECT user_id, dst AS item_id,
          sum(CAST(similarity_score AS DECIMAL(6,4)) * CAST(rating AS DECIMAL(3,1))) AS exact,
@@ -505,6 +508,7 @@ cf_recs AS (
          CAST(round(c.exact * CAST(0.2 AS DECIMAL(2,1)), 4) AS DOUBLE) AS recommendation_score,
          c.based_on_count, c.based_on_items
   FROM cf_agg c JOIN items i ON i.item_id = c.item_id LEFT JOIN genre_strings gs ON gs.item_id = c.item_id)"""
+_CF_CTES = _SIM_CTES + _CF_AGG
 
 
 @register("cf_recommendations", with_views("r2", "SELECT * FROM cf_recs WHERE rank <= 10", _CF_CTES))
@@ -526,3 +530,223 @@ WHERE rank <= 10""", _CF_CTES))
 def q_cf_predicted_rating(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r2")
     return sim_ops.cf_predicted_rating(d.train, r2_similarities(d)[1], n=10)
+
+
+# ---------------------------------------------------------------- evaluation
+from pyspark.sql import functions as F  # noqa: E402
+
+from sparkrec.operators import metrics as met  # noqa: E402
+from sparkrec.plans.oracle_views import mr  # noqa: E402
+
+EVAL_MIN_TEST, EVAL_LIMIT, K = 10, 1000, 10
+R1_SEED_MIN, R1_MIN_COMMON = 20, 2
+
+
+def r1_eval(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
+    users = met.eval_users_heavy(d.test, EVAL_LIMIT, EVAL_MIN_TEST).select("user_id")
+    return users, met.ground_truth(d.test, users)
+
+
+def r1_recommenders(d: datasets.RatingData, users: DataFrame, n: int = K) -> dict[str, DataFrame]:
+    seed = pop.similarity_seed_items(d.train, R1_SEED_MIN, SEED_LIMIT)
+    sims = sim_ops.item_similarities(d.train, seed, R1_MIN_COMMON)
+    return {
+        "popularity": pop.popular_items_for_users(d.train, d.items, users, n=n, min_ratings=POP_M),
+        "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
+                                                 d.genre_strings, users=users, n=n,
+                                                 min_movie_ratings=GENRE_M),
+        "cf": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings, users=users, n=n),
+    }
+
+
+_EVAL_CTES = f"""
+ev_users AS (SELECT user_id FROM test GROUP BY user_id HAVING count(*) >= {EVAL_MIN_TEST}
+             ORDER BY count(*) DESC, user_id LIMIT {EVAL_LIMIT}),
+truth AS (SELECT u.user_id, t.item_id FROM ev_users u
+          LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
+""" + _pop_base(POP_M) + f""",
+pop_recs AS (
+  SELECT user_id, rank, item_id FROM (
+    SELECT u.user_id, p.item_id,
+           row_number() OVER (PARTITION BY u.user_id
+                              ORDER BY p.weighted_rating DESC, p.rating_count DESC, p.item_id) AS rank
+    FROM ev_users u CROSS JOIN pop p
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = p.item_id))
+  WHERE rank <= {K})"""
+
+_ALL_RECS_CTES = (_EVAL_CTES + "," + _genre_rec_sql(K, GENRE_M)[0] + ","
+                  + _sim_ctes(R1_SEED_MIN, SEED_LIMIT, R1_MIN_COMMON) + _CF_AGG + f""",
+stacked AS (
+  SELECT 'popularity' AS algorithm, user_id, rank, item_id FROM pop_recs
+  UNION ALL
+  SELECT 'genre', user_id, rank, item_id FROM genre_recs
+  WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users)
+  UNION ALL
+  SELECT 'cf', user_id, rank, item_id FROM cf_recs
+  WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users))""")
+
+
+def _metric_sql(recs: str, k: int, algos: list[str] | None = None) -> tuple[str, str]:
+    """(ctes, select) computing hit rate / precision / recall of `recs`."""
+    a = "algorithm, " if algos else ""
+    base_x = (" CROSS JOIN (VALUES " + ", ".join(f"('{x}')" for x in algos) + ") v(algorithm)"
+              if algos else "")
+    join_a = " AND h.algorithm = b.algorithm" if algos else ""
+    ctes = f"""
+rk AS (SELECT DISTINCT {a}user_id, item_id FROM {recs} WHERE rank <= {k}),
+ti AS (SELECT DISTINCT user_id, item_id FROM truth WHERE item_id IS NOT NULL),
+hits AS (SELECT {a}user_id, count(*) AS hits FROM rk JOIN ti USING (user_id, item_id)
+         GROUP BY {a}user_id),
+sizes AS (SELECT user_id, count(*) AS n_truth FROM ti GROUP BY user_id),
+base AS (SELECT * FROM (SELECT DISTINCT user_id FROM ev_users
+                        WHERE user_id IN (SELECT user_id FROM truth)){base_x}),
+pu AS (SELECT {'b.algorithm, ' if algos else ''}b.user_id, coalesce(h.hits, 0) AS hits,
+              coalesce(s.n_truth, 0) AS n_truth
+       FROM base b LEFT JOIN hits h ON h.user_id = b.user_id{join_a}
+       LEFT JOIN sizes s ON s.user_id = b.user_id),
+summary AS (
+  SELECT {a}count(*) AS n_users,
+         {mr('sum(CASE WHEN hits > 0 THEN 1 ELSE 0 END) / count(*)')} AS hit_rate,
+         {mr(f'sum(hits) / (count(*) * {k})')} AS precision,
+         {mr('sum(CASE WHEN n_truth > 0 THEN hits / n_truth ELSE 0.0 END) / count(*)')} AS recall,
+         {k} AS k
+  FROM pu {'GROUP BY algorithm' if algos else ''})"""
+    return ctes, "SELECT * FROM summary"
+
+
+@register("eval_users_heavy", with_views("r1", f"""
+SELECT user_id, rating_count, user_rank FROM (
+  SELECT user_id, count(*) AS rating_count,
+         row_number() OVER (ORDER BY count(*) DESC, user_id) AS user_rank
+  FROM test GROUP BY user_id HAVING count(*) >= {EVAL_MIN_TEST}) WHERE user_rank <= {EVAL_LIMIT}"""))
+def q_eval_users_heavy(spark, sf_dir):
+    return met.eval_users_heavy(datasets.load(spark, sf_dir, "r1").test, EVAL_LIMIT, EVAL_MIN_TEST)
+
+
+@register("ground_truth", with_views("r1", "SELECT user_id, item_id FROM truth", _EVAL_CTES))
+def q_ground_truth(spark, sf_dir):
+    return r1_eval(datasets.load(spark, sf_dir, "r1"))[1]
+
+
+@register("positive_test_items", with_views("r1", f"""
+SELECT user_id, item_id, rating, {_epoch('ts')} AS timestamp FROM test WHERE rating >= 4.0"""))
+def q_positive_test_items(spark, sf_dir):
+    p = met.positive_test_items(datasets.load(spark, sf_dir, "r1").test)
+    return p.select("user_id", "item_id", "rating", epoch_seconds("ts").alias("timestamp"))
+
+
+@register("eval_users_first", with_views("r1", f"""
+SELECT DISTINCT user_id FROM test WHERE rating >= 4.0 ORDER BY user_id LIMIT {EVAL_LIMIT}"""))
+def q_eval_users_first(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return met.eval_users_first(met.positive_test_items(d.test), EVAL_LIMIT)
+
+
+@register("relevance_stats", with_views("r1", f"""
+SELECT count(DISTINCT user_id) AS n_users, count(item_id) AS total_relevant,
+       {mr('count(item_id) / count(DISTINCT user_id)')} AS avg_relevant FROM truth""", _EVAL_CTES))
+def q_relevance_stats(spark, sf_dir):
+    return met.relevance_stats(r1_eval(datasets.load(spark, sf_dir, "r1"))[1])
+
+
+def _pop_eval(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    users, truth = r1_eval(d)
+    recs = pop.popular_items_for_users(d.train, d.items, users, n=K, min_ratings=POP_M)
+    return d, users, truth, recs
+
+
+_m_ctes, _m_sel = _metric_sql("pop_recs", K)
+
+
+@register("evaluate_recommendations", with_views("r1", _m_sel, _EVAL_CTES + "," + _m_ctes))
+def q_evaluate_recommendations(spark, sf_dir):
+    _, users, truth, recs = _pop_eval(spark, sf_dir)
+    return met.evaluate_recommendations(recs, truth, users, K)
+
+
+@register("hit_rate_at_k", with_views("r1", "SELECT n_users, k, hit_rate FROM summary",
+                                      _EVAL_CTES + "," + _m_ctes))
+def q_hit_rate_at_k(spark, sf_dir):
+    _, users, truth, recs = _pop_eval(spark, sf_dir)
+    return met.hit_rate_at_k(recs, truth, users, K)
+
+
+@register("precision_at_k", with_views("r1", "SELECT n_users, k, precision FROM summary",
+                                       _EVAL_CTES + "," + _m_ctes))
+def q_precision_at_k(spark, sf_dir):
+    _, users, truth, recs = _pop_eval(spark, sf_dir)
+    return met.precision_at_k(recs, truth, users, K)
+
+
+@register("recall_at_k", with_views("r1", "SELECT n_users, k, recall FROM summary",
+                                    _EVAL_CTES + "," + _m_ctes))
+def q_recall_at_k(spark, sf_dir):
+    _, users, truth, recs = _pop_eval(spark, sf_dir)
+    return met.recall_at_k(recs, truth, users, K)
+
+
+@register("ndcg_at_k", with_views("r1", f"""
+SELECT count(*) AS n_users,
+       {mr('sum(CASE WHEN i.idcg > 0 THEN coalesce(d.dcg, 0.0) / i.idcg ELSE 0.0 END) / count(*)')} AS ndcg,
+       {K} AS k
+FROM (SELECT DISTINCT user_id FROM ev_users WHERE user_id IN (SELECT user_id FROM test)) b
+LEFT JOIN (SELECT r.user_id, sum(t.rating / log2(r.rank + 1.0)) AS dcg
+           FROM pop_recs r JOIN test t ON t.user_id = r.user_id AND t.item_id = r.item_id
+           WHERE r.rank <= {K} GROUP BY r.user_id) d ON d.user_id = b.user_id
+LEFT JOIN (SELECT user_id, sum(rating / log2(rn + 1.0)) AS idcg FROM (
+             SELECT user_id, rating,
+                    row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn
+             FROM test) WHERE rn <= {K} GROUP BY user_id) i ON i.user_id = b.user_id""",
+    _EVAL_CTES))
+def q_ndcg_at_k(spark, sf_dir):
+    d, users, _, recs = _pop_eval(spark, sf_dir)
+    return met.ndcg_at_k(recs, d.test, users, K)
+
+
+@register("rmse_lists", with_views("r1", f"""
+SELECT count(*) AS n_pairs,
+       {mr('coalesce(sqrt(avg(power(t.rating - s.r, 2))), 0.0)')} AS rmse
+FROM test t JOIN (SELECT item_id, sum(rating) / count(*) AS r FROM train GROUP BY item_id) s
+ON s.item_id = t.item_id"""))
+def q_rmse_lists(spark, sf_dir):
+    """RMSE of the item-mean predictor (the popularity recommender's avg_rating)
+    against every test rating whose item has train ratings."""
+    d = datasets.load(spark, sf_dir, "r1")
+    item_mean = d.train.groupBy("item_id").agg((F.sum("rating") / F.count("rating")).alias("predicted"))
+    pairs = d.test.select("item_id", F.col("rating").alias("actual")).join(item_mean, "item_id")
+    return met.rmse(pairs)
+
+
+_c_ctes, _ = _metric_sql("stacked", K, ["popularity", "genre", "cf"])
+
+
+@register("compare_algorithms", with_views("r1", """
+SELECT *, row_number() OVER (ORDER BY hit_rate DESC, algorithm) AS rank_by_hit,
+       algorithm = first_value(algorithm) OVER (ORDER BY hit_rate DESC, algorithm
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_hit_rate,
+       algorithm = first_value(algorithm) OVER (ORDER BY precision DESC, algorithm
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_precision,
+       algorithm = first_value(algorithm) OVER (ORDER BY recall DESC, algorithm
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_recall
+FROM summary""", _ALL_RECS_CTES + "," + _c_ctes))
+def q_compare_algorithms(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    users, truth = r1_eval(d)
+    return met.compare_algorithms(r1_recommenders(d, users), truth, users, K)
+
+
+@register("relative_improvement", with_views("r1", f"""
+SELECT a.metric, 'popularity' AS base, 'genre' AS other, a.value AS base_value, b.value AS other_value,
+       {mr('(b.value - a.value) / a.value * 100.0')} AS improvement_pct
+FROM (UNPIVOT (SELECT * FROM summary WHERE algorithm = 'popularity')
+      ON hit_rate, precision, recall INTO NAME metric VALUE value) a
+JOIN (UNPIVOT (SELECT * FROM summary WHERE algorithm = 'genre')
+      ON hit_rate, precision, recall INTO NAME metric VALUE value) b ON a.metric = b.metric""",
+    _ALL_RECS_CTES + "," + _c_ctes))
+def q_relative_improvement(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    users, truth = r1_eval(d)
+    recs = r1_recommenders(d, users)
+    m = met.compare_algorithms({k: recs[k] for k in ("popularity", "genre")}, truth, users, K)
+    return met.relative_improvement(m, "popularity", "genre")
