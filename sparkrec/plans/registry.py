@@ -750,3 +750,266 @@ def q_relative_improvement(spark, sf_dir):
     recs = r1_recommenders(d, users)
     m = met.compare_algorithms({k: recs[k] for k in ("popularity", "genre")}, truth, users, K)
     return met.relative_improvement(m, "popularity", "genre")
+
+
+# ------------------------------------------------------------------- factors
+from sparkrec.operators import factors as fac  # noqa: E402
+from sparkrec.session import ensure_checkpoint_dir  # noqa: E402
+
+SVD_K = 20
+_MODELS: dict[tuple, fac.SVDModel] = {}
+
+
+def trained_model(spark, sf_dir: str, kind: str = "r2", k: int = SVD_K) -> fac.SVDModel:
+    key = (spark.sparkContext.applicationId, sf_dir, kind, k)
+    if key not in _MODELS:
+        _MODELS[key] = fac.svd_train(datasets.load(spark, sf_dir, kind).train, k=k)
+    return _MODELS[key]
+
+
+@register("rating_matrix", with_views("r2", """
+SELECT t.user_id, t.item_id, CAST(dense_rank() OVER (ORDER BY t.item_id) - 1 AS BIGINT) AS item_idx,
+       t.rating - (SELECT sum(rating) / count(rating) FROM train) AS value
+FROM train t"""))
+def q_rating_matrix(spark, sf_dir):
+    return fac.rating_matrix(datasets.load(spark, sf_dir, "r2").train)[0]
+
+
+@register("svd_train")
+def q_svd_train(spark, sf_dir):
+    m = trained_model(spark, sf_dir)
+    return spark.createDataFrame([(i, s) for i, s in enumerate(m.singular_values)],
+                                 "factor int, singular_value double")
+
+
+@register("svd_predict")
+def q_svd_predict(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return fac.svd_predict(trained_model(spark, sf_dir), d.test.select("user_id", "item_id"))
+
+
+@register("svd_recommendations")
+def q_svd_recommendations(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return fac.svd_recommendations(trained_model(spark, sf_dir), d.train, d.items,
+                                   d.genre_strings, n=10)
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    """Round trip through Parquet; the reloaded model predicts the test pairs."""
+    import uuid
+    d = datasets.load(spark, sf_dir, "r2")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkrec/models/svd-{uuid.uuid4().hex[:8]}"
+    fac.model_save(trained_model(spark, sf_dir), path)
+    return fac.svd_predict(fac.model_load(spark, path), d.test.select("user_id", "item_id"))
+
+
+@register("rmse_pairs")
+def q_rmse_pairs(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    pred = fac.svd_predict(trained_model(spark, sf_dir),
+                           d.test.select("user_id", "item_id", F.col("rating").alias("actual")))
+    return met.rmse(pred.withColumnRenamed("predicted_rating", "predicted"))
+
+
+# -------------------------------------------------------------------- hybrid
+from sparkrec.operators import hybrid as hyb  # noqa: E402
+
+HYB_M = 30
+
+
+def r2_candidates(spark, sf_dir: str, with_ml: bool, users: DataFrame | None = None,
+                  pool: int = hyb.POOL) -> tuple[datasets.RatingData, DataFrame]:
+    d = datasets.load(spark, sf_dir, "r2")
+    if users is None:
+        users = d.train.select("user_id").distinct()
+    sims = r2_similarities(d)[1]
+    results = {
+        "popularity": hyb.global_pool(pop.popular_items(d.train, d.items, n=pool, min_ratings=HYB_M),
+                                      users, pool),
+        "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
+                                                 d.genre_strings, users=users, n=pool,
+                                                 min_movie_ratings=HYB_M),
+        "similarity": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings,
+                                                 users=users, n=pool),
+    }
+    if with_ml:
+        results["ml"] = fac.svd_recommendations(trained_model(spark, sf_dir), d.train, d.items,
+                                                d.genre_strings, users=users, n=pool)
+    return d, hyb.hybrid_candidates(results)
+
+
+_HYB_CTES = (_pop_base(HYB_M) + "," + _genre_rec_sql(hyb.POOL, HYB_M)[0] + "," + _CF_CTES + f""",
+hyb_users AS (SELECT DISTINCT user_id FROM train),
+cand AS (
+  SELECT u.user_id, p.item_id, 'popularity' AS algo, p.weighted_rating AS score
+  FROM hyb_users u CROSS JOIN (SELECT * FROM (SELECT *, row_number() OVER (
+      ORDER BY weighted_rating DESC, rating_count DESC, item_id) AS rk FROM pop) WHERE rk <= {hyb.POOL}) p
+  UNION ALL
+  SELECT user_id, item_id, 'genre', combined_score FROM genre_recs WHERE rank <= {hyb.POOL}
+  UNION ALL
+  SELECT user_id, item_id, 'similarity', recommendation_score FROM cf_recs WHERE rank <= {hyb.POOL}),
+wide AS (
+  SELECT user_id, item_id,
+         max(CASE WHEN algo = 'popularity' THEN score END) AS weighted_rating,
+         min(CASE WHEN algo = 'genre' THEN score END) AS combined_score,
+         max(CASE WHEN algo = 'similarity' THEN score END) AS recommendation_score,
+         max(CASE WHEN algo = 'ml' THEN score END) AS predicted_rating
+  FROM cand GROUP BY user_id, item_id)""")
+
+
+def _norm_sql(col: str, name: str) -> str:
+    x = f"coalesce({col}, 0.0)"
+    lo, hi = f"min({x}) OVER u", f"max({x}) OVER u"
+    return (f"CASE WHEN max(CASE WHEN {col} IS NOT NULL THEN 1 ELSE 0 END) OVER u = 0 THEN 0.0 "
+            f"WHEN abs({lo} - {hi}) <= 1e-8 + 1e-5 * abs({hi}) THEN 1.0 "
+            f"ELSE ({x} - {lo}) / ({hi} - {lo}) END AS {name}")
+
+
+_NORM_CTE = f""",
+norm AS (
+  SELECT user_id, item_id, weighted_rating, combined_score, recommendation_score, predicted_rating,
+         {_norm_sql('weighted_rating', 'popularity_norm')},
+         {_norm_sql('combined_score', 'genre_norm')},
+         {_norm_sql('recommendation_score', 'similarity_norm')},
+         {_norm_sql('predicted_rating', 'ml_norm')}
+  FROM wide WINDOW u AS (PARTITION BY user_id)),
+blend AS (
+  SELECT *, 0.1 * popularity_norm + 0.2 * genre_norm + 0.3 * similarity_norm + 0.4 * ml_norm
+            AS hybrid_score FROM norm),
+details AS (
+  SELECT i.item_id, i.title,
+         (SELECT string_agg(DISTINCT g.genre_name, '|' ORDER BY g.genre_name)
+          FROM item_genres ig JOIN genres g ON ig.genre_id = g.genre_id WHERE ig.item_id = i.item_id) AS genres,
+         (SELECT sum(t.rating) / count(t.rating) FROM train t WHERE t.item_id = i.item_id) AS avg_rating,
+         (SELECT count(*) FROM train t WHERE t.item_id = i.item_id)
+           * greatest(1, (SELECT count(*) FROM item_genres ig WHERE ig.item_id = i.item_id)) AS rating_count,
+         (SELECT count(*) FROM train t WHERE t.item_id = i.item_id) AS distinct_rating_count
+  FROM items i)"""
+
+
+@register("hybrid_candidates", with_views("r2", "SELECT user_id, item_id, algo, score FROM cand",
+                                          _HYB_CTES))
+def q_hybrid_candidates(spark, sf_dir):
+    return r2_candidates(spark, sf_dir, with_ml=False)[1]
+
+
+@register("hybrid_scores_wide", with_views("r2", "SELECT * FROM wide", _HYB_CTES))
+def q_hybrid_scores_wide(spark, sf_dir):
+    return hyb.hybrid_scores_wide(r2_candidates(spark, sf_dir, with_ml=False)[1])
+
+
+@register("min_max_normalize", with_views("r2", "SELECT * FROM norm", _HYB_CTES + _NORM_CTE))
+def q_min_max_normalize(spark, sf_dir):
+    return hyb.min_max_normalize(hyb.hybrid_scores_wide(r2_candidates(spark, sf_dir, False)[1]))
+
+
+@register("hybrid_blend", with_views("r2", "SELECT * FROM blend", _HYB_CTES + _NORM_CTE))
+def q_hybrid_blend(spark, sf_dir):
+    wide = hyb.hybrid_scores_wide(r2_candidates(spark, sf_dir, False)[1])
+    return hyb.hybrid_blend(hyb.min_max_normalize(wide))
+
+
+@register("item_details", with_views("r2", "SELECT * FROM details", _HYB_CTES + _NORM_CTE))
+def q_item_details(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return hyb.item_details(d.items, d.item_genres, d.genres, d.train)
+
+
+@register("hybrid_recommendations_no_ml", with_views("r2", """
+SELECT * FROM (
+  SELECT b.user_id, row_number() OVER (PARTITION BY b.user_id ORDER BY b.hybrid_score DESC, b.item_id) AS rank,
+         b.item_id, d.title, d.genres, d.avg_rating, d.rating_count, b.hybrid_score
+  FROM blend b JOIN details d ON d.item_id = b.item_id) WHERE rank <= 10""", _HYB_CTES + _NORM_CTE))
+def q_hybrid_recommendations_no_ml(spark, sf_dir):
+    """H5 when the factor model is unavailable: default weights, the ML term is 0."""
+    d, cand = r2_candidates(spark, sf_dir, with_ml=False)
+    return hyb.hybrid_recommendations(cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train))
+
+
+@register("hybrid_recommendations")
+def q_hybrid_recommendations(spark, sf_dir):
+    d, cand = r2_candidates(spark, sf_dir, with_ml=True)
+    return hyb.hybrid_recommendations(cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train))
+
+
+@register("two_way_blend", with_views("r2", """
+SELECT user_id, item_id, genre_norm, similarity_norm,
+       10.0 * (0.4 * genre_norm + 0.6 * similarity_norm) AS blend_score FROM (
+  SELECT user_id, item_id,
+         """ + _norm_sql('combined_score', 'genre_norm') + """,
+         """ + _norm_sql('recommendation_score', 'similarity_norm') + """
+  FROM (SELECT user_id, item_id,
+               min(CASE WHEN algo = 'genre' THEN score END) AS combined_score,
+               max(CASE WHEN algo = 'similarity' THEN score END) AS recommendation_score
+        FROM cand WHERE algo IN ('genre', 'similarity') GROUP BY user_id, item_id)
+  WINDOW u AS (PARTITION BY user_id))""", _HYB_CTES))
+def q_two_way_blend(spark, sf_dir):
+    return hyb.two_way_blend(r2_candidates(spark, sf_dir, with_ml=False)[1])
+
+
+def _r2_eval(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
+    users = met.eval_users_heavy(d.test, EVAL_LIMIT, EVAL_MIN_TEST).select("user_id")
+    return users, met.ground_truth(d.test, users)
+
+
+@register("weight_sweep")
+def q_weight_sweep(spark, sf_dir):
+    """The five named weightings, candidates and normalisation computed once."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users, truth = _r2_eval(d)
+    _, cand = r2_candidates(spark, sf_dir, with_ml=True, users=users)
+    norm = hyb.min_max_normalize(hyb.hybrid_scores_wide(cand))
+    recs = hyb.sweep_recommendations(norm, hyb.WEIGHT_CONFIGS, n=K)
+    return met.evaluate_recommendations(recs, truth, users, K, key="config",
+                                        key_values=list(hyb.WEIGHT_CONFIGS))
+
+
+_GRID = hyb.two_weight_configs()
+
+
+def _grid_sql() -> str:
+    vals = ", ".join(f"('{name}', {w['genre']!r}, {w['similarity']!r})" for name, w in _GRID.items())
+    return f""",
+ev_users AS (SELECT user_id FROM test GROUP BY user_id HAVING count(*) >= {EVAL_MIN_TEST}
+             ORDER BY count(*) DESC, user_id LIMIT {EVAL_LIMIT}),
+truth AS (SELECT u.user_id, t.item_id FROM ev_users u
+          LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
+g2 AS (
+  SELECT user_id, item_id,
+         {_norm_sql('combined_score', 'genre_norm')},
+         {_norm_sql('recommendation_score', 'similarity_norm')}
+  FROM (SELECT user_id, item_id,
+               min(CASE WHEN algo = 'genre' THEN score END) AS combined_score,
+               max(CASE WHEN algo = 'similarity' THEN score END) AS recommendation_score
+        FROM cand WHERE algo IN ('genre', 'similarity') AND user_id IN (SELECT user_id FROM ev_users)
+        GROUP BY user_id, item_id)
+  WINDOW u AS (PARTITION BY user_id)),
+grid_recs AS (
+  SELECT * FROM (
+    SELECT c.config AS algorithm, g2.user_id, g2.item_id,
+           row_number() OVER (PARTITION BY c.config, g2.user_id
+                              ORDER BY 0.0 + c.wg * g2.genre_norm + c.wc * g2.similarity_norm DESC,
+                                       g2.item_id) AS rank
+    FROM g2 CROSS JOIN (VALUES {vals}) c(config, wg, wc)) WHERE rank <= {K})"""
+
+
+_g_ctes, _ = _metric_sql("grid_recs", K, list(_GRID))
+
+
+@register("two_weight_grid", with_views(
+    "r2", "SELECT algorithm AS config, n_users, hit_rate, precision, recall, k FROM summary",
+    _HYB_CTES + _grid_sql() + "," + _g_ctes))
+def q_two_weight_grid(spark, sf_dir):
+    """I16: genre weight 0.1..0.5 with CF weight 1 - w, evaluated on r2 users
+    with >= 10 test ratings."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users, truth = _r2_eval(d)
+    _, cand = r2_candidates(spark, sf_dir, with_ml=False, users=users)
+    two = cand.filter(F.col("algo").isin("genre", "similarity"))
+    norm = hyb.min_max_normalize(hyb.hybrid_scores_wide(two), ("genre", "similarity"))
+    recs = hyb.sweep_recommendations(norm, _GRID, n=K)
+    return met.evaluate_recommendations(recs, truth, users, K, key="config",
+                                        key_values=list(_GRID)).select(
+        "config", "n_users", "hit_rate", "precision", "recall", "k")
