@@ -75,3 +75,35 @@ def title_search(items: DataFrame, item_genres: DataFrame, genres: DataFrame,
         cnt.alias("distinct_rating_count"))
     order = [F.col("rating_count").desc(), F.col("item_id").asc()]
     return number_rows(out.orderBy(*order).limit(limit), order, "rank")
+
+
+# Which output column is "the score" of each recommender, in the
+# original display's order of preference, and the places it rounds them to.
+SCORE_PREFERENCE = [("weighted_rating", 2), ("combined_score", 2), ("recommendation_score", 4),
+                    ("predicted_rating", 2), ("hybrid_score", 4)]
+UNIFIED_ALGORITHMS = ("popularity", "genre", "similarity", "ml", "hybrid")
+
+
+def unified_recommendations(results: dict[str, DataFrame]) -> DataFrame:
+    """Recommendations of several algorithms in one shape: algorithm,
+    user_id, rank, item_id, title, genres, score (the first present of
+    weighted_rating, combined_score, recommendation_score, predicted_rating,
+    hybrid_score, rounded 2/2/4/2/4), avg_rating (round 2) and rating_count
+    when the algorithm reports them. Unknown algorithm names are an error."""
+    out = None
+    for algo, df in results.items():
+        if algo not in UNIFIED_ALGORITHMS:
+            raise ValueError(f"unknown algorithm: {algo}")
+        cols = set(df.columns)
+        score_col, places = next((c, p) for c, p in SCORE_PREFERENCE if c in cols)
+        has_stats = "avg_rating" in cols and "rating_count" in cols
+        part = df.select(
+            F.lit(algo).alias("algorithm"), "user_id", "rank", "item_id", "title",
+            (F.col("genres") if "genres" in cols else F.lit(None).cast("string")).alias("genres"),
+            round_half_up(score_col, places).alias("score"),
+            (round_half_up("avg_rating", 2) if has_stats else F.lit(None).cast("double"))
+            .alias("avg_rating"),
+            (F.col("rating_count").cast("bigint") if has_stats else F.lit(None).cast("bigint"))
+            .alias("rating_count"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -1013,3 +1013,120 @@ def q_two_weight_grid(spark, sf_dir):
     return met.evaluate_recommendations(recs, truth, users, K, key="config",
                                         key_values=list(_GRID)).select(
         "config", "n_users", "hit_rate", "precision", "recall", "k")
+
+
+# --------------------------------------------------------- sources and sinks
+import uuid  # noqa: E402
+
+from sparkrec.sources import delimited, sinks  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for a file round trip."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/sparkrec/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@register("read_delimited", with_views("r1", f"""
+SELECT user_id, item_id, rating, {_epoch('ts')} AS timestamp FROM ratings"""))
+def q_read_delimited(spark, sf_dir):
+    """A1: the r1 users, items and ratings exported as `::` Latin-1 text, then
+    read back with the fixed layouts; returns the ratings file."""
+    d = datasets.load(spark, sf_dir, "r1")
+    folder = _scratch(spark, "dat")
+    delimited.write_delimited(d.users, f"{folder}/users.dat")
+    delimited.write_delimited(d.items_raw, f"{folder}/movies.dat")
+    delimited.write_delimited(
+        d.ratings.select("user_id", "item_id", "rating", epoch_seconds("ts").alias("timestamp")),
+        f"{folder}/ratings.dat")
+    return delimited.read_all(spark, folder)["ratings"]
+
+
+@register("snapshot_write", with_views("r1", """
+SELECT 'users' AS table_name, count(*) AS parquet_rows, count(*) AS csv_rows FROM users
+UNION ALL SELECT 'movies', count(*), count(*) FROM items
+UNION ALL SELECT 'genres', count(*), count(*) FROM genres
+UNION ALL SELECT 'movie_genres', count(*), count(*) FROM item_genres
+UNION ALL SELECT 'ratings', count(*), count(*) FROM ratings
+UNION ALL SELECT 'ratings_train', count(*), count(*) FROM train
+UNION ALL SELECT 'ratings_test', count(*), count(*) FROM test"""))
+def q_snapshot_write(spark, sf_dir):
+    """Every table replaced as a whole (Parquet) and exported as headed
+    CSV; rows read back from both."""
+    d = datasets.load(spark, sf_dir, "r1")
+    tables = {"users": d.users, "movies": d.items, "genres": d.genres,
+              "movie_genres": d.item_genres, "ratings": d.ratings,
+              "ratings_train": d.train, "ratings_test": d.test}
+    folder = _scratch(spark, "snapshot")
+    pq = sinks.snapshot_write(tables, f"{folder}/parquet")
+    csv = sinks.snapshot_write(tables, f"{folder}/csv", csv=True)
+    out = None
+    for name in tables:
+        n_pq = spark.read.parquet(pq[name]).agg(F.count(F.lit(1))).scalar()
+        part = spark.read.option("header", True).csv(csv[name]).agg(
+            F.lit(name).alias("table_name"), n_pq.alias("parquet_rows"),
+            F.count(F.lit(1)).alias("csv_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("append_similarities", with_views("r2", "SELECT * FROM sims", _SIM_CTES))
+def q_append_similarities(spark, sf_dir):
+    """Create the similarity table, then append the same job's pairs again
+    (a re-run); stored pairs are skipped, so each pair is stored once."""
+    sims = r2_similarities(datasets.load(spark, sf_dir, "r2"))[1]
+    path = _scratch(spark, "item_similarities")
+    sinks.append_similarities(spark, sims, path)
+    return sinks.append_similarities(spark, sims, path)
+
+
+_UNIFIED_SQL = f"""
+SELECT * FROM (
+  SELECT 'popularity' AS algorithm, u.user_id, p.rk AS rank, p.item_id, p.title,
+         CAST(NULL AS VARCHAR) AS genres, p.weighted_rating AS score, p.avg_rating,
+         CAST(p.rating_count AS BIGINT) AS rating_count
+  FROM hyb_users u CROSS JOIN (SELECT * FROM (SELECT *, row_number() OVER (
+      ORDER BY weighted_rating DESC, rating_count DESC, item_id) AS rk FROM pop) WHERE rk <= 10) p
+  UNION ALL
+  SELECT 'genre', user_id, rank, item_id, title, genres, {rnd('weighted_rating', 2)},
+         {rnd('avg_rating', 2)}, CAST(rating_count AS BIGINT)
+  FROM genre_recs WHERE rank <= 10
+  UNION ALL
+  SELECT 'similarity', user_id, rank, item_id, title, genres, {rnd('recommendation_score', 4)},
+         CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
+  FROM cf_recs WHERE rank <= 10)"""
+
+
+@register("unified_recommendations", with_views("r2", _UNIFIED_SQL, _HYB_CTES))
+def q_unified_recommendations(spark, sf_dir):
+    """J6 over popularity (global list), genre (min 30) and item CF for all users."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users = d.train.select("user_id").distinct()
+    sims = r2_similarities(d)[1]
+    return lookup.unified_recommendations({
+        "popularity": hyb.global_pool(pop.popular_items(d.train, d.items, n=10, min_ratings=HYB_M),
+                                      users, 10),
+        "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
+                                                 d.genre_strings, n=10, min_movie_ratings=HYB_M),
+        "similarity": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings, n=10),
+    })
+
+
+@register("unified_recommendations_all")
+def q_unified_recommendations_all(spark, sf_dir):
+    """J6 over all five algorithms, including the factor model and the hybrid."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users = d.train.select("user_id").distinct()
+    sims = r2_similarities(d)[1]
+    _, cand = r2_candidates(spark, sf_dir, with_ml=True)
+    return lookup.unified_recommendations({
+        "popularity": hyb.global_pool(pop.popular_items(d.train, d.items, n=10, min_ratings=HYB_M),
+                                      users, 10),
+        "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
+                                                 d.genre_strings, n=10, min_movie_ratings=HYB_M),
+        "similarity": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings, n=10),
+        "ml": fac.svd_recommendations(trained_model(spark, sf_dir), d.train, d.items,
+                                      d.genre_strings, n=10),
+        "hybrid": hyb.hybrid_recommendations(
+            cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train)),
+    })
