@@ -35,21 +35,21 @@ def _popular(train: DataFrame, items: DataFrame, min_ratings: int) -> DataFrame:
         round_half_up("weighted_rating", 2).alias("weighted_rating"))
 
 
-# The original sorts by the output alias, i.e. the rounded weighted rating.
-_POP_ORDER = [F.col("weighted_rating").desc(), F.col("rating_count").desc(),
-              F.col("item_id").asc()]
+def _pop_order() -> list[Column]:
+    """The original sorts by the output alias, i.e. the rounded weighted rating."""
+    return [F.col("weighted_rating").desc(), F.col("rating_count").desc(), F.col("item_id").asc()]
 
 
 def popular_items(train: DataFrame, items: DataFrame, n: int = 10,
                   min_ratings: int = 30) -> DataFrame:
     """Global top n by Bayesian weighted rating (v >= min_ratings)."""
-    top = _popular(train, items, min_ratings).orderBy(*_POP_ORDER).limit(n)
-    return number_rows(top, _POP_ORDER, "rank")
+    top = _popular(train, items, min_ratings).orderBy(*_pop_order()).limit(n)
+    return number_rows(top, _pop_order(), "rank")
 
 
 def popular_ranked(train: DataFrame, items: DataFrame, min_ratings: int = 30) -> DataFrame:
     """Every qualifying item with its global popularity rank `pop_rank`."""
-    return global_rank(_popular(train, items, min_ratings), _POP_ORDER, "pop_rank")
+    return global_rank(_popular(train, items, min_ratings), _pop_order(), "pop_rank")
 
 
 def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame | None = None,
