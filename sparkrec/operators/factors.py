@@ -64,18 +64,24 @@ def rating_matrix(train: DataFrame) -> tuple[DataFrame, DataFrame, float, int]:
     return entries, idx, mu, n_items
 
 
-def _user_rows(entries: DataFrame, n_items: int):
-    """One IndexedRow per user: a sparse vector of centred ratings (sorted indices)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow
+def _user_rows(entries: DataFrame, n_items: int) -> DataFrame:
+    """One row per user: (index = user_id, vector = sparse centred ratings).
+
+    Built once (the only Python pass over the data, one row per user) and
+    written to the checkpoint folder, so the SVD iterations and the A V product
+    read a JVM-side table instead of re-running Python for every pass."""
+    from pyspark.mllib.linalg import Vectors, VectorUDT
+    spark = entries.sparkSession
     grouped = entries.groupBy("user_id").agg(
         F.sort_array(F.collect_list(F.struct("item_idx", "value"))).alias("cells"))
 
     def to_row(r):
-        idx = [c[0] for c in r["cells"]]
-        val = [c[1] for c in r["cells"]]
-        return IndexedRow(r["user_id"], Vectors.sparse(n_items, idx, val))
-    return grouped.rdd.map(to_row)
+        cells = r["cells"]
+        return (r["user_id"], Vectors.sparse(n_items, [c[0] for c in cells], [c[1] for c in cells]))
+    schema = T.StructType([T.StructField("index", T.LongType(), False),
+                           T.StructField("vector", VectorUDT(), False)])
+    from sparkrec.session import materialize
+    return materialize(spark.createDataFrame(grouped.rdd.map(to_row), schema), "svd_rows")
 
 
 def svd_train(train: DataFrame, k: int = 50,

@@ -412,9 +412,26 @@ from sparkrec.operators import similarity as sim_ops  # noqa: E402
 SEED_MIN, SEED_LIMIT, MIN_COMMON = 30, 500, 20
 
 
+_SIMS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def similarity_table(d: datasets.RatingData, seed_min: int, min_common: int,
+                     seed_limit: int = SEED_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """(seed items, similarity table). Like the original's stored similarity
+    table, the pairs are computed once per session and written under the
+    checkpoint folder; the recommenders read the written table."""
+    spark = d.train.sparkSession
+    key = (spark.sparkContext.applicationId, id(d), seed_min, min_common, seed_limit)
+    if key not in _SIMS:
+        from sparkrec.session import materialize
+        seed = materialize(pop.similarity_seed_items(d.train, seed_min, seed_limit), "seed")
+        sims = materialize(sim_ops.item_similarities(d.train, seed, min_common), "similarities")
+        _SIMS[key] = (seed, sims)
+    return _SIMS[key]
+
+
 def r2_similarities(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
-    seed = pop.similarity_seed_items(d.train, SEED_MIN, SEED_LIMIT)
-    return seed, sim_ops.item_similarities(d.train, seed, MIN_COMMON)
+    return similarity_table(d, SEED_MIN, MIN_COMMON)
 
 
 def _sim_ctes(seed_min: int, seed_limit: int, min_common: int) -> str:
@@ -548,8 +565,7 @@ def r1_eval(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
 
 
 def r1_recommenders(d: datasets.RatingData, users: DataFrame, n: int = K) -> dict[str, DataFrame]:
-    seed = pop.similarity_seed_items(d.train, R1_SEED_MIN, SEED_LIMIT)
-    sims = sim_ops.item_similarities(d.train, seed, R1_MIN_COMMON)
+    sims = similarity_table(d, R1_SEED_MIN, R1_MIN_COMMON)[1]
     return {
         "popularity": pop.popular_items_for_users(d.train, d.items, users, n=n, min_ratings=POP_M),
         "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
