@@ -90,7 +90,8 @@ def matrix_stats(train: DataFrame, items: DataFrame | None = None) -> DataFrame:
     n_items = F.col("_seen") if items is None else _scalar(items, F.count(F.lit(1)))
     base = base.select("n_users", n_items.alias("n_items"), "nnz")
     cells = F.col("n_users").cast("double") * F.col("n_items").cast("double")
-    return base.withColumn("sparsity_pct", F.lit(100.0) * (F.lit(1.0) - F.col("nnz") / cells))
+    return base.withColumn("sparsity_pct",
+                           F.lit(100.0) * (F.lit(1.0) - F.try_divide(F.col("nnz"), cells)))
 
 
 def genre_profile(ratings: DataFrame, item_genres: DataFrame, genres: DataFrame) -> DataFrame:

@@ -81,17 +81,17 @@ def similarity_summary(sims: DataFrame, seed: DataFrame) -> DataFrame:
     score_dec = F.col("similarity_score").cast("decimal(6,4)")
     s = sims.agg(
         F.count(F.lit(1)).alias("pairs_found"),
-        (F.sum(score_dec).cast("double") / F.count(F.lit(1))).alias("score_mean"),
+        F.try_divide(F.sum(score_dec).cast("double"), F.count(F.lit(1))).alias("score_mean"),
         F.median("similarity_score").alias("score_median"),
         F.min("similarity_score").alias("score_min"),
         F.max("similarity_score").alias("score_max"),
-        (F.sum("common_users").cast("double") / F.count(F.lit(1))).alias("common_mean"),
+        F.try_divide(F.sum("common_users").cast("double"), F.count(F.lit(1))).alias("common_mean"),
         F.median(F.col("common_users").cast("double")).alias("common_median"),
         F.min("common_users").alias("common_min"),
         F.max("common_users").alias("common_max"))
     possible = (n_items * (n_items - 1) / 2).cast("bigint")
     return s.select(n_items.alias("items"), possible.alias("possible_pairs"), "*").withColumn(
-        "coverage_pct", F.col("pairs_found") / F.col("possible_pairs") * F.lit(100.0))
+        "coverage_pct", F.try_divide(F.col("pairs_found"), F.col("possible_pairs")) * F.lit(100.0))
 
 
 def symmetric_edges(sims: DataFrame) -> DataFrame:
@@ -169,6 +169,6 @@ def cf_predicted_rating(train: DataFrame, sims: DataFrame, users: DataFrame | No
                 F.sum(sim).alias("_den"), F.count(F.lit(1)).alias("source_count"))
            .filter(F.col("source_count") >= min_sources)
            .withColumn("predicted_rating",
-                       F.col("_num").cast("double") / F.col("_den").cast("double")))
+                       F.try_divide(F.col("_num").cast("double"), F.col("_den").cast("double"))))
     top = top_n_per(agg, ["user_id"], [F.col("predicted_rating").desc(), F.col("item_id").asc()], n)
     return top.select("user_id", "rank", "item_id", "predicted_rating", "source_count")

@@ -57,4 +57,4 @@ def split_stats(train: DataFrame, test: DataFrame) -> DataFrame:
             (F.sum("rating") / F.count("rating")).alias("avg_rating"))
     both = one(train, "Train").unionByName(one(test, "Test"))
     total = F.sum("count").over(Window.partitionBy())  # two rows
-    return both.withColumn("ratio", F.col("count") / total)
+    return both.withColumn("ratio", F.try_divide(F.col("count"), total))

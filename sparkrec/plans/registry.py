@@ -198,7 +198,7 @@ def q_split_by_time_r2(spark, sf_dir):
 
 @register("split_stats", with_views("r1", """
 SELECT dataset, count, unique_users, unique_items, avg_rating,
-       count / sum(count) OVER () AS ratio FROM (
+       count / NULLIF(sum(count) OVER (), 0) AS ratio FROM (
   SELECT 'Train' AS dataset, count(*) AS count, count(DISTINCT user_id) AS unique_users,
          count(DISTINCT item_id) AS unique_items, sum(rating) / count(rating) AS avg_rating FROM train
   UNION ALL
@@ -265,7 +265,7 @@ def q_top_rated_items_by_count(spark, sf_dir):
 
 @register("matrix_stats", with_views("r1", """
 SELECT n_users, n_items, nnz,
-       100.0 * (1.0 - nnz / (CAST(n_users AS DOUBLE) * CAST(n_items AS DOUBLE))) AS sparsity_pct
+       100.0 * (1.0 - nnz / NULLIF(CAST(n_users AS DOUBLE) * CAST(n_items AS DOUBLE), 0)) AS sparsity_pct
 FROM (SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
              count(*) AS nnz FROM train)"""))
 def q_matrix_stats(spark, sf_dir):
@@ -486,14 +486,14 @@ def q_pair_similarity(spark, sf_dir):
 SELECT (SELECT count(*) FROM seed) AS items,
        CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT) AS possible_pairs,
        count(*) AS pairs_found,
-       CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE) / count(*) AS score_mean,
+       CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE) / NULLIF(count(*), 0) AS score_mean,
        median(similarity_score) AS score_median, min(similarity_score) AS score_min,
        max(similarity_score) AS score_max,
-       CAST(sum(common_users) AS DOUBLE) / count(*) AS common_mean,
+       CAST(sum(common_users) AS DOUBLE) / NULLIF(count(*), 0) AS common_mean,
        median(CAST(common_users AS DOUBLE)) AS common_median,
        min(common_users) AS common_min, max(common_users) AS common_max,
-       count(*) / CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT) * 100.0
-         AS coverage_pct
+       count(*) / NULLIF(CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT), 0)
+         * 100.0 AS coverage_pct
 FROM sims""", _SIM_CTES))
 def q_similarity_summary(spark, sf_dir):
     seed, sims = r2_similarities(datasets.load(spark, sf_dir, "r2"))
@@ -540,7 +540,7 @@ SELECT user_id, rank, item_id, predicted_rating, source_count FROM (
          row_number() OVER (PARTITION BY user_id ORDER BY predicted_rating DESC, item_id) AS rank
   FROM (SELECT user_id, dst AS item_id,
                CAST(sum(CAST(similarity_score AS DECIMAL(6,4)) * CAST(rating AS DECIMAL(3,1))) AS DOUBLE)
-               / CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE) AS predicted_rating,
+               / NULLIF(CAST(sum(CAST(similarity_score AS DECIMAL(6,4))) AS DOUBLE), 0) AS predicted_rating,
                count(*) AS source_count
         FROM liked_edges GROUP BY user_id, dst HAVING count(*) >= 2))
 WHERE rank <= 10""", _CF_CTES))
