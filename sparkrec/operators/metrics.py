@@ -167,7 +167,7 @@ def compare_algorithms(results: dict[str, DataFrame], truth: DataFrame, users: D
     # all algorithms were asked for every user; metrics rows = one per algorithm
     w = Window.partitionBy()
     out = m.withColumn("rank_by_hit", F.row_number().over(
-        Window.orderBy(F.col("hit_rate").desc(), F.col("algorithm"))))
+        Window.orderBy(F.col("hit_rate").desc(), F.col("algorithm"))).cast("bigint"))
     for metric in ("hit_rate", "precision", "recall"):
         first = F.min_by("algorithm", F.struct(-F.col(metric), F.col("algorithm"))).over(w)
         out = out.withColumn(f"best_{metric}", F.col("algorithm") == first)

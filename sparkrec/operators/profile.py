@@ -108,5 +108,5 @@ def genre_profile(ratings: DataFrame, item_genres: DataFrame, genres: DataFrame)
     # one row per genre: the genre vocabulary is small
     by_count = Window.orderBy(F.col("rating_count").desc(), F.col("genre_name"))
     by_avg = Window.orderBy(F.col("avg_rating").desc(), F.col("genre_name"))
-    return (g.withColumn("rank_by_count", F.row_number().over(by_count))
-             .withColumn("rank_by_avg", F.row_number().over(by_avg)))
+    return (g.withColumn("rank_by_count", F.row_number().over(by_count).cast("bigint"))
+             .withColumn("rank_by_avg", F.row_number().over(by_avg).cast("bigint")))

@@ -45,14 +45,17 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column],
                 rank_col: str = "rank") -> DataFrame:
     """1-based row number over a frame already cut to a small, bounded size
     (a LIMIT result): one ordered window in a single task."""
-    return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*_cols(order_cols))))
+    return df.withColumn(rank_col,
+                         F.row_number().over(Window.orderBy(*_cols(order_cols))).cast("bigint"))
 
 
 def top_n_per(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
               n: int, rank_col: str = "rank") -> DataFrame:
     """Keep the first n rows per group under `order_cols`, numbered 1..n."""
     w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+    # filter on the bare row_number so Spark infers the partial WindowGroupLimit
+    return (df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+              .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
 
 def _sorted_with_position(df: DataFrame, keys: list[Column], num_partitions: int) -> DataFrame:
