@@ -30,6 +30,7 @@ from sparkrec.operators.ranking import global_rank, top_n_per
 # Predictions are clipped to the 1..5 star range.
 CLIP_MIN, CLIP_MAX = 1.0, 5.0
 DEFAULT_MAX_DRIVER_BYTES = 1 << 30  # V and s on the driver / in the broadcast
+SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
 
 
 @dataclass
@@ -153,26 +154,32 @@ def svd_scores_topl(model: SVDModel, budget: DataFrame,
     def score(batches):
         vt = bv.value.T
         n_items = vt.shape[1]
+        # users per numpy block, so one block of scores stays near 4M cells
+        block = max(1, SCORE_BLOCK_CELLS // max(1, n_items))
         for pdf in batches:
-            if pdf.empty:
-                continue
-            pu = np.vstack(pdf["factors"].to_numpy())
-            s = np.clip(mu + pu @ vt, CLIP_MIN, CLIP_MAX)
-            out_u, out_i, out_s = [], [], []
-            for row, (uid, lim) in enumerate(zip(pdf["user_id"].to_numpy(), pdf["_l"].to_numpy())):
-                lim = int(min(lim, n_items))
-                sr = s[row]
-                if lim < n_items:
-                    cut = np.partition(sr, n_items - lim)[n_items - lim]
-                    cand = np.nonzero(sr >= cut)[0]
-                else:
-                    cand = np.arange(n_items)
-                order = cand[np.lexsort((cand, -sr[cand]))][:lim]
-                out_u.append(np.full(len(order), uid, dtype="int64"))
-                out_i.append(order.astype("int64"))
-                out_s.append(sr[order])
-            yield pd.DataFrame({"user_id": np.concatenate(out_u), "item_idx": np.concatenate(out_i),
-                                "predicted_rating": np.concatenate(out_s)})
+            users = pdf["user_id"].to_numpy()
+            limits = pdf["_l"].to_numpy()
+            factors = pdf["factors"].to_numpy()
+            for lo in range(0, len(pdf), block):
+                hi = min(lo + block, len(pdf))
+                pu = np.vstack(factors[lo:hi])
+                s = np.clip(mu + pu @ vt, CLIP_MIN, CLIP_MAX)
+                out_u, out_i, out_s = [], [], []
+                for row in range(hi - lo):
+                    lim = int(min(limits[lo + row], n_items))
+                    sr = s[row]
+                    if lim < n_items:
+                        cut = np.partition(sr, n_items - lim)[n_items - lim]
+                        cand = np.nonzero(sr >= cut)[0]
+                    else:
+                        cand = np.arange(n_items)
+                    order = cand[np.lexsort((cand, -sr[cand]))][:lim]
+                    out_u.append(np.full(len(order), users[lo + row], dtype="int64"))
+                    out_i.append(order.astype("int64"))
+                    out_s.append(sr[order])
+                yield pd.DataFrame({"user_id": np.concatenate(out_u),
+                                    "item_idx": np.concatenate(out_i),
+                                    "predicted_rating": np.concatenate(out_s)})
     schema = T.StructType([T.StructField("user_id", T.LongType()),
                            T.StructField("item_idx", T.LongType()),
                            T.StructField("predicted_rating", T.DoubleType())])
