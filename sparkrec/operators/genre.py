@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import round_half_up
 from sparkrec.operators.popularity import item_stats
-from sparkrec.operators.ranking import rank_within_groups, top_n_per
+from sparkrec.operators.ranking import join_on_rank, rank_within_groups, top_n_per
+
+# Rows of the per-genre ranked lists that may go through a broadcast join.
+LOW_RANK_ROWS = 100_000
 
 
 def _genre_scores(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
@@ -77,7 +80,9 @@ def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataF
     cand = budget.select("user_id", "genre_id", "genre_name", "pref",
                          F.explode(F.sequence(F.lit(1).cast("bigint"),
                                               F.col("_l").cast("bigint"))).alias("g_rank"))
-    cand = (cand.join(ranked, ["genre_id", "g_rank"])
+    n_genres = max(1, genres.count())  # the genre vocabulary: one small count
+    low = max(n, LOW_RANK_ROWS // n_genres)
+    cand = (join_on_rank(cand, ranked, ["genre_id"], "g_rank", low)
             .join(watched, ["user_id", "item_id"], "left_anti")
             .withColumn("combined", F.col("weighted_rating") * (F.col("pref") / F.lit(100.0))))
     top = top_n_per(cand, ["user_id"],

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import round_half_up, weighted_rating
-from sparkrec.operators.ranking import global_rank, number_rows, top_n_per
+from sparkrec.operators.ranking import global_rank, join_on_rank, number_rows, top_n_per
+
+# Ranks up to this go through a broadcast join (at most this many item rows).
+LOW_RANKS = 10_000
 
 
 def mean_rating(train: DataFrame) -> Column:
@@ -68,7 +71,7 @@ def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame
         "user_id", (F.lit(n) + F.coalesce(F.col("_w"), F.lit(0))).alias("_l"))
     cand = budget.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                          F.col("_l").cast("bigint"))).alias("pop_rank"))
-    cand = (cand.join(ranked, "pop_rank")
+    cand = (join_on_rank(cand, ranked, [], "pop_rank", max(LOW_RANKS, n))
             .join(watched, ["user_id", "item_id"], "left_anti"))
     out = top_n_per(cand, ["user_id"], ["pop_rank"], n)
     return out.select("user_id", "rank", "item_id", "title", "release_year", "rating_count",

@@ -112,3 +112,19 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str],
     out = keyed.join(stats.select(*keep), [_PID, *group_cols])
     return (out.withColumn(rank_col, F.col(_MID) - F.col(_FIRST) + F.col(_BEFORE) + 1)
                .drop(_MID, _PID, _FIRST, _BEFORE))
+
+
+def join_on_rank(cand: DataFrame, ranked: DataFrame, keys: Sequence[str], rank_col: str,
+                 low_ranks: int) -> DataFrame:
+    """Join rank-bounded candidates to a ranked list on (keys, rank).
+
+    Low ranks are wanted by every user (rank 1 once per user), so they are hot
+    keys: they go through a broadcast of the ranked rows with rank <= low_ranks
+    (at most low_ranks rows per key value - a proven bound). Higher ranks are
+    reached only by users with many rated items and use a shuffle join."""
+    on = [*keys, rank_col]
+    low = cand.filter(F.col(rank_col) <= low_ranks).join(
+        F.broadcast(ranked.filter(F.col(rank_col) <= low_ranks)), on)
+    high = cand.filter(F.col(rank_col) > low_ranks).join(
+        ranked.filter(F.col(rank_col) > low_ranks), on)
+    return low.unionByName(high)
