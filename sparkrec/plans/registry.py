@@ -292,10 +292,11 @@ from sparkrec.operators import genre as genre_ops  # noqa: E402
 GENRE_M = 20
 
 _PREF_CTE = """
-ug AS (SELECT t.user_id, ig.genre_id, g.genre_name, count(*) AS rating_count, sum(t.rating) AS pref
-       FROM train t JOIN item_genres ig ON t.item_id = ig.item_id
-       JOIN genres g ON ig.genre_id = g.genre_id
-       GROUP BY t.user_id, ig.genre_id, g.genre_name HAVING count(*) >= 3)"""
+user_genre_scores AS (
+  SELECT t.user_id, ig.genre_id, g.genre_name, count(*) AS rating_count, sum(t.rating) AS pref
+  FROM train t JOIN item_genres ig ON t.item_id = ig.item_id
+  JOIN genres g ON ig.genre_id = g.genre_id
+  GROUP BY t.user_id, ig.genre_id, g.genre_name HAVING count(*) >= 3)"""
 
 
 @register("user_genre_preference", with_views("r1", f"""
@@ -303,32 +304,35 @@ SELECT user_id, rank, genre_name, rating_count, avg_rating, preference_score FRO
   SELECT user_id, genre_name, rating_count, {rnd('pref / rating_count', 2)} AS avg_rating,
          {rnd('pref', 2)} AS preference_score,
          row_number() OVER (PARTITION BY user_id ORDER BY {rnd('pref', 2)} DESC, genre_name) AS rank
-  FROM ug) WHERE rank <= 3""", _PREF_CTE))
+  FROM user_genre_scores) WHERE rank <= 3""", _PREF_CTE))
 def q_user_genre_preference(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r1")
     return genre_ops.user_genre_preference(d.train, d.item_genres, d.genres)
 
 
 def _genre_rec_sql(n: int, m: int, top_g: int = 3) -> tuple[str, str]:
-    ctes = _PREF_CTE + "," + _stats_cte("gstats", m) + f""",
-pref AS (SELECT user_id, genre_id, genre_name, pref FROM (
-           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pref DESC, genre_name) AS grn
-           FROM ug) WHERE grn <= {top_g}),
-gm AS (SELECT DISTINCT p.user_id, ig.item_id, p.genre_name, p.pref
-       FROM pref p JOIN item_genres ig ON ig.genre_id = p.genre_id
-       WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = p.user_id AND t.item_id = ig.item_id)),
-ms AS (SELECT gm.user_id, gm.item_id, gm.genre_name, s.v, s.r, s.wr,
-              s.wr * (gm.pref / 100.0) AS combined
-       FROM gm JOIN gstats s ON gm.item_id = s.item_id),
+    """Naive all-user form: every unseen item of a user's top genres is scored."""
+    ctes = _PREF_CTE + "," + _stats_cte("item_wr", m) + f""",
+top_user_genres AS (
+  SELECT user_id, genre_id, genre_name, pref FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pref DESC, genre_name) AS grn
+    FROM user_genre_scores) WHERE grn <= {top_g}),
+unseen_in_genre AS (
+  SELECT DISTINCT p.user_id, ig.item_id, p.genre_name, p.pref
+  FROM top_user_genres p JOIN item_genres ig ON ig.genre_id = p.genre_id
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = p.user_id AND t.item_id = ig.item_id)),
+scored_items AS (
+  SELECT c.user_id, c.item_id, c.genre_name, s.v, s.r, s.wr, s.wr * (c.pref / 100.0) AS combined
+  FROM unseen_in_genre c JOIN item_wr s ON c.item_id = s.item_id),
 genre_recs AS (
-  SELECT ms.user_id,
-         row_number() OVER (PARTITION BY ms.user_id
-                            ORDER BY ms.combined DESC, ms.wr DESC, ms.item_id, ms.genre_name) AS rank,
-         ms.item_id, i.title, i.release_year, ms.genre_name AS preferred_genre, gs.genres,
-         ms.v AS rating_count, {rnd('ms.r', 2)} AS avg_rating, {rnd('ms.wr', 2)} AS weighted_rating,
-         {rnd('ms.combined', 2)} AS combined_score
-  FROM ms JOIN items i ON ms.item_id = i.item_id
-  LEFT JOIN genre_strings gs ON ms.item_id = gs.item_id)"""
+  SELECT x.user_id,
+         row_number() OVER (PARTITION BY x.user_id
+                            ORDER BY x.combined DESC, x.wr DESC, x.item_id, x.genre_name) AS rank,
+         x.item_id, i.title, i.release_year, x.genre_name AS preferred_genre, gs.genres,
+         x.v AS rating_count, {rnd('x.r', 2)} AS avg_rating, {rnd('x.wr', 2)} AS weighted_rating,
+         {rnd('x.combined', 2)} AS combined_score
+  FROM scored_items x JOIN items i ON x.item_id = i.item_id
+  LEFT JOIN genre_strings gs ON x.item_id = gs.item_id)"""
     return ctes, f"SELECT * FROM genre_recs WHERE rank <= {n}"
 
 
@@ -439,16 +443,15 @@ def _sim_ctes(seed_min: int, seed_limit: int, min_common: int) -> str:
 seed AS (SELECT item_id, seed_rank FROM (
            SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS seed_rank
            FROM train GROUP BY item_id HAVING count(*) >= {seed_min}) WHERE seed_rank <= {seed_limit}),
-pair_parts AS (
-  SELECT a.item_id AS item_id_1, b.item_id AS item_id_2, count(r1.user_id) AS common_users,
-         sum(r1.rating * r2.rating) AS dot, sqrt(sum(r1.rating * r1.rating)) AS m1,
-         sqrt(sum(r2.rating * r2.rating)) AS m2
-  FROM seed a JOIN seed b ON a.item_id < b.item_id
-  JOIN train r1 ON r1.item_id = a.item_id
-  JOIN train r2 ON r2.item_id = b.item_id AND r2.user_id = r1.user_id
-  GROUP BY a.item_id, b.item_id HAVING count(r1.user_id) >= {min_common}),
-sims AS (SELECT item_id_1, item_id_2, common_users, {rnd('dot / (m1 * m2)', 4)} AS similarity_score
-         FROM pair_parts WHERE m1 > 0 AND m2 > 0),
+seed_ratings AS (SELECT t.user_id, t.item_id, t.rating, s.seed_rank FROM train t JOIN seed s USING (item_id)),
+co_rated AS (
+  SELECT x.item_id AS item_id_1, y.item_id AS item_id_2, count(*) AS common_users,
+         sum(x.rating * y.rating) AS dot, sum(x.rating * x.rating) AS sq1, sum(y.rating * y.rating) AS sq2
+  FROM seed_ratings x JOIN seed_ratings y ON x.user_id = y.user_id AND x.item_id < y.item_id
+  GROUP BY x.item_id, y.item_id),
+sims AS (SELECT item_id_1, item_id_2, common_users,
+                {rnd('dot / (sqrt(sq1) * sqrt(sq2))', 4)} AS similarity_score
+         FROM co_rated WHERE common_users >= {min_common} AND sq1 > 0 AND sq2 > 0),
 edges AS (SELECT item_id_1 AS src, item_id_2 AS dst, similarity_score, common_users FROM sims
           UNION ALL
           SELECT item_id_2, item_id_1, similarity_score, common_users FROM sims),
@@ -468,14 +471,13 @@ def q_item_similarities(spark, sf_dir):
 
 
 @register("pair_similarity", with_views("r2", f"""
-SELECT a.item_id AS item_id_1, b.item_id AS item_id_2, count(*) AS common_users,
-       CASE WHEN sum(r1.rating * r1.rating) > 0 AND sum(r2.rating * r2.rating) > 0
-            THEN sum(r1.rating * r2.rating) / (sqrt(sum(r1.rating * r1.rating)) * sqrt(sum(r2.rating * r2.rating)))
+SELECT x.item_id AS item_id_1, y.item_id AS item_id_2, count(*) AS common_users,
+       CASE WHEN sum(x.rating * x.rating) > 0 AND sum(y.rating * y.rating) > 0
+            THEN sum(x.rating * y.rating)
+                 / (sqrt(sum(x.rating * x.rating)) * sqrt(sum(y.rating * y.rating)))
             ELSE 0.0 END AS similarity
-FROM seed a JOIN seed b ON a.seed_rank < b.seed_rank
-JOIN train r1 ON r1.item_id = a.item_id
-JOIN train r2 ON r2.item_id = b.item_id AND r2.user_id = r1.user_id
-GROUP BY a.item_id, b.item_id HAVING count(*) >= {MIN_COMMON}""", _SIM_CTES))
+FROM seed_ratings x JOIN seed_ratings y ON x.user_id = y.user_id AND x.seed_rank < y.seed_rank
+GROUP BY x.item_id, y.item_id HAVING count(*) >= {MIN_COMMON}""", _SIM_CTES))
 def q_pair_similarity(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r2")
     seed = pop.similarity_seed_items(d.train, SEED_MIN, SEED_LIMIT)
