@@ -3,13 +3,14 @@ and the row-count audit."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import (
     MAX_RATING, MIN_RATING, genre_string, rating_step_check, release_year,
     title_without_year,
 )
+from sparkrec.operators.ranking import global_rank
 
 
 def title_year(items_raw: DataFrame) -> DataFrame:
@@ -26,15 +27,11 @@ def _genre_tokens(items_raw: DataFrame) -> DataFrame:
 
 
 def genre_dictionary(items_raw: DataFrame) -> DataFrame:
-    """Distinct genre names, numbered 1..n in name order.
-
-    The dictionary is the genre vocabulary (tens of names), so one ordered
-    window over it is a tiny single task.
-    """
+    """Distinct genre names, numbered 1..n in name order (distributed rank, so
+    a large tag vocabulary does not land in one task)."""
     names = _genre_tokens(items_raw).select("genre_name").distinct()
-    return names.select(
-        F.row_number().over(Window.orderBy("genre_name")).cast("int").alias("genre_id"),
-        "genre_name")
+    return global_rank(names, ["genre_name"], "genre_id").select(
+        F.col("genre_id").cast("int").alias("genre_id"), "genre_name")
 
 
 def item_genre_bridge(items_raw: DataFrame, genres: DataFrame) -> DataFrame:
