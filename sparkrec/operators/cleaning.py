@@ -37,13 +37,13 @@ def genre_dictionary(items_raw: DataFrame) -> DataFrame:
 def item_genre_bridge(items_raw: DataFrame, genres: DataFrame) -> DataFrame:
     """One row per (item, genre token); repeated tokens stay repeated."""
     return (_genre_tokens(items_raw)
-            .join(F.broadcast(genres), "genre_name")
+            .join(genres, "genre_name")
             .select("item_id", "genre_id"))
 
 
 def item_genre_strings(item_genres: DataFrame, genres: DataFrame) -> DataFrame:
     """item_id -> '|'-joined distinct genre names in name order."""
-    return (item_genres.join(F.broadcast(genres), "genre_id")
+    return (item_genres.join(genres, "genre_id")
             .groupBy("item_id")
             .agg(genre_string(F.collect_set("genre_name")).alias("genres")))
 

@@ -24,7 +24,7 @@ def _genre_scores(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
          .groupBy("user_id", "genre_id")
          .agg(F.count(F.lit(1)).alias("rating_count"), F.sum("rating").alias("pref"))
          .filter(F.col("rating_count") >= min_per_genre))
-    return g.join(F.broadcast(genres), "genre_id")
+    return g.join(genres, "genre_id")
 
 
 def user_genre_preference(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
@@ -56,7 +56,8 @@ def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataF
                           genres: DataFrame, genre_strings: DataFrame,
                           users: DataFrame | None = None, n: int = 10,
                           min_per_genre: int = 3, top_genres_n: int = 3,
-                          min_movie_ratings: int = 20) -> DataFrame:
+                          min_movie_ratings: int = 20,
+                          low_rank_rows: int | None = None) -> DataFrame:
     """Unseen items of each user's top genres, by combined score =
     weighted_rating * preference / 100. One row per (item, preferred genre),
     so an item can appear once per genre.
@@ -81,7 +82,7 @@ def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataF
                          F.explode(F.sequence(F.lit(1).cast("bigint"),
                                               F.col("_l").cast("bigint"))).alias("g_rank"))
     n_genres = max(1, genres.count())  # the genre vocabulary: one small count
-    low = max(n, LOW_RANK_ROWS // n_genres)
+    low = max(1, (LOW_RANK_ROWS if low_rank_rows is None else low_rank_rows) // n_genres)
     cand = (join_on_rank(cand, ranked, ["genre_id"], "g_rank", low)
             .join(watched, ["user_id", "item_id"], "left_anti")
             .withColumn("combined", F.col("weighted_rating") * (F.col("pref") / F.lit(100.0))))

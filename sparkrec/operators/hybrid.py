@@ -105,7 +105,7 @@ def item_details(items: DataFrame, item_genres: DataFrame, genres: DataFrame,
     distinct_rating_count is the true count."""
     per_item = train.groupBy("item_id").agg(F.count("rating").alias("_cnt"),
                                             F.sum("rating").alias("_sum"))
-    g = (item_genres.join(F.broadcast(genres), "genre_id").groupBy("item_id")
+    g = (item_genres.join(genres, "genre_id").groupBy("item_id")
          .agg(F.count(F.lit(1)).alias("_rows"), genre_string(F.collect_set("genre_name")).alias("genres")))
     cnt = F.coalesce(F.col("_cnt"), F.lit(0))
     return (items.select("item_id", "title").join(g, "item_id", "left").join(per_item, "item_id", "left")

@@ -63,7 +63,7 @@ def title_search(items: DataFrame, item_genres: DataFrame, genres: DataFrame,
                 .groupBy("item_id").agg(F.count("rating").alias("_cnt"),
                                         F.sum("rating").alias("_sum")))
     names = (item_genres.join(hits.select("item_id"), "item_id", "left_semi")
-             .join(F.broadcast(genres), "genre_id")
+             .join(genres, "genre_id")
              .groupBy("item_id").agg(genre_string(F.collect_set("genre_name")).alias("genres")))
     j = (hits.join(fan.select("item_id", "_genre_rows"), "item_id", "left")
          .join(per_item, "item_id", "left").join(names, "item_id", "left"))

@@ -56,7 +56,8 @@ def popular_ranked(train: DataFrame, items: DataFrame, min_ratings: int = 30) ->
 
 
 def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame | None = None,
-                            n: int = 10, min_ratings: int = 30) -> DataFrame:
+                            n: int = 10, min_ratings: int = 30,
+                            low_ranks: int | None = None) -> DataFrame:
     """For every user, the top n popular items the user has not rated.
 
     Rank bound: a user with w rated items among the ranked ones only needs
@@ -71,7 +72,8 @@ def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame
         "user_id", (F.lit(n) + F.coalesce(F.col("_w"), F.lit(0))).alias("_l"))
     cand = budget.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                          F.col("_l").cast("bigint"))).alias("pop_rank"))
-    cand = (join_on_rank(cand, ranked, [], "pop_rank", max(LOW_RANKS, n))
+    low = max(LOW_RANKS if low_ranks is None else low_ranks, 1)
+    cand = (join_on_rank(cand, ranked, [], "pop_rank", low)
             .join(watched, ["user_id", "item_id"], "left_anti"))
     out = top_n_per(cand, ["user_id"], ["pop_rank"], n)
     return out.select("user_id", "rank", "item_id", "title", "release_year", "rating_count",

@@ -100,7 +100,7 @@ def genre_profile(ratings: DataFrame, item_genres: DataFrame, genres: DataFrame)
     g = (ratings.select("item_id", "rating").join(item_genres, "item_id")
          .groupBy("genre_id").agg(F.count(F.lit(1)).alias("rating_count"),
                                   F.sum("rating").alias("_sum"))
-         .join(F.broadcast(genres), "genre_id"))
+         .join(genres, "genre_id"))
     total = _scalar(ratings, F.count(F.lit(1)))
     g = g.select("genre_name", "rating_count",
                  (F.col("rating_count") / total).alias("share"),

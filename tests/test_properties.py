@@ -52,3 +52,25 @@ def test_metrics_in_unit_range(spark):
             assert 0.0 <= r[k] <= 1.0
     h = QUERIES["hybrid_recommendations_no_ml"](spark, SF01)
     assert h.filter("hybrid_score < 0 OR hybrid_score > 1.0000001").count() == 0
+
+
+def test_rank_joins_without_broadcast(spark, r1):
+    """Large-catalogue path: no automatic broadcasts and almost every candidate
+    in the shuffled high-rank branch give the same rows."""
+    from sparkrec.operators.genre import genre_recommendations
+    from sparkrec.operators.popularity import popular_items_for_users
+    base_p = popular_items_for_users(r1.train, r1.items, n=10, min_ratings=20)
+    base_g = genre_recommendations(r1.train, r1.items, r1.item_genres, r1.genres, r1.genre_strings)
+    exp_p, exp_g = sorted(map(tuple, base_p.collect())), sorted(map(tuple, base_g.collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = popular_items_for_users(r1.train, r1.items, n=10, min_ratings=20, low_ranks=2)
+        g = genre_recommendations(r1.train, r1.items, r1.item_genres, r1.genres, r1.genre_strings,
+                                  low_rank_rows=22)
+        assert sorted(map(tuple, p.collect())) == exp_p
+        assert sorted(map(tuple, g.collect())) == exp_g
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
