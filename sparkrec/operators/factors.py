@@ -31,6 +31,7 @@ from sparkrec.operators.ranking import global_rank, top_n_per
 CLIP_MIN, CLIP_MAX = 1.0, 5.0
 DEFAULT_MAX_DRIVER_BYTES = 1 << 30  # V and s on the driver / in the broadcast
 SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
+NNZ_PER_PARTITION = 1_000_000       # stored ratings per partition of the SVD row matrix
 
 
 @dataclass
@@ -96,7 +97,11 @@ def svd_train(train: DataFrame, k: int = 50,
     if need > max_driver_bytes:
         raise ValueError(f"V would take {need} bytes on the driver (items={n_items}, k={k}); "
                          f"raise max_driver_bytes or lower k")
-    rows = _user_rows(entries, n_items).persist(StorageLevel.MEMORY_AND_DISK)
+    # every ARPACK iteration is one pass over the rows: size partitions by the
+    # stored ratings so small matrices do not pay per-task overhead each pass
+    nnz = entries.count()
+    parts = max(1, -(-nnz // NNZ_PER_PARTITION))
+    rows = _user_rows(entries, n_items).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mat = IndexedRowMatrix(rows, numCols=n_items)
         svd = mat.computeSVD(k, computeU=False)
