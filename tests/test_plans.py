@@ -1,0 +1,25 @@
+"""Plan guards: no registered query may plan a Cartesian product, a nested-loop
+join or a row-at-a-time Python UDF; Arrow mapInPandas only in SVD scoring."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF001
+
+BAD = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython")
+SVD_SCORING = {"svd_recommendations", "hybrid_recommendations", "weight_sweep",
+               "unified_recommendations_all"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_unscalable_operator(spark, name):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        E.queries()[name](spark, SF001).explain(mode="formatted")
+    plan = buf.getvalue()
+    assert not BAD.findall(plan), BAD.findall(plan)
+    assert ("MapInPandas" in plan) == (name in SVD_SCORING)
