@@ -9,13 +9,28 @@ users have >= 10 test ratings; "liked" is rating >= 4.0.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from sparkrec.plans import datasets
-from sparkrec.plans.oracle_views import rnd, with_views, wr
+from pyspark.sql import functions as F
+
+from sparkrec.operators import cleaning
+from sparkrec.operators import factors as fac
+from sparkrec.operators import genre as genre_ops
+from sparkrec.operators import hybrid as hyb
+from sparkrec.operators import lookup
+from sparkrec.operators import metrics as met
 from sparkrec.operators import popularity as pop
+from sparkrec.operators import profile
+from sparkrec.operators import similarity as sim_ops
+from sparkrec.operators import split as split_ops
+from sparkrec.operators.lookup import epoch_seconds
+from sparkrec.plans import datasets
+from sparkrec.plans.oracle_views import mr, rnd, with_views, wr
+from sparkrec.session import ensure_checkpoint_dir, materialize
+from sparkrec.sources import delimited, fixtures, sinks
+from sparkrec.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,9 +119,6 @@ def q_volume_popularity(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ cleaning
-from sparkrec.operators import cleaning  # noqa: E402
-from sparkrec.sources import fixtures  # noqa: E402
-from sparkrec.sources.tables import read_table  # noqa: E402
 
 
 @register("title_year", with_views(None, "SELECT item_id, title, release_year FROM items"))
@@ -147,7 +159,6 @@ SELECT value, count(*) AS n_rows,
                 false) AS is_valid
 FROM (SELECT l_quantity / 10 AS value FROM lineitem) GROUP BY value""")
 def q_rating_step_check(spark, sf_dir):
-    from pyspark.sql import functions as F
     vals = read_table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 10).alias("value"))
     return cleaning.rating_step_report(vals, "value")
 
@@ -162,8 +173,6 @@ def q_row_count_audit(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- split
-from sparkrec.operators import split as split_ops  # noqa: E402
-from sparkrec.operators.lookup import epoch_seconds  # noqa: E402
 
 
 @register("min_activity_filter", with_views("r1", f"""
@@ -180,7 +189,6 @@ def q_min_activity_filter(spark, sf_dir):
 SELECT rating_id, user_id, item_id, rating, is_test FROM labelled"""))
 def q_split_by_time(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r1")
-    from pyspark.sql import functions as F
     return (d.train.select("rating_id", "user_id", "item_id", "rating", F.lit(False).alias("is_test"))
             .unionByName(d.test.select("rating_id", "user_id", "item_id", "rating",
                                        F.lit(True).alias("is_test"))))
@@ -190,7 +198,6 @@ def q_split_by_time(spark, sf_dir):
 SELECT rating_id, user_id, item_id, rating, is_test FROM labelled"""))
 def q_split_by_time_r2(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r2")
-    from pyspark.sql import functions as F
     return (d.train.select("rating_id", "user_id", "item_id", "rating", F.lit(False).alias("is_test"))
             .unionByName(d.test.select("rating_id", "user_id", "item_id", "rating",
                                        F.lit(True).alias("is_test"))))
@@ -210,7 +217,6 @@ def q_split_stats(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- profile
-from sparkrec.operators import profile  # noqa: E402
 
 
 @register("rating_distribution", with_views("r1", """
@@ -287,7 +293,6 @@ def q_genre_profile(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- genre
-from sparkrec.operators import genre as genre_ops  # noqa: E402
 
 GENRE_M = 20
 
@@ -347,7 +352,6 @@ def q_genre_recommendations(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- lookup
-from sparkrec.operators import lookup  # noqa: E402
 
 
 @register("user_profile", with_views("r1", f"""
@@ -411,7 +415,6 @@ def q_title_search(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- similarity
-from sparkrec.operators import similarity as sim_ops  # noqa: E402
 
 SEED_MIN, SEED_LIMIT, MIN_COMMON = 30, 500, 20
 
@@ -427,7 +430,6 @@ def similarity_table(d: datasets.RatingData, seed_min: int, min_common: int,
     spark = d.train.sparkSession
     key = (spark.sparkContext.applicationId, id(d), seed_min, min_common, seed_limit)
     if key not in _SIMS:
-        from sparkrec.session import materialize
         seed = materialize(pop.similarity_seed_items(d.train, seed_min, seed_limit), "seed")
         sims = materialize(sim_ops.item_similarities(d.train, seed, min_common), "similarities")
         _SIMS[key] = (seed, sims)
@@ -552,10 +554,7 @@ def q_cf_predicted_rating(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- evaluation
-from pyspark.sql import functions as F  # noqa: E402
 
-from sparkrec.operators import metrics as met  # noqa: E402
-from sparkrec.plans.oracle_views import mr  # noqa: E402
 
 EVAL_MIN_TEST, EVAL_LIMIT, K = 10, 1000, 10
 R1_SEED_MIN, R1_MIN_COMMON = 20, 2
@@ -771,8 +770,6 @@ def q_relative_improvement(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- factors
-from sparkrec.operators import factors as fac  # noqa: E402
-from sparkrec.session import ensure_checkpoint_dir  # noqa: E402
 
 SVD_K = 20
 _MODELS: dict[tuple, fac.SVDModel] = {}
@@ -816,7 +813,6 @@ def q_svd_recommendations(spark, sf_dir):
 @register("model_save_load")
 def q_model_save_load(spark, sf_dir):
     """Round trip through Parquet; the reloaded model predicts the test pairs."""
-    import uuid
     d = datasets.load(spark, sf_dir, "r2")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkrec/models/svd-{uuid.uuid4().hex[:8]}"
     fac.model_save(trained_model(spark, sf_dir), path)
@@ -832,7 +828,6 @@ def q_rmse_pairs(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- hybrid
-from sparkrec.operators import hybrid as hyb  # noqa: E402
 
 HYB_M = 30
 
@@ -1034,9 +1029,6 @@ def q_two_weight_grid(spark, sf_dir):
 
 
 # --------------------------------------------------------- sources and sinks
-import uuid  # noqa: E402
-
-from sparkrec.sources import delimited, sinks  # noqa: E402
 
 
 def _scratch(spark, name: str) -> str:
