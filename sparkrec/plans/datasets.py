@@ -41,33 +41,51 @@ class RatingData:
     test: DataFrame
 
 
-def load(spark: SparkSession, sf_dir: str, kind: str = "r1",
-         materialized: bool = True) -> RatingData:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if materialized and key in _CACHE:
-        return _CACHE[key]
+_DIMS: dict[tuple[str, str], tuple[DataFrame, ...]] = {}
+
+
+def _dimensions(spark: SparkSession, sf_dir: str, materialized: bool) -> tuple[DataFrame, ...]:
+    """(items_raw, items, genres, item_genres, genre_strings); the same for every
+    rating dataset of a folder, so written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if materialized and key in _DIMS:
+        return _DIMS[key]
     items_raw = items_raw_view(spark, sf_dir)
     genres = genre_dictionary(items_raw)
     item_genres = item_genre_bridge(items_raw, genres)
     items = title_year(items_raw)
-    ratings = rating_range_filter(_VIEWS[kind](spark, sf_dir))
-    labelled = label_split(ratings)
-    users = users_view(spark, sf_dir)
     if materialized:
-        # dimension tables and the split are written once and read by every job
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         genres = materialize(genres, f"genres_{tag}")
         item_genres = materialize(item_genres, f"item_genres_{tag}")
         items = materialize(items, f"items_{tag}")
-        labelled = materialize(labelled, f"split_{kind}_{tag}")
     genre_strings = item_genre_strings(item_genres, genres)
     if materialized:
         genre_strings = materialize(genre_strings, f"genre_strings_{tag}")
+    dims = (items_raw, items, genres, item_genres, genre_strings)
+    if materialized:
+        _DIMS[key] = dims
+    return dims
+
+
+def load(spark: SparkSession, sf_dir: str, kind: str = "r1",
+         materialized: bool = True) -> RatingData:
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if materialized and key in _CACHE:
+        return _CACHE[key]
+    items_raw, items, genres, item_genres, genre_strings = _dimensions(spark, sf_dir, materialized)
+    ratings = rating_range_filter(_VIEWS[kind](spark, sf_dir))
+    labelled = label_split(ratings)
+    if materialized:
+        # the split is written once and read by every job
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+        labelled = materialize(labelled, f"split_{kind}_{tag}")
     train = labelled.filter("not is_test").drop("is_test")
     test = labelled.filter("is_test").drop("is_test")
     data = RatingData(
-        users=users, items_raw=items_raw, items=items, genres=genres, item_genres=item_genres,
-        genre_strings=genre_strings, ratings=ratings, train=train, test=test)
+        users=users_view(spark, sf_dir), items_raw=items_raw, items=items, genres=genres,
+        item_genres=item_genres, genre_strings=genre_strings, ratings=ratings,
+        train=train, test=test)
     if materialized:
         _CACHE[key] = data
     return data
