@@ -38,3 +38,14 @@ def test_svd_matches_numpy(spark, tmp_path_factory):
     again = fac.svd_predict(fac.model_load(spark, path), d.test.select("user_id", "item_id")).toPandas()
     merged = pred.merge(again, on=["user_id", "item_id"])
     np.testing.assert_allclose(merged.predicted_rating_x, merged.predicted_rating_y, atol=1e-12)
+
+
+def test_svd_orthonormal_and_unseen(spark):
+    d = datasets.load(spark, SF01, "r2")
+    m = fac.svd_train(d.train, k=10)
+    v = np.vstack(m.item_factors.orderBy("item_idx").toPandas()["factors"].to_numpy())
+    np.testing.assert_allclose(v.T @ v, np.eye(v.shape[1]), atol=1e-8)
+    pairs = spark.createDataFrame([(-1, 0), (int(d.train.first()["user_id"]), -5)],
+                                  "user_id long, item_id long")
+    got = [r["predicted_rating"] for r in fac.svd_predict(m, pairs).collect()]
+    assert got == [m.global_mean, m.global_mean]  # unseen user / item: the mean, unclipped
