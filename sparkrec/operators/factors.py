@@ -5,9 +5,12 @@ cells stay 0); A ~ U S V^T of rank k; prediction = mu + (U S)_u . V_i,
 clipped to [1, 5]; an unseen user or item gets mu.
 
 * G1 builds A as one sparse row per user (MLlib `IndexedRowMatrix`).
-* G2 runs MLlib `computeSVD(k, computeU=False)` (distributed ARPACK when the
-  item count is large, Gram + local eigen when small). Only V (items x k)
-  and s come to the driver; their size is checked against `max_driver_bytes`.
+* G2: for a catalogue of at most GRAM_MAX_ITEMS items, A^T A is computed in
+  one distributed pass (`computeGramianMatrix`) and eigendecomposed on the
+  driver (n x n doubles, bounded by the item cap); larger catalogues use MLlib
+  `computeSVD(k, computeU=False)`, i.e. distributed ARPACK with one pass per
+  iteration. Only V (items x k) and s come to the driver; their size is
+  checked against `max_driver_bytes`.
   U S is never formed from U: U S = A V, computed by `IndexedRowMatrix.multiply`.
 * G4 scores users in Arrow batches with `mapInPandas` against a broadcast V
   (same size bound) and keeps n + (#rated) candidates per user before the
@@ -32,6 +35,8 @@ CLIP_MIN, CLIP_MAX = 1.0, 5.0
 DEFAULT_MAX_DRIVER_BYTES = 1 << 30  # V and s on the driver / in the broadcast
 SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
 NNZ_PER_PARTITION = 1_000_000       # stored ratings per partition of the SVD row matrix
+GRAM_MAX_ITEMS = 4096               # items x items Gram matrix on the driver: <= 128 MB
+GRAM_RCOND = 1e-7                   # Gram path: singular values below this x s_1 are noise
 
 
 @dataclass
@@ -86,8 +91,18 @@ def _user_rows(entries: DataFrame, n_items: int) -> DataFrame:
     return materialize(spark.createDataFrame(grouped.rdd.map(to_row), schema), "svd_rows")
 
 
+def _svd_from_gram(gram: np.ndarray, k: int) -> tuple[list[float], np.ndarray]:
+    """Top-k right singular vectors and values of A from G = A^T A."""
+    evals, evecs = np.linalg.eigh(gram)
+    order = np.argsort(evals)[::-1][:k]
+    sv = np.sqrt(np.clip(evals[order], 0.0, None))
+    keep = sv > GRAM_RCOND * (sv[0] if len(sv) else 0.0)
+    return [float(x) for x in sv[keep]], evecs[:, order][:, keep]
+
+
 def svd_train(train: DataFrame, k: int = 50,
-              max_driver_bytes: int = DEFAULT_MAX_DRIVER_BYTES) -> SVDModel:
+              max_driver_bytes: int = DEFAULT_MAX_DRIVER_BYTES,
+              gram_max_items: int = GRAM_MAX_ITEMS) -> SVDModel:
     """Rank-k truncated SVD of the centred rating matrix."""
     from pyspark.mllib.linalg import DenseMatrix
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
@@ -104,9 +119,12 @@ def svd_train(train: DataFrame, k: int = 50,
     rows = _user_rows(entries, n_items).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mat = IndexedRowMatrix(rows, numCols=n_items)
-        svd = mat.computeSVD(k, computeU=False)
-        s = [float(x) for x in svd.s.toArray()]
-        v = svd.V.toArray()  # n_items x k', column j pairs with s[j]
+        if n_items <= gram_max_items:
+            s, v = _svd_from_gram(mat.computeGramianMatrix().toArray(), k)
+        else:
+            svd = mat.computeSVD(k, computeU=False)
+            s = [float(x) for x in svd.s.toArray()]
+            v = svd.V.toArray()  # n_items x k', column j pairs with s[j]
         us = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], v.ravel(order="F").tolist()))
         user_factors = spark.createDataFrame(
             us.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
