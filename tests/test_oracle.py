@@ -1,9 +1,14 @@
-"""Every registered query against its DuckDB oracle (or rows-only).
+"""Every registered query against its DuckDB oracle (or rows-only), plus a
+plan guard on the same DataFrame: no Cartesian product, nested-loop join or
+row-at-a-time Python UDF; Arrow mapInPandas only in the SVD-scoring jobs.
 
 Runs on sf0.001 by default; set SPARKREC_ORACLE_SF=/root/testdata/sf0.01 for
 the driver's size."""
 
+import contextlib
+import io
 import os
+import re
 
 import pytest
 
@@ -13,6 +18,9 @@ from oracle_compare import duck, frame_hash
 import __spark_entry__ as E
 
 SF = os.environ.get("SPARKREC_ORACLE_SF", SF001)
+BAD = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython")
+SVD_SCORING = {"svd_recommendations", "hybrid_recommendations", "weight_sweep",
+               "unified_recommendations_all"}
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +29,15 @@ def con():
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_query_matches_oracle(spark, con, name):
-    sp = E.queries()[name](spark, SF).toPandas()
+def test_query(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    plan = buf.getvalue()
+    assert not BAD.findall(plan), BAD.findall(plan)
+    assert ("MapInPandas" in plan) == (name in SVD_SCORING)
+    sp = df.toPandas()
     oracle = E.oracle_sql().get(name)
     if oracle is None:
         assert len(sp.columns) > 0

@@ -49,3 +49,23 @@ def test_svd_orthonormal_and_unseen(spark):
                                   "user_id long, item_id long")
     got = [r["predicted_rating"] for r in fac.svd_predict(m, pairs).collect()]
     assert got == [m.global_mean, m.global_mean]  # unseen user / item: the mean, unclipped
+
+
+def test_pure_ml_weighting_equals_svd_recommender(spark):
+    """Min-max normalisation keeps the order of the ML candidates, so the
+    'Pure ML' weighting of the sweep scores exactly like the SVD recommender."""
+    from sparkrec.operators import hybrid as hyb
+    from sparkrec.operators import metrics as met
+    from sparkrec.plans.registry import K, _r2_eval, r2_candidates, trained_model
+    d = datasets.load(spark, SF01, "r2")
+    users, truth = _r2_eval(d)
+    _, cand = r2_candidates(spark, SF01, with_ml=True, users=users)
+    norm = hyb.min_max_normalize(hyb.hybrid_scores_wide(cand))
+    cfg = {"Pure ML": hyb.WEIGHT_CONFIGS["Pure ML"]}
+    sweep = met.evaluate_recommendations(hyb.sweep_recommendations(norm, cfg, n=K), truth, users, K,
+                                         key="config", key_values=list(cfg)).first()
+    svd = fac.svd_recommendations(trained_model(spark, SF01), d.train, d.items, d.genre_strings,
+                                  users=users, n=K)
+    direct = met.evaluate_recommendations(svd, truth, users, K).first()
+    for m in ("n_users", "hit_rate", "precision", "recall"):
+        assert sweep[m] == direct[m]
