@@ -56,7 +56,7 @@ def _dimensions(spark: SparkSession, sf_dir: str, materialized: bool) -> tuple[D
     items = title_year(items_raw)
     if materialized:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-        genres = materialize(genres, f"genres_{tag}")
+        # genres is already read back from the written, range-numbered table
         item_genres = materialize(item_genres, f"item_genres_{tag}")
         items = materialize(items, f"items_{tag}")
     genre_strings = item_genre_strings(item_genres, genres)
