@@ -34,15 +34,34 @@ def test_cf_and_similarity_ranges(spark):
     assert recs.join(d.train, ["user_id", "item_id"], "left_semi").count() == 0
 
 
+def _one_user_equals_batch(spark, run, u):
+    from pyspark.sql import functions as F
+    all_users = run(None)
+    one = run(spark.createDataFrame([(u,)], "user_id long"))
+    a = sorted(tuple(r) for r in all_users.filter(F.col("user_id") == u).collect())
+    b = sorted(tuple(r) for r in one.collect())
+    assert a == b and len(a) > 0
+
+
 def test_batch_equals_single_user(spark, r1):
+    from sparkrec.operators.genre import genre_recommendations
     from sparkrec.operators.popularity import popular_items_for_users
-    all_users = popular_items_for_users(r1.train, r1.items, n=10, min_ratings=20)
-    u = all_users.select("user_id").orderBy("user_id").first()["user_id"]
-    one = popular_items_for_users(r1.train, r1.items, spark.createDataFrame([(u,)], "user_id long"),
-                                  n=10, min_ratings=20)
-    a = [tuple(r) for r in all_users.filter(F.col("user_id") == u).orderBy("rank").collect()]
-    b = [tuple(r) for r in one.orderBy("rank").collect()]
-    assert a == b
+    from sparkrec.operators.similarity import cf_recommendations
+    u = r1.train.select("user_id").orderBy("user_id").first()["user_id"]
+    _one_user_equals_batch(spark, lambda us: popular_items_for_users(
+        r1.train, r1.items, us, n=10, min_ratings=20), u)
+    _one_user_equals_batch(spark, lambda us: genre_recommendations(
+        r1.train, r1.items, r1.item_genres, r1.genres, r1.genre_strings, users=us), u)
+    d = datasets.load(spark, SF01, "r2")
+    sims = r2_similarities(d)[1]
+    u2 = QUERIES["cf_recommendations"](spark, SF01).select("user_id").orderBy("user_id").first()[0]
+    _one_user_equals_batch(spark, lambda us: cf_recommendations(
+        d.train, sims, d.items, d.genre_strings, users=us), u2)
+
+
+def test_test_ratings_are_newest(spark, r1):
+    last_train = r1.train.groupBy("user_id").agg(F.max("ts").alias("m"))
+    assert r1.test.join(last_train, "user_id").filter("ts < m").count() == 0
 
 
 def test_metrics_in_unit_range(spark):
