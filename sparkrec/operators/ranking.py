@@ -8,8 +8,12 @@
   window would put a hot group into one task; here the rows are range-
   partitioned on (group, order), which splits a hot group over many tasks,
   and each row's number is its position in the sorted partition plus the
-  number of rows of its group in earlier partitions. Only a table of
-  (partition, group) counts is shuffled back, never the rows of a group.
+  number of rows of its group in earlier partitions. The positioned rows are
+  written once (so the count table and the rows see the same sampled range
+  bounds) and joined to the (partition, group) count table on that pair of
+  keys, which keeps a hot group spread exactly as the range partitioning did.
+* `join_on_rank` - join rank-bounded candidates to a ranked list: the hot low
+  ranks through a size-bounded broadcast, the rest through a shuffle join.
 
 Order columns must form a total order (end with a unique key), so that row
 numbers are deterministic and survive task retries.
