@@ -49,18 +49,31 @@ def main() -> None:
     from sparkrec.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
 
-    times: dict[str, float] = {}
-    for kind in ("r1", "r2"):
+    times: dict[str, float | None] = {}
+    failed: list[str] = []
+
+    def timed(name, fn):
         t0 = time.perf_counter()
-        datasets.load(spark, sf_dir, kind)
-        times[f"prepare_{kind}"] = round(time.perf_counter() - t0, 3)
+        try:
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            times[name] = None
+            failed.append(name)
+            print(f"{name} failed: {e}", file=sys.stderr)
+
+    for kind in ("r1", "r2"):
+        timed(f"prepare_{kind}", lambda kind=kind: datasets.load(spark, sf_dir, kind))
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        timed(name, lambda name=name: QUERIES[name](spark, sf_dir)
+              .write.format("noop").mode("overwrite").save())
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_headline_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None}))
+    out = {"metric": "total_headline_sec",
+           "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
