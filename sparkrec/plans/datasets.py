@@ -19,7 +19,7 @@ from sparkrec.operators.cleaning import (
     genre_dictionary, item_genre_bridge, item_genre_strings, rating_range_filter, title_year,
 )
 from sparkrec.operators.split import label_split
-from sparkrec.session import materialize
+from sparkrec.session import app_id, materialize
 from sparkrec.sources.fixtures import (
     items_raw_view, ratings_r1_view, ratings_r2_view, users_view,
 )
@@ -47,7 +47,7 @@ _DIMS: dict[tuple[str, str], tuple[DataFrame, ...]] = {}
 def _dimensions(spark: SparkSession, sf_dir: str, materialized: bool) -> tuple[DataFrame, ...]:
     """(items_raw, items, genres, item_genres, genre_strings); the same for every
     rating dataset of a folder, so written once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if materialized and key in _DIMS:
         return _DIMS[key]
     items_raw = items_raw_view(spark, sf_dir)
@@ -70,7 +70,7 @@ def _dimensions(spark: SparkSession, sf_dir: str, materialized: bool) -> tuple[D
 
 def load(spark: SparkSession, sf_dir: str, kind: str = "r1",
          materialized: bool = True) -> RatingData:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (app_id(spark), sf_dir, kind)
     if materialized and key in _CACHE:
         return _CACHE[key]
     items_raw, items, genres, item_genres, genre_strings = _dimensions(spark, sf_dir, materialized)

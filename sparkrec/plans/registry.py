@@ -28,7 +28,7 @@ from sparkrec.operators import split as split_ops
 from sparkrec.operators.lookup import epoch_seconds
 from sparkrec.plans import datasets
 from sparkrec.plans.oracle_views import mr, rnd, with_views, wr
-from sparkrec.session import ensure_checkpoint_dir, materialize
+from sparkrec.session import app_id, ensure_checkpoint_dir, materialize
 from sparkrec.sources import delimited, fixtures, sinks
 from sparkrec.sources.tables import read_table
 
@@ -428,7 +428,7 @@ def similarity_table(d: datasets.RatingData, seed_min: int, min_common: int,
     table, the pairs are computed once per session and written under the
     checkpoint folder; the recommenders read the written table."""
     spark = d.train.sparkSession
-    key = (spark.sparkContext.applicationId, id(d), seed_min, min_common, seed_limit)
+    key = (app_id(spark), id(d), seed_min, min_common, seed_limit)
     if key not in _SIMS:
         seed = materialize(pop.similarity_seed_items(d.train, seed_min, seed_limit), "seed")
         sims = materialize(sim_ops.item_similarities(d.train, seed, min_common), "similarities")
@@ -776,7 +776,7 @@ _MODELS: dict[tuple, fac.SVDModel] = {}
 
 
 def trained_model(spark, sf_dir: str, kind: str = "r2", k: int = SVD_K) -> fac.SVDModel:
-    key = (spark.sparkContext.applicationId, sf_dir, kind, k)
+    key = (app_id(spark), sf_dir, kind, k)
     if key not in _MODELS:
         _MODELS[key] = fac.svd_train(datasets.load(spark, sf_dir, kind).train, k=k)
     return _MODELS[key]
@@ -1034,7 +1034,7 @@ def q_two_weight_grid(spark, sf_dir):
 def _scratch(spark, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for a file round trip."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/sparkrec/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+    return f"{root}/sparkrec/{app_id(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
 @register("read_delimited", with_views("r1", f"""

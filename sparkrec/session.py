@@ -45,11 +45,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="sparkrec-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:  # RDD checkpoints (MLlib) use the same folder; absent on Spark Connect
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id, read from the session conf (works on any session)."""
+    return spark.conf.get("spark.app.id", None) or "app"
+
+
 def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
     """Write `df` as Parquet under the shared checkpoint folder and read it back.
 
@@ -60,6 +68,6 @@ def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/sparkrec/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/sparkrec/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
