@@ -21,12 +21,13 @@ numbers are deterministic and survive task retries.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.session import materialize
+from sparkrec.session import app_id, ensure_checkpoint_dir, materialize
 
 _MID = "_sr_mid"
 _PID = "_sr_pid"
@@ -91,31 +92,65 @@ def global_rank(df: DataFrame, order_cols: Sequence[str | Column], rank_col: str
                .drop(_MID, _PID, _FIRST, _BEFORE))
 
 
+def _positioned_table(df: DataFrame, keys: list[Column], num_partitions: int) -> DataFrame:
+    """Like `_sorted_with_position`, but written as an external table bucketed
+    by partition id, so later windows and aggregates keyed by (partition, group)
+    run without another shuffle of the rows."""
+    spark = df.sparkSession
+    keyed = (df.repartitionByRange(num_partitions, *keys)
+               .sortWithinPartitions(*keys)
+               .withColumn(_MID, F.monotonically_increasing_id())
+               .withColumn(_PID, F.shiftrightunsigned(F.col(_MID), 33)))
+    tag = uuid.uuid4().hex[:12]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkrec/{app_id(spark)}/ranked-{tag}"
+    name = f"sparkrec_ranked_{tag}"
+    keyed.write.mode("overwrite").bucketBy(num_partitions, _PID).option("path", path) \
+        .saveAsTable(name)
+    return spark.table(name)
+
+
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str],
                        order_cols: Sequence[str | Column], rank_col: str = "rn",
                        size_col: str | None = None,
                        num_partitions: int | None = None) -> DataFrame:
     """Exact row number (and optionally group size) per group, skew-safe.
 
-    Group keys must be non-null. The (partition, group) count table has at most
-    #groups + #partitions rows; a hot group contributes one row per partition
-    it spans.
+    Rows are range-partitioned on (group, order) - a hot group is split over
+    many partitions - and written bucketed by partition id. Within a partition
+    a window over (partition, group) numbers the rows without a shuffle. Only
+    groups that cross a partition boundary need the counts of their earlier
+    partitions; such a group is the first or last group of some partition, so
+    at most 2 x #partitions groups qualify and their (partition, group) counts
+    form a table bounded by the partition count, which is broadcast.
+    Group keys must be non-null.
     """
     p = _num_partitions(df, num_partitions)
-    keyed = _sorted_with_position(df, _cols(list(group_cols)) + _cols(order_cols), p)
-    stats = keyed.groupBy(_PID, *group_cols).agg(
-        F.min(_MID).alias(_FIRST), F.count(F.lit(1)).alias(_CNT))
-    w = Window.partitionBy(*group_cols).orderBy(_PID)
-    stats = stats.withColumn(
-        _BEFORE, F.coalesce(F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)))
-    keep = [_PID, *group_cols, _FIRST, _BEFORE]
+    keyed = _positioned_table(df, _cols(list(group_cols)) + _cols(order_cols), p)
+    g = list(group_cols)
+    ends = keyed.groupBy(_PID).agg(
+        F.min_by(F.struct(*g), F.col(_MID)).alias("_f"),
+        F.max_by(F.struct(*g), F.col(_MID)).alias("_l"))            # one row per partition
+    edge_groups = (ends.select(F.explode(F.array("_f", "_l")).alias("_e"))
+                   .select("_e.*").distinct())                      # <= 2 x partitions
+    counts = (keyed.join(F.broadcast(edge_groups), g, "left_semi")
+              .groupBy(_PID, *g).agg(F.count(F.lit(1)).alias(_CNT)))
+    by_group = Window.partitionBy(*g)
+    span = (counts.withColumn("_parts", F.count(F.lit(1)).over(by_group))
+            .filter(F.col("_parts") > 1)
+            .withColumn(_BEFORE, F.coalesce(F.sum(_CNT).over(
+                by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn("_total", F.sum(_CNT).over(by_group))
+            .select(_PID, *g, _BEFORE, "_total"))
+    w = Window.partitionBy(_PID, *g).orderBy(_MID)
+    local = keyed.withColumn("_lrn", F.row_number().over(w))
     if size_col:
-        stats = stats.withColumn(size_col, F.sum(_CNT).over(Window.partitionBy(*group_cols)))
-        keep.append(size_col)
-    out = keyed.join(stats.select(*keep), [_PID, *group_cols])
-    return (out.withColumn(rank_col, F.col(_MID) - F.col(_FIRST) + F.col(_BEFORE) + 1)
-               .drop(_MID, _PID, _FIRST, _BEFORE))
+        local = local.withColumn("_lcnt", F.count(F.lit(1)).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    out = local.join(F.broadcast(span), [_PID, *g], "left")
+    out = out.withColumn(rank_col, F.col("_lrn") + F.coalesce(F.col(_BEFORE), F.lit(0)))
+    if size_col:
+        out = out.withColumn(size_col, F.coalesce(F.col("_total"), F.col("_lcnt")))
+    return out.drop(_MID, _PID, _BEFORE, "_total", "_lrn", "_lcnt")
 
 
 def join_on_rank(cand: DataFrame, ranked: DataFrame, keys: Sequence[str], rank_col: str,
