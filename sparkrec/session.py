@@ -38,11 +38,15 @@ def get_spark(master: str | None = None, app_name: str = "sparkrec",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we pick a fresh local folder ourselves.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session of one
+    machine (``local[...]``, as in tests) may leave it unset and gets a fresh
+    local folder; elsewhere executors could not see such a folder, so we raise.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="sparkrec-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:  # RDD checkpoints (MLlib) use the same folder; absent on Spark Connect
