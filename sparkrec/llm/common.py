@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,28 @@ def pick(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def rewrite_texts(docs: DataFrame, rewrite: Callable[[str], str | None], text_col: str = "text") -> DataFrame:
+    """`docs` with each text (null: empty) replaced; rows whose new text is None go.
+
+    All other columns pass through; ``n_chars``, where there is such a column of
+    whole numbers, becomes the length of the new text.
+    """
+    chars = docs.schema["n_chars"].dataType.simpleString() if "n_chars" in docs.columns else ""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                new = [rewrite(t.as_py() or "") for t in b.column(b.schema.get_field_index(text_col))]
+                b = b.filter(pa.array([t is not None for t in new], pa.bool_()))
+                new = [t for t in new if t is not None]
+                fresh = {text_col: new} | ({"n_chars": [len(t) for t in new]} if chars in ("int", "bigint") else {})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fresh[f.name], f.type) if f.name in fresh else b.column(i) for i, f in enumerate(b.schema)], schema=b.schema)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def wide_enough(df: DataFrame, rows_per_task: int, rows: int) -> int:
     """Partitions for `rows` rows at `rows_per_task` each, at least the session's."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkrec.llm.quality import quality
 from sparkrec.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under byte_bpe_50k."""
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and line-first verdict of every document."""
+    return quality(table(spark, sf_dir, "documents")).drop("clean_text")
