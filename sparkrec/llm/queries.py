@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkrec.llm.quality import quality
 from sparkrec.llm.token_counts import count_tokens
+from sparkrec.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +34,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and line-first verdict of every document."""
     return quality(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
