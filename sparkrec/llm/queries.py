@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkrec.llm.quality import quality
+from sparkrec.llm.suffix_dedup import repeated_bytes
 from sparkrec.llm.token_counts import count_tokens
 from sparkrec.llm.toxicity import toxicity
 
@@ -30,6 +31,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its repeated 100-byte strings."""
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and line-first verdict of every document."""
