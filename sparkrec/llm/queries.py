@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkrec.llm.minhash import near_duplicates
 from sparkrec.llm.quality import quality
 from sparkrec.llm.suffix_dedup import repeated_bytes
 from sparkrec.llm.token_counts import count_tokens
@@ -47,3 +48,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of the documents' two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
