@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkrec.llm.metric_join import near_vectors
 from sparkrec.llm.minhash import near_duplicates
+from sparkrec.llm.pii import personal_data
 from sparkrec.llm.quality import quality
 from sparkrec.llm.suffix_dedup import repeated_bytes
 from sparkrec.llm.token_counts import count_tokens
@@ -45,6 +46,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and secrets of every document."""
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
