@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkrec.llm.licenses import scan
 from sparkrec.llm.metric_join import near_vectors
 from sparkrec.llm.minhash import near_duplicates
+from sparkrec.llm.packing import pack
+from sparkrec.llm.pieces import segment_texts
 from sparkrec.llm.pii import personal_data
 from sparkrec.llm.quality import quality
 from sparkrec.llm.suffix_dedup import repeated_bytes
@@ -34,6 +37,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in bins of four permitted lengths."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without its repeated 100-byte strings."""
@@ -52,6 +61,18 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed licenses of every document."""
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document under piece_bpe_32k."""
+    return segment_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
