@@ -34,6 +34,8 @@ MARK = "▁"
 VECTOR_CHARS = 32
 #: Texts whose words are handled together.
 BLOCK_ROWS = 500
+#: Scores up to this are no scores.
+PLACEHOLDER = -1e8
 #: Taken off the lowest piece score for each byte of a character without piece.
 BYTE_PENALTY = 10.0
 
@@ -65,7 +67,10 @@ class Vocabulary:
             raise ValueError(f"{path}: byte pieces are missing")
         #: Every beginning of a piece: its id if it is a piece itself, else -1.
         self.starts = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
-        self.byte_score = min(s for p, i in self.ids.items() if (s := self.scores[i]) > -1e8) - BYTE_PENALTY
+        # runs of space marks have a placeholder for a score; they count as the rarest piece
+        lowest = min(self.scores[i] for i in self.ids.values() if self.scores[i] > PLACEHOLDER)
+        self.scores = [s if s > PLACEHOLDER else lowest for s in self.scores]
+        self.byte_score = lowest - BYTE_PENALTY
         lone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))
         rest = f"[^{MARK}{lone}]" if lone else f"[^{MARK}]"
         self.words = re.compile(f"{MARK}+{rest}*|{rest}+" + (f"|[{lone}]" if lone else ""))
