@@ -222,16 +222,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Texts link if their sets of `words`-word shingles have a Jaccard similarity
     of at least `percent` per cent; a component is what links connect and is
     named by its smallest id. Null and empty texts, and texts without words,
-    link with nothing. Ids are whole numbers; a row without id is kept and has
-    no component, and rows that repeat an id are judged by their own texts.
+    link with nothing. Ids are whole numbers; a row without id is kept, links
+    nothing and has at most the component of an equal set, and rows that repeat an id are judged by their own texts.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = materialize(texts.mapInArrow(_sign(words, percent), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "signatures")
     links = _links(texts, signed, words, percent)
     named = components(links, "a", "b").select(F.col("node").alias("lead"), "component")
     leads = _leads(signed)
-    rows = (signed.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2").join(leads, ["h1", "h2"])
-            .join(named, "lead", "left").select("doc_id", "n_shingles", F.coalesce("component", "lead").alias("component_id")))
+    rows = (signed.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2").join(leads, ["h1", "h2"], "left")
+            .join(named, "lead", "left").select("doc_id", "n_shingles", F.coalesce("component", "lead", "doc_id").alias("component_id")))
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return rows.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

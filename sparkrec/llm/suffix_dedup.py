@@ -26,7 +26,9 @@ own enhanced suffix array:
    single windows, whose first occurrences are a partially aggregated minimum,
    so no task ever holds such a bucket.
 
-A repeat that is longer than a segment comes out as consecutive groups. Every
+A repeat that is longer than a segment comes out as consecutive groups, and an
+occurrence within a segment that equals an earlier one is listed in that
+segment's group, whose first occurrence stands for it in the suffix arrays. Every
 occurrence but the first of a group is a repeated span; the union of these is
 exactly the bytes covered by a `min_len`-byte string that also starts earlier.
 """
