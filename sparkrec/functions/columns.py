@@ -38,10 +38,10 @@ def col(c: str | Column) -> Column:
 def round_half_up(c: str | Column, scale: int) -> Column:
     """Round like SQL NUMERIC ROUND (half away from zero) and return a double.
 
-    Going through a decimal makes the result identical in every SQL engine,
-    unlike binary-float rounding.
+    The value is rounded once: the decimal between keeps 15 places, as many as a
+    double near 1 holds, so it is no rounding step of its own.
     """
-    return F.round(col(c).cast("decimal(18,6)"), scale).cast("double")
+    return F.round(col(c).cast("decimal(38,15)"), scale).cast("double")
 
 
 def is_close(a: str | Column, b: str | Column, rtol: float = 1e-5,

@@ -33,6 +33,7 @@ from sparkrec.operators.ranking import global_rank, top_n_per
 # Predictions are clipped to the 1..5 star range.
 CLIP_MIN, CLIP_MAX = 1.0, 5.0
 DEFAULT_MAX_DRIVER_BYTES = 1 << 30  # V and s on the driver / in the broadcast
+SCORE_PLACES = 10
 SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
 NNZ_PER_PARTITION = 1_000_000       # stored ratings per partition of the SVD row matrix
 GRAM_MAX_ITEMS = 4096               # items x items Gram matrix on the driver: <= 128 MB
@@ -186,7 +187,8 @@ def svd_scores_topl(model: SVDModel, budget: DataFrame,
             for lo in range(0, len(pdf), block):
                 hi = min(lo + block, len(pdf))
                 pu = np.vstack(factors[lo:hi])
-                s = np.clip(mu + pu @ vt, CLIP_MIN, CLIP_MAX)
+                # ranked on 10 places: block size and partitioning change the last bits
+                s = np.round(np.clip(mu + pu @ vt, CLIP_MIN, CLIP_MAX), SCORE_PLACES)
                 out_u, out_i, out_s = [], [], []
                 for row in range(hi - lo):
                     lim = int(min(limits[lo + row], n_items))
@@ -218,6 +220,7 @@ def svd_recommendations(model: SVDModel, train: DataFrame, items: DataFrame,
     uf = model.user_factors.select("user_id")
     if users is not None:
         uf = uf.join(users.select("user_id"), "user_id", "left_semi")
+        watched = watched.join(users.select("user_id").distinct(), "user_id", "left_semi")
     if exclude_watched:
         w = watched.groupBy("user_id").agg(F.count(F.lit(1)).alias("_w"))
         budget = uf.join(w, "user_id", "left").select(

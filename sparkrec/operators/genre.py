@@ -73,6 +73,8 @@ def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataF
         genre_items, ["genre_id"], [F.col("weighted_rating").desc(), F.col("item_id").asc()],
         rank_col="g_rank")
     watched = train.select("user_id", "item_id")
+    if users is not None:
+        watched = watched.join(users.select("user_id").distinct(), "user_id", "left_semi")
     w = (watched.join(genre_items.select("item_id", "genre_id"), "item_id")
          .join(prefs.select("user_id", "genre_id"), ["user_id", "genre_id"], "left_semi")
          .groupBy("user_id", "genre_id").agg(F.count(F.lit(1)).alias("_w")))
@@ -82,7 +84,8 @@ def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataF
                          F.explode(F.sequence(F.lit(1).cast("bigint"),
                                               F.col("_l").cast("bigint"))).alias("g_rank"))
     n_genres = max(1, genres.count())  # the genre vocabulary: one small count
-    low = max(1, (LOW_RANK_ROWS if low_rank_rows is None else low_rank_rows) // n_genres)
+    # 0 for a vocabulary beyond the bound: then no rank is broadcast
+    low = (LOW_RANK_ROWS if low_rank_rows is None else low_rank_rows) // n_genres
     cand = (join_on_rank(cand, ranked, ["genre_id"], "g_rank", low)
             .join(watched, ["user_id", "item_id"], "left_anti")
             .withColumn("combined", F.col("weighted_rating") * (F.col("pref") / F.lit(100.0))))

@@ -33,8 +33,15 @@ def _ratio(num: Column, den: Column) -> Column:
 
 # ------------------------------------------------------------ users & truth
 
+def eval_users(test: DataFrame, min_ratings: int = 1) -> DataFrame:
+    """All test users with at least `min_ratings` test ratings."""
+    return (test.groupBy("user_id").agg(F.count(F.lit(1)).alias("rating_count"))
+            .filter(F.col("rating_count") >= min_ratings).select("user_id"))
+
+
 def eval_users_heavy(test: DataFrame, limit: int = 1000, min_ratings: int = 20) -> DataFrame:
-    """Test users with >= min_ratings test ratings, most first (ties by id)."""
+    """The `limit` heaviest test users with >= min_ratings test ratings,
+    most first (ties by id)."""
     c = (test.groupBy("user_id").agg(F.count(F.lit(1)).alias("rating_count"))
          .filter(F.col("rating_count") >= min_ratings))
     order = [F.col("rating_count").desc(), F.col("user_id").asc()]
@@ -175,7 +182,8 @@ def compare_algorithms(results: dict[str, DataFrame], truth: DataFrame, users: D
 
 
 def relative_improvement(metrics: DataFrame, base: str, other: str) -> DataFrame:
-    """(other - base) / base * 100 for each metric of two algorithms."""
+    """(other - base) / base * 100 for each metric of two algorithms; null
+    where the base is 0 (the ratio is not defined)."""
     long = metrics.select("algorithm", F.expr(
         "stack(3, 'hit_rate', hit_rate, 'precision', precision, 'recall', recall) "
         "AS (metric, value)"))
@@ -184,5 +192,5 @@ def relative_improvement(metrics: DataFrame, base: str, other: str) -> DataFrame
     return a.join(b, "metric").select(
         "metric", F.lit(base).alias("base"), F.lit(other).alias("other"), "base_value",
         "other_value",
-        metric_round((F.col("other_value") - F.col("base_value")) / F.col("base_value")
+        metric_round(F.try_divide(F.col("other_value") - F.col("base_value"), F.col("base_value"))
                      * F.lit(100.0)).alias("improvement_pct"))

@@ -60,14 +60,15 @@ def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame
                             low_ranks: int | None = None) -> DataFrame:
     """For every user, the top n popular items the user has not rated.
 
-    Rank bound: a user with w rated items among the ranked ones only needs
-    global ranks 1..n+w, so the candidate rows are n*|users| + (watched
-    ranked items) - never users x items."""
+    Rank bound: a user with w rated items only needs global ranks 1..n+w, so the
+    candidate rows are n*|users| + ratings - never users x items."""
     ranked = popular_ranked(train, items, min_ratings)
     watched = train.select("user_id", "item_id")
-    users = users if users is not None else watched.select("user_id").distinct()
-    w = (watched.join(ranked.select("item_id"), "item_id")
-         .groupBy("user_id").agg(F.count(F.lit(1)).alias("_w")))
+    if users is None:
+        users = watched.select("user_id").distinct()
+    else:  # requested users are cut out before anything is counted for them
+        watched = watched.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    w = watched.groupBy("user_id").agg(F.count(F.lit(1)).alias("_w"))
     budget = users.select("user_id").join(w, "user_id", "left").select(
         "user_id", (F.lit(n) + F.coalesce(F.col("_w"), F.lit(0))).alias("_l"))
     cand = budget.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
@@ -81,12 +82,14 @@ def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame
 
 
 def similarity_seed_items(train: DataFrame, min_ratings: int = 100,
-                          limit: int = 500) -> DataFrame:
-    """D3: ids of the `limit` most rated items with >= min_ratings ratings
-    (ties by item_id). The result is bounded by `limit` rows."""
+                          limit: int | None = 500) -> DataFrame:
+    """D3: ids of the `limit` most rated items (None: all) with >= min_ratings
+    ratings, numbered by count (ties by item_id)."""
     counts = (train.groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count"))
               .filter(F.col("rating_count") >= min_ratings))
     order = [F.col("rating_count").desc(), F.col("item_id").asc()]
+    if limit is None:
+        return global_rank(counts, order, "seed_rank")
     return number_rows(counts.orderBy(*order).limit(limit), order, "seed_rank")
 
 

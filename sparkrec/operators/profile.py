@@ -28,11 +28,11 @@ def rating_distribution(ratings: DataFrame) -> DataFrame:
 def _stddev_from_sums(c: str) -> Column:
     """Sample standard deviation from the exact sums n, sum x, sum x^2 (ratings
     are multiples of 0.5, so the sums are exact and the result is the same in
-    any engine and for any partitioning)."""
+    any engine and for any partitioning); null for a single value."""
     x = F.col(c)
     n = F.count(x).cast("double")
     s1, s2 = F.sum(x), F.sum(x * x)
-    return F.sqrt((s2 - s1 * s1 / n) / (n - F.lit(1.0)))
+    return F.sqrt(F.try_divide(s2 - s1 * s1 / n, n - F.lit(1.0)))
 
 
 def _bucket_profile(counts: DataFrame, edges: list[tuple[str, int | None, int | None]],

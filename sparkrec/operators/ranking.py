@@ -21,13 +21,12 @@ numbers are deterministic and survive task retries.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.session import app_id, ensure_checkpoint_dir, materialize
+from sparkrec.session import materialize
 
 _MID = "_sr_mid"
 _PID = "_sr_pid"
@@ -92,23 +91,6 @@ def global_rank(df: DataFrame, order_cols: Sequence[str | Column], rank_col: str
                .drop(_MID, _PID, _FIRST, _BEFORE))
 
 
-def _positioned_table(df: DataFrame, keys: list[Column], num_partitions: int) -> DataFrame:
-    """Like `_sorted_with_position`, but written as an external table bucketed
-    by partition id, so later windows and aggregates keyed by (partition, group)
-    run without another shuffle of the rows."""
-    spark = df.sparkSession
-    keyed = (df.repartitionByRange(num_partitions, *keys)
-               .sortWithinPartitions(*keys)
-               .withColumn(_MID, F.monotonically_increasing_id())
-               .withColumn(_PID, F.shiftrightunsigned(F.col(_MID), 33)))
-    tag = uuid.uuid4().hex[:12]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkrec/{app_id(spark)}/ranked-{tag}"
-    name = f"sparkrec_ranked_{tag}"
-    keyed.write.mode("overwrite").bucketBy(num_partitions, _PID).option("path", path) \
-        .saveAsTable(name)
-    return spark.table(name)
-
-
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str],
                        order_cols: Sequence[str | Column], rank_col: str = "rn",
                        size_col: str | None = None,
@@ -116,16 +98,15 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str],
     """Exact row number (and optionally group size) per group, skew-safe.
 
     Rows are range-partitioned on (group, order) - a hot group is split over
-    many partitions - and written bucketed by partition id. Within a partition
-    a window over (partition, group) numbers the rows without a shuffle. Only
-    groups that cross a partition boundary need the counts of their earlier
+    many partitions - and written with their position. A window over
+    (partition, group) numbers the rows of each partition. Only groups that cross a partition boundary need the counts of their earlier
     partitions; such a group is the first or last group of some partition, so
     at most 2 x #partitions groups qualify and their (partition, group) counts
     form a table bounded by the partition count, which is broadcast.
     Group keys must be non-null.
     """
     p = _num_partitions(df, num_partitions)
-    keyed = _positioned_table(df, _cols(list(group_cols)) + _cols(order_cols), p)
+    keyed = _sorted_with_position(df, _cols(list(group_cols)) + _cols(order_cols), p)
     g = list(group_cols)
     ends = keyed.groupBy(_PID).agg(
         F.min_by(F.struct(*g), F.col(_MID)).alias("_f"),
@@ -160,8 +141,12 @@ def join_on_rank(cand: DataFrame, ranked: DataFrame, keys: Sequence[str], rank_c
     Low ranks are wanted by every user (rank 1 once per user), so they are hot
     keys: they go through a broadcast of the ranked rows with rank <= low_ranks
     (at most low_ranks rows per key value - a proven bound). Higher ranks are
-    reached only by users with many rated items and use a shuffle join."""
+    reached only by users with many rated items and use a shuffle join, whose
+    ranked side has one row per key, so AQE can split a hot one. With
+    `low_ranks` 0 that join takes all ranks."""
     on = [*keys, rank_col]
+    if low_ranks < 1:
+        return cand.join(ranked, on)
     low = cand.filter(F.col(rank_col) <= low_ranks).join(
         F.broadcast(ranked.filter(F.col(rank_col) <= low_ranks)), on)
     high = cand.filter(F.col(rank_col) > low_ranks).join(

@@ -3,7 +3,7 @@
 Similarities are cosine over common raters. Pairs come from a self-join of
 the (seed-restricted) ratings on user_id, so only item pairs that share a
 rater are ever formed - never a cross join of items. Per user the join emits
-at most s*(s-1)/2 pairs for s seed items rated, bounded by the seed size.
+at most s*(s-1)/2 pairs for s seed items rated.
 """
 
 from __future__ import annotations
@@ -30,9 +30,8 @@ def _cosine(dot: str = "_dot", s1: str = "_s1", s2: str = "_s2") -> Column:
 
 def _seed_ratings(train: DataFrame, seed: DataFrame, extra: list[str] | None = None) -> DataFrame:
     cols = ["item_id"] + (extra or [])
-    # the seed list is bounded by its `limit` parameter (500 by default)
-    return train.select("user_id", "item_id", "rating").join(
-        F.broadcast(seed.select(*cols)), "item_id")
+    # the seed may be the whole catalogue, so its size decides the join, not a hint
+    return train.select("user_id", "item_id", "rating").join(seed.select(*cols), "item_id")
 
 
 def pair_similarity(train: DataFrame, pairs: DataFrame, min_common: int = 20) -> DataFrame:

@@ -39,6 +39,8 @@ class RatingData:
     ratings: DataFrame        # rating_id, user_id, item_id, rating, ts
     train: DataFrame
     test: DataFrame
+    folder: str = ""
+    kind: str = ""
 
 
 _DIMS: dict[tuple[str, str], tuple[DataFrame, ...]] = {}
@@ -75,17 +77,19 @@ def load(spark: SparkSession, sf_dir: str, kind: str = "r1",
         return _CACHE[key]
     items_raw, items, genres, item_genres, genre_strings = _dimensions(spark, sf_dir, materialized)
     ratings = rating_range_filter(_VIEWS[kind](spark, sf_dir))
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    if materialized:
+        # ratings and split are written once and read by every job
+        ratings = materialize(ratings, f"ratings_{kind}_{tag}")
     labelled = label_split(ratings)
     if materialized:
-        # the split is written once and read by every job
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         labelled = materialize(labelled, f"split_{kind}_{tag}")
     train = labelled.filter("not is_test").drop("is_test")
     test = labelled.filter("is_test").drop("is_test")
     data = RatingData(
         users=users_view(spark, sf_dir), items_raw=items_raw, items=items, genres=genres,
         item_genres=item_genres, genre_strings=genre_strings, ratings=ratings,
-        train=train, test=test)
+        train=train, test=test, folder=sf_dir, kind=kind)
     if materialized:
         _CACHE[key] = data
     return data

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 
 def rnd(expr: str, scale: int) -> str:
-    """Half-up decimal rounding returned as DOUBLE (same recipe as Spark side)."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,6)), {scale}) AS DOUBLE)"
+    """SQL's ROUND of an exact number: half away from zero, once, at `scale` places."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,15)), {scale}) AS DOUBLE)"
 
 
 def mr(expr: str) -> str:
-    """Metric rounding to 12 decimals (same recipe as the Spark side)."""
+    """A metric at 12 decimals."""
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,18)), 12) AS DOUBLE)"
 
 
@@ -30,7 +30,8 @@ users AS (
          CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
          CAST([1, 18, 25, 35, 45, 50, 56][CAST(c_custkey % 7 AS INTEGER) + 1] AS INTEGER) AS age,
          CAST(c_nationkey % 21 AS INTEGER) AS occupation,
-         lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS zip_code
+         CASE WHEN c_custkey < 100000 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0')
+              ELSE CAST(c_custkey AS VARCHAR) END AS zip_code
   FROM customer),
 items_raw AS (
   SELECT p_partkey AS item_id,
@@ -81,7 +82,7 @@ ratings_dedup AS (
 
 _SPLIT = r"""
 ratings AS (
-  SELECT user_id * 1000000 + item_id AS rating_id, user_id, item_id, rating, ts
+  SELECT user_id * 1000000000 + item_id AS rating_id, user_id, item_id, rating, ts
   FROM ratings_dedup WHERE rating BETWEEN 0.5 AND 5.0),
 labelled AS (
   SELECT rating_id, user_id, item_id, rating, ts,

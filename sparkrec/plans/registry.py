@@ -416,19 +416,19 @@ def q_title_search(spark, sf_dir):
 
 # ---------------------------------------------------------------- similarity
 
-SEED_MIN, SEED_LIMIT, MIN_COMMON = 30, 500, 20
+SEED_MIN, SEED_LIMIT, MIN_COMMON = 30, None, 20  # all items with enough ratings
 
 
 _SIMS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 
 def similarity_table(d: datasets.RatingData, seed_min: int, min_common: int,
-                     seed_limit: int = SEED_LIMIT) -> tuple[DataFrame, DataFrame]:
+                     seed_limit: int | None = SEED_LIMIT) -> tuple[DataFrame, DataFrame]:
     """(seed items, similarity table). Like the original's stored similarity
     table, the pairs are computed once per session and written under the
     checkpoint folder; the recommenders read the written table."""
     spark = d.train.sparkSession
-    key = (app_id(spark), id(d), seed_min, min_common, seed_limit)
+    key = (app_id(spark), d.folder, d.kind, seed_min, min_common, seed_limit)
     if key not in _SIMS:
         seed = materialize(pop.similarity_seed_items(d.train, seed_min, seed_limit), "seed")
         sims = materialize(sim_ops.item_similarities(d.train, seed, min_common), "similarities")
@@ -440,11 +440,12 @@ def r2_similarities(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
     return similarity_table(d, SEED_MIN, MIN_COMMON)
 
 
-def _sim_ctes(seed_min: int, seed_limit: int, min_common: int) -> str:
+def _sim_ctes(seed_min: int, seed_limit: int | None, min_common: int) -> str:
+    cut = f" WHERE seed_rank <= {seed_limit}" if seed_limit else ""
     return f"""
 seed AS (SELECT item_id, seed_rank FROM (
            SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS seed_rank
-           FROM train GROUP BY item_id HAVING count(*) >= {seed_min}) WHERE seed_rank <= {seed_limit}),
+           FROM train GROUP BY item_id HAVING count(*) >= {seed_min}){cut}),
 seed_ratings AS (SELECT t.user_id, t.item_id, t.rating, s.seed_rank FROM train t JOIN seed s USING (item_id)),
 co_rated AS (
   SELECT x.item_id AS item_id_1, y.item_id AS item_id_2, count(*) AS common_users,
@@ -561,7 +562,7 @@ R1_SEED_MIN, R1_MIN_COMMON = 20, 2
 
 
 def r1_eval(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
-    users = met.eval_users_heavy(d.test, EVAL_LIMIT, EVAL_MIN_TEST).select("user_id")
+    users = met.eval_users(d.test)
     return users, met.ground_truth(d.test, users)
 
 
@@ -577,8 +578,7 @@ def r1_recommenders(d: datasets.RatingData, users: DataFrame, n: int = K) -> dic
 
 
 _EVAL_CTES = f"""
-ev_users AS (SELECT user_id FROM test GROUP BY user_id HAVING count(*) >= {EVAL_MIN_TEST}
-             ORDER BY count(*) DESC, user_id LIMIT {EVAL_LIMIT}),
+ev_users AS (SELECT DISTINCT user_id FROM test),
 truth AS (SELECT u.user_id, t.item_id FROM ev_users u
           LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
 """ + _pop_base(POP_M) + f""",
@@ -827,13 +827,81 @@ def q_rmse_pairs(spark, sf_dir):
     return met.rmse(pred.withColumnRenamed("predicted_rating", "predicted"))
 
 
+# At full rank the model is known without an SVD: A = U S V^T exactly, so a rated
+# cell predicts its own rating (clipped to 1..5), any other cell the global mean,
+# and the squared singular values add up to the squared entries of A.
+FULL_RANK = 128  # r2 has 100 items
+
+_FULL_CTES = """
+mu AS (SELECT sum(rating) / count(*) AS mu FROM train),
+ml_recs AS (
+  SELECT u.user_id, row_number() OVER (PARTITION BY u.user_id ORDER BY i.item_id) AS rank, i.item_id,
+         ROUND(mu.mu, 10) AS predicted_rating
+  FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN (SELECT DISTINCT item_id FROM train) i CROSS JOIN mu
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = i.item_id))"""
+
+_FULL_PREDICT = """
+SELECT l.user_id, l.item_id,
+       ROUND(CASE WHEN l.is_test THEN mu.mu ELSE greatest(1.0, least(5.0, l.rating)) END, 6) AS predicted_rating
+FROM labelled l CROSS JOIN mu"""
+
+
+def _predict_all(spark, sf_dir: str, model: fac.SVDModel) -> DataFrame:
+    d = datasets.load(spark, sf_dir, "r2")
+    pairs = d.train.unionByName(d.test).select("user_id", "item_id")
+    return fac.svd_predict(model, pairs).select(
+        "user_id", "item_id", F.round("predicted_rating", 6).alias("predicted_rating"))
+
+
+@register("svd_train_full_rank", with_views("r2", """
+SELECT ROUND(sum((rating - mu.mu) * (rating - mu.mu)), 4) AS energy, ROUND(max(mu.mu), 6) AS global_mean
+FROM train CROSS JOIN mu""", _FULL_CTES))
+def q_svd_train_full_rank(spark, sf_dir):
+    m = trained_model(spark, sf_dir, k=FULL_RANK)
+    energy = sum(x * x for x in m.singular_values)
+    return spark.createDataFrame([(round(energy, 4), round(m.global_mean, 6))], "energy double, global_mean double")
+
+
+@register("svd_predict_full_rank", with_views("r2", _FULL_PREDICT, _FULL_CTES))
+def q_svd_predict_full_rank(spark, sf_dir):
+    """G3 for every train and test cell."""
+    return _predict_all(spark, sf_dir, trained_model(spark, sf_dir, k=FULL_RANK))
+
+
+@register("model_save_load_full_rank", with_views("r2", _FULL_PREDICT, _FULL_CTES))
+def q_model_save_load_full_rank(spark, sf_dir):
+    """The same predictions from the model written and read again."""
+    path = _scratch(spark, "svd-full")
+    fac.model_save(trained_model(spark, sf_dir, k=FULL_RANK), path)
+    return _predict_all(spark, sf_dir, fac.model_load(spark, path))
+
+
+@register("svd_recommendations_full_rank", with_views("r2", """
+SELECT r.user_id, r.rank, r.item_id, i.title, gs.genres, r.predicted_rating
+FROM ml_recs r JOIN items i ON i.item_id = r.item_id LEFT JOIN genre_strings gs ON gs.item_id = r.item_id
+WHERE r.rank <= 10""", _FULL_CTES))
+def q_svd_recommendations_full_rank(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    return fac.svd_recommendations(trained_model(spark, sf_dir, k=FULL_RANK), d.train, d.items, d.genre_strings, n=10)
+
+
+@register("rmse_pairs_full_rank", with_views("r2", """
+SELECT count(*) AS n_pairs, ROUND(sqrt(avg((t.rating - mu.mu) * (t.rating - mu.mu))), 6) AS rmse
+FROM test t CROSS JOIN mu""", _FULL_CTES))
+def q_rmse_pairs_full_rank(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r2")
+    pred = fac.svd_predict(trained_model(spark, sf_dir, k=FULL_RANK),
+                           d.test.select("user_id", "item_id", F.col("rating").alias("actual")))
+    return met.rmse(pred.withColumnRenamed("predicted_rating", "predicted")).withColumn("rmse", F.round("rmse", 6))
+
+
 # -------------------------------------------------------------------- hybrid
 
 HYB_M = 30
 
 
 def r2_candidates(spark, sf_dir: str, with_ml: bool, users: DataFrame | None = None,
-                  pool: int = hyb.POOL) -> tuple[datasets.RatingData, DataFrame]:
+                  pool: int = hyb.POOL, k: int = SVD_K) -> tuple[datasets.RatingData, DataFrame]:
     d = datasets.load(spark, sf_dir, "r2")
     if users is None:
         users = d.train.select("user_id").distinct()
@@ -848,7 +916,7 @@ def r2_candidates(spark, sf_dir: str, with_ml: bool, users: DataFrame | None = N
                                                  users=users, n=pool),
     }
     if with_ml:
-        results["ml"] = fac.svd_recommendations(trained_model(spark, sf_dir), d.train, d.items,
+        results["ml"] = fac.svd_recommendations(trained_model(spark, sf_dir, k=k), d.train, d.items,
                                                 d.genre_strings, users=users, n=pool)
     return d, hyb.hybrid_candidates(results)
 
@@ -947,6 +1015,23 @@ def q_hybrid_recommendations(spark, sf_dir):
     return hyb.hybrid_recommendations(cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train))
 
 
+_CF_POOL = f"SELECT user_id, item_id, 'similarity', recommendation_score FROM cf_recs WHERE rank <= {hyb.POOL})"
+_ML_HYB_CTES = _FULL_CTES + "," + _HYB_CTES.replace(_CF_POOL, _CF_POOL[:-1] + f"""
+  UNION ALL
+  SELECT user_id, item_id, 'ml', predicted_rating FROM ml_recs WHERE rank <= {hyb.POOL})""")
+
+
+@register("hybrid_recommendations_full_rank", with_views("r2", """
+SELECT * FROM (
+  SELECT b.user_id, row_number() OVER (PARTITION BY b.user_id ORDER BY b.hybrid_score DESC, b.item_id) AS rank,
+         b.item_id, d.title, d.genres, d.avg_rating, d.rating_count, b.hybrid_score
+  FROM blend b JOIN details d ON d.item_id = b.item_id) WHERE rank <= 10""", _ML_HYB_CTES + _NORM_CTE))
+def q_hybrid_recommendations_full_rank(spark, sf_dir):
+    """H5 with all four algorithms, the factor model at full rank."""
+    d, cand = r2_candidates(spark, sf_dir, with_ml=True, k=FULL_RANK)
+    return hyb.hybrid_recommendations(cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train))
+
+
 @register("two_way_blend", with_views("r2", """
 SELECT user_id, item_id, genre_norm, similarity_norm,
        10.0 * (0.4 * genre_norm + 0.6 * similarity_norm) AS blend_score FROM (
@@ -963,7 +1048,7 @@ def q_two_way_blend(spark, sf_dir):
 
 
 def _r2_eval(d: datasets.RatingData) -> tuple[DataFrame, DataFrame]:
-    users = met.eval_users_heavy(d.test, EVAL_LIMIT, EVAL_MIN_TEST).select("user_id")
+    users = met.eval_users(d.test)
     return users, met.ground_truth(d.test, users)
 
 
@@ -979,14 +1064,48 @@ def q_weight_sweep(spark, sf_dir):
                                         key_values=list(hyb.WEIGHT_CONFIGS))
 
 
+def _sweep_sql() -> str:
+    algos = ("popularity", "genre", "similarity", "ml")
+    vals = ", ".join("('" + name + "', " + ", ".join(repr(float(w.get(a, 0.0))) for a in algos) + ")"
+                     for name, w in hyb.WEIGHT_CONFIGS.items())
+    return f""",
+ev_users AS (SELECT DISTINCT user_id FROM test),
+truth AS (SELECT u.user_id, t.item_id FROM ev_users u
+          LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
+sweep_recs AS (
+  SELECT * FROM (
+    SELECT c.config AS algorithm, n.user_id, n.item_id,
+           row_number() OVER (PARTITION BY c.config, n.user_id
+                              ORDER BY 0.0 + c.wp * popularity_norm + c.wg * genre_norm
+                                       + c.ws * similarity_norm + c.wm * ml_norm DESC, n.item_id) AS rank
+    FROM norm n CROSS JOIN (VALUES {vals}) c(config, wp, wg, ws, wm)) WHERE rank <= {K})"""
+
+
+_s_ctes, _ = _metric_sql("sweep_recs", K, list(hyb.WEIGHT_CONFIGS))
+
+
+@register("weight_sweep_full_rank", with_views(
+    "r2", "SELECT algorithm AS config, n_users, hit_rate, precision, recall, k FROM summary",
+    _ML_HYB_CTES + _NORM_CTE + _sweep_sql() + "," + _s_ctes))
+def q_weight_sweep_full_rank(spark, sf_dir):
+    """I15 with the factor model at full rank."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users, truth = _r2_eval(d)
+    _, cand = r2_candidates(spark, sf_dir, with_ml=True, users=users, k=FULL_RANK)
+    norm = hyb.min_max_normalize(hyb.hybrid_scores_wide(cand))
+    recs = hyb.sweep_recommendations(norm, hyb.WEIGHT_CONFIGS, n=K)
+    return met.evaluate_recommendations(recs, truth, users, K, key="config",
+                                        key_values=list(hyb.WEIGHT_CONFIGS)).select(
+        "config", "n_users", "hit_rate", "precision", "recall", "k")
+
+
 _GRID = hyb.two_weight_configs()
 
 
 def _grid_sql() -> str:
     vals = ", ".join(f"('{name}', {w['genre']!r}, {w['similarity']!r})" for name, w in _GRID.items())
     return f""",
-ev_users AS (SELECT user_id FROM test GROUP BY user_id HAVING count(*) >= {EVAL_MIN_TEST}
-             ORDER BY count(*) DESC, user_id LIMIT {EVAL_LIMIT}),
+ev_users AS (SELECT DISTINCT user_id FROM test),
 truth AS (SELECT u.user_id, t.item_id FROM ev_users u
           LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
 g2 AS (
@@ -1038,10 +1157,12 @@ def _scratch(spark, name: str) -> str:
 
 
 @register("read_delimited", with_views("r1", f"""
-SELECT user_id, item_id, rating, {_epoch('ts')} AS timestamp FROM ratings"""))
+SELECT 'users' AS file, concat_ws('::', user_id, gender, age, occupation, zip_code) AS line FROM users
+UNION ALL SELECT 'movies', concat_ws('::', item_id, title, genres) FROM items_raw
+UNION ALL SELECT 'ratings', concat_ws('::', user_id, item_id, rating, {_epoch('ts')}) FROM ratings"""))
 def q_read_delimited(spark, sf_dir):
     """A1: the r1 users, items and ratings exported as `::` Latin-1 text, then
-    read back with the fixed layouts; returns the ratings file."""
+    read back with the fixed layouts; returns the rows of all three files."""
     d = datasets.load(spark, sf_dir, "r1")
     folder = _scratch(spark, "dat")
     delimited.write_delimited(d.users, f"{folder}/users.dat")
@@ -1049,7 +1170,9 @@ def q_read_delimited(spark, sf_dir):
     delimited.write_delimited(
         d.ratings.select("user_id", "item_id", "rating", epoch_seconds("ts").alias("timestamp")),
         f"{folder}/ratings.dat")
-    return delimited.read_all(spark, folder)["ratings"]
+    parts = [df.select(F.lit(name).alias("file"), F.concat_ws("::", *df.columns).alias("line"))
+             for name, df in delimited.read_all(spark, folder).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("snapshot_write", with_views("r1", """

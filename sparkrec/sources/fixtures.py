@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from sparkrec.functions.columns import AGE_CODES
 from sparkrec.sources.tables import read_table
 
-# Fixed values of the derivation: rating_id = user_id * 1,000,000 + item_id;
+# Fixed values of the derivation: rating_id = user_id * 1,000,000,000 + item_id (ids
+# stay apart for item ids below the factor);
 # a title has no year when p_partkey % 50 = 0; an item has no genres when
 # p_partkey % 97 = 0; release year = 1950 + p_size.
-RATING_ID_FACTOR = 1_000_000
+RATING_ID_FACTOR = 1_000_000_000
 
 
 def users_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def users_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
         F.element_at(ages, (F.col("c_custkey") % 7 + 1).cast("int")).cast("int").alias("age"),
         (F.col("c_nationkey") % 21).cast("int").alias("occupation"),
-        F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("zip_code"),
+        F.format_string("%05d", F.col("c_custkey")).alias("zip_code"),
     )
 
 

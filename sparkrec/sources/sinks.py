@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
@@ -25,10 +26,19 @@ def snapshot_write(tables: dict[str, DataFrame], folder: str, csv: bool = False)
 def append_similarities(spark: SparkSession, sims: DataFrame, path: str,
                         strict: bool = False) -> DataFrame:
     """Append (item_id_1, item_id_2, ...) pairs to the table at `path`,
-    creating it if missing. The pair is a unique key: pairs already stored are
-    skipped (anti-join on the key), or rejected with an error in `strict` mode
-    like the original's UNIQUE constraint. Returns the stored table."""
+    creating it if missing. The pair is a unique key, within the batch and
+    against the table: of equal pairs in a batch the smallest row is kept, pairs
+    already stored are skipped (anti-join on the key); in `strict` mode either is
+    rejected with an error, like the original's UNIQUE constraint. Returns the
+    stored table. Reading, checking and appending is not atomic: one writer at a
+    time."""
     key = ["item_id_1", "item_id_2"]
+    if strict and not sims.groupBy(*key).count().where("count > 1").isEmpty():
+        raise ValueError("duplicate (item_id_1, item_id_2) pairs within the batch")
+    # one row per pair, the first in the order of all columns
+    rest = [c for c in sims.columns if c not in key]
+    sims = sims.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, "_r.*").select(*sims.columns) if rest \
+        else sims.dropDuplicates(key)
     try:
         existing = spark.read.parquet(path)
     except AnalysisException:
