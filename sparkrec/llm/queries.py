@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkrec.llm.licenses import scan
 from sparkrec.llm.metric_join import near_vectors
 from sparkrec.llm.minhash import near_duplicates
+from sparkrec.llm.oracles import SQL
 from sparkrec.llm.packing import pack
 from sparkrec.llm.pieces import segment_texts
 from sparkrec.llm.pii import personal_data
@@ -19,7 +20,7 @@ from sparkrec.llm.token_counts import count_tokens
 from sparkrec.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
 
 
 def query(fn):
@@ -85,27 +86,6 @@ def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-ORACLE["op9_metric_join"] = """
-WITH RECURSIVE u AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-), pairs AS (
-  SELECT a.vec_id AS x, b.vec_id AS y
-  FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
-  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.93
-), reach AS (
-  SELECT vec_id AS x, vec_id AS y FROM u
-  UNION
-  SELECT r.x, p.y FROM reach r JOIN pairs p ON p.x = r.y
-), low AS (
-  SELECT x, min(y) AS component_id FROM reach GROUP BY x
-), deg AS (
-  SELECT x, count(*) AS n_links FROM pairs GROUP BY x
-)
-SELECT u.vec_id, coalesce(deg.n_links, 0) AS n_links, low.component_id, u.vec_id = low.component_id AS kept
-FROM u JOIN low ON low.x = u.vec_id LEFT JOIN deg ON deg.x = u.vec_id
-"""
-
-
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of the documents' two-word shingles."""
