@@ -114,9 +114,10 @@ class ConvNet:
         return scores
 
 
-def train(texts: list[str], labels: np.ndarray, *, min_texts: int = 8, dims: int = 16, widths: tuple[int, ...] = (1, 2, 3),
-          n_filters: int = 8, epochs: int = 6, rate: float = 0.01, batch: int = 32, decay: float = 1e-3, seed: int = 7) -> ConvNet:
-    """Fit by Adam on the cross entropy, each class with equal weight in all."""
+def train(texts: list[str], labels: np.ndarray, *, min_texts: int = 4, dims: int = 16, widths: tuple[int, ...] = (1, 2, 3),
+          n_filters: int = 8, epochs: int = 6, min_steps: int = 400, rate: float = 0.01, batch: int = 32, decay: float = 1e-3, seed: int = 7) -> ConvNet:
+    """Fit by Adam on the cross entropy, each class with equal weight in all:
+    `epochs` passes, or more on a small sample until `min_steps` steps are done."""
     hashes, rows = indexed(texts)
     net = ConvNet.fresh(known_hashes(hashes, rows, min_texts), dims, widths, n_filters, seed)
     slots = np.concatenate([slots_of(hashes, net.known), np.zeros((1, hashes.shape[1]), np.int64)])
@@ -127,7 +128,7 @@ def train(texts: list[str], labels: np.ndarray, *, min_texts: int = 8, dims: int
     params = {"out": net.out, "ob": np.zeros(1, np.float32)} | {("f", w): net.filters[w] for w in widths} | {("b", w): net.bias[w] for w in widths}
     first, second = ({k: np.zeros_like(v) for k, v in (params | {"emb": net.emb}).items()} for _ in range(2))
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-min_steps * batch // len(rows)))):
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), batch):
             take = order[lo:lo + batch]
