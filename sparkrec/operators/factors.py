@@ -4,17 +4,18 @@ Model: mu = mean stored rating; A = ratings - mu on stored cells (missing
 cells stay 0); A ~ U S V^T of rank k; prediction = mu + (U S)_u . V_i,
 clipped to [1, 5]; an unseen user or item gets mu.
 
-* G1 builds A as one sparse row per user (MLlib `IndexedRowMatrix`).
-* G2: for a catalogue of at most GRAM_MAX_ITEMS items, A^T A is computed in
-  one distributed pass (`computeGramianMatrix`) and eigendecomposed on the
-  driver (n x n doubles, bounded by the item cap); larger catalogues use MLlib
-  `computeSVD(k, computeU=False)`, i.e. distributed ARPACK with one pass per
-  iteration. Only V (items x k) and s come to the driver; their size is
-  checked against `max_driver_bytes`.
-  U S is never formed from U: U S = A V, computed by `IndexedRowMatrix.multiply`.
-* G4 scores users in Arrow batches with `mapInPandas` against a broadcast V
-  (same size bound) and keeps n + (#rated) candidates per user before the
-  anti-join of rated items.
+* G2 is a blocked subspace iteration (randomised range finder with power
+  passes). Users and items are numbered; the stored cells of a user block and an
+  item block make one packed row. A tall matrix (items or users by `width`) is a
+  table of dense blocks, so A X and A^T Y are joins of packed cells with blocks
+  on the block number, a numpy product per pair and a sum per block. Only
+  width x width matrices come to the driver. With a width of all items the
+  result is the exact SVD; otherwise passes go on until the captured energy
+  no longer grows.
+  U S is A V, never formed from U.
+* G4 scores users in Arrow batches with `mapInPandas`, against one slice of V
+  after another where V is larger than the broadcast bound, and keeps
+  n + (#rated) candidates per user before the anti-join of rated items.
 """
 
 from __future__ import annotations
@@ -23,21 +24,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkrec.operators.ranking import global_rank, top_n_per
+from sparkrec.session import materialize
 
 # Predictions are clipped to the 1..5 star range.
 CLIP_MIN, CLIP_MAX = 1.0, 5.0
-DEFAULT_MAX_DRIVER_BYTES = 1 << 30  # V and s on the driver / in the broadcast
+SLICE_BYTES = 1 << 28               # item factors that scoring broadcasts at once
 SCORE_PLACES = 10
 SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
-NNZ_PER_PARTITION = 1_000_000       # stored ratings per partition of the SVD row matrix
-GRAM_MAX_ITEMS = 4096               # items x items Gram matrix on the driver: <= 128 MB
-GRAM_RCOND = 1e-7                   # Gram path: singular values below this x s_1 are noise
+BLOCK = 4096                        # users or items of a block
+RCOND = 1e-7                        # singular values below this x s_1 are noise
+OVERSAMPLE, MIN_WIDTH = 12, 100     # columns iterated beyond k, and at least
+PASSES, ENERGY_TOL = 8, 1e-4        # most power passes; relative growth of the energy that ends them
 
 
 @dataclass
@@ -72,74 +75,141 @@ def rating_matrix(train: DataFrame) -> tuple[DataFrame, DataFrame, float, int]:
     return entries, idx, mu, n_items
 
 
-def _user_rows(entries: DataFrame, n_items: int) -> DataFrame:
-    """One row per user: (index = user_id, vector = sparse centred ratings).
+def _packed(entries: DataFrame, users: DataFrame) -> DataFrame:
+    """Cells by (user block ub, item block ib): local row and column numbers
+    and values as binary arrays. A pair of blocks has BLOCK^2 cells at most."""
+    cells = entries.join(users, "user_id").select(
+        F.floor(F.col("user_idx") / BLOCK).cast("int").alias("ub"), F.floor(F.col("item_idx") / BLOCK).cast("int").alias("ib"),
+        (F.col("user_idx") % BLOCK).cast("int").alias("u"), (F.col("item_idx") % BLOCK).cast("int").alias("i"), "value")
 
-    Built once (the only Python pass over the data, one row per user) and
-    written to the checkpoint folder, so the SVD iterations and the A V product
-    read a JVM-side table instead of re-running Python for every pass."""
-    from pyspark.mllib.linalg import Vectors, VectorUDT
-    spark = entries.sparkSession
-    grouped = entries.groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.struct("item_idx", "value"))).alias("cells"))
+    def pack(t: pa.Table) -> pa.Table:
+        u, i, v = (t.column(c).to_numpy() for c in ("u", "i", "value"))
+        order = np.lexsort((i, u))
+        return pa.table({"ub": [t["ub"][0].as_py()], "ib": [t["ib"][0].as_py()], "u": [u[order].astype(np.int32).tobytes()],
+                         "i": [i[order].astype(np.int32).tobytes()], "v": [v[order].tobytes()]},
+                        schema=pa.schema([("ub", pa.int32()), ("ib", pa.int32()), ("u", pa.binary()), ("i", pa.binary()), ("v", pa.binary())]))
 
-    def to_row(r):
-        cells = r["cells"]
-        return (r["user_id"], Vectors.sparse(n_items, [c[0] for c in cells], [c[1] for c in cells]))
-    schema = T.StructType([T.StructField("index", T.LongType(), False),
-                           T.StructField("vector", VectorUDT(), False)])
-    from sparkrec.session import materialize
-    return materialize(spark.createDataFrame(grouped.rdd.map(to_row), schema), "svd_rows")
+    return materialize(cells.groupBy("ub", "ib").applyInArrow(pack, "ub int, ib int, u binary, i binary, v binary"), "svd_cells")
 
 
-def _svd_from_gram(gram: np.ndarray, k: int) -> tuple[list[float], np.ndarray]:
-    """Top-k right singular vectors and values of A from G = A^T A."""
-    evals, evecs = np.linalg.eigh(gram)
-    order = np.argsort(evals)[::-1][:k]
-    sv = np.sqrt(np.clip(evals[order], 0.0, None))
-    keep = sv > GRAM_RCOND * (sv[0] if len(sv) else 0.0)
-    return [float(x) for x in sv[keep]], evecs[:, order][:, keep]
+_BLOCKS = "block int, x binary"
+_BLOCK_SCHEMA = pa.schema([("block", pa.int32()), ("x", pa.binary())])
 
 
-def svd_train(train: DataFrame, k: int = 50,
-              max_driver_bytes: int = DEFAULT_MAX_DRIVER_BYTES,
-              gram_max_items: int = GRAM_MAX_ITEMS) -> SVDModel:
+def _dense(x: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(x).reshape(-1, width)
+
+
+def _sum_blocks(parts: DataFrame, width: int) -> DataFrame:
+    def total(t: pa.Table) -> pa.Table:
+        x = sum(_dense(b, width) for b in t.column("x").to_pylist())
+        return pa.table({"block": [t["block"][0].as_py()], "x": [x.tobytes()]}, schema=_BLOCK_SCHEMA)
+
+    return parts.groupBy("block").applyInArrow(total, _BLOCKS)
+
+
+def _product(cells: DataFrame, x: DataFrame, width: int, transposed: bool) -> DataFrame:
+    """A X (or A^T X): blocks of the users' (items') side."""
+    own, other = ("ib", "ub") if transposed else ("ub", "ib")
+    joined = cells.join(x.withColumnRenamed("block", other), other).select(F.col(own).alias("block"), "u", "i", "v", "x")
+
+    def multiply(batches):
+        for b in batches:
+            for block, u, i, v, x_ in zip(*(b.column(k) for k in range(5))):
+                u, i = np.frombuffer(u.as_py(), np.int32), np.frombuffer(i.as_py(), np.int32)
+                v, dense = np.frombuffer(v.as_py()), _dense(x_.as_py(), width)
+                rows, cols = (i, u) if transposed else (u, i)
+                if transposed:
+                    order = np.argsort(rows, kind="stable")
+                    rows, cols, v = rows[order], cols[order], v[order]
+                out = np.zeros((BLOCK, width))
+                for lo in range(0, len(v), 50_000):
+                    r = rows[lo:lo + 50_000]
+                    first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+                    out[r[first]] += np.add.reduceat(v[lo:lo + 50_000, None] * dense[cols[lo:lo + 50_000]], first, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    return materialize(_sum_blocks(joined.mapInArrow(multiply, _BLOCKS), width), "svd_product")
+
+
+def _gram(x: DataFrame, width: int) -> np.ndarray:
+    """X^T X: one width x width matrix per task, summed to a few, then on the driver."""
+    def own(batches):
+        total = np.zeros((width, width))
+        block = 0
+        for b in batches:
+            for k, x_ in zip(b.column(0), b.column(1)):
+                d = _dense(x_.as_py(), width)
+                total += d.T @ d
+                block = k.as_py() % 16
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    return sum(_dense(r["x"], width) for r in _sum_blocks(x.mapInArrow(own, _BLOCKS), width).collect())
+
+
+def _rotated(x: DataFrame, r: np.ndarray) -> DataFrame:
+    """X R, block by block."""
+    def rotate(batches):
+        for b in batches:
+            for block, x_ in zip(b.column(0), b.column(1)):
+                out = np.ascontiguousarray(_dense(x_.as_py(), r.shape[0]) @ r)
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    return x.mapInArrow(rotate, _BLOCKS)
+
+
+def _factor_rows(x: DataFrame, index: DataFrame, idx_col: str, width: int) -> DataFrame:
+    """One row per indexed user or item with its factors."""
+    def rows(batches):
+        for b in batches:
+            for block, x_ in zip(b.column(0), b.column(1)):
+                d = _dense(x_.as_py(), width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.as_py() * BLOCK + np.arange(len(d))), pa.array(d.tolist(), pa.list_(pa.float64()))], [idx_col, "factors"])
+
+    return index.join(x.mapInArrow(rows, f"{idx_col} long, factors array<double>"), idx_col)
+
+
+def svd_train(train: DataFrame, k: int = 50, seed: int = 11) -> SVDModel:
     """Rank-k truncated SVD of the centred rating matrix."""
-    from pyspark.mllib.linalg import DenseMatrix
-    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
     spark = train.sparkSession
     entries, idx, mu, n_items = rating_matrix(train)
-    need = n_items * k * 8 * 2
-    if need > max_driver_bytes:
-        raise ValueError(f"V would take {need} bytes on the driver (items={n_items}, k={k}); "
-                         f"raise max_driver_bytes or lower k")
-    # every ARPACK iteration is one pass over the rows: size partitions by the
-    # stored ratings so small matrices do not pay per-task overhead each pass
-    nnz = entries.count()
-    parts = max(1, -(-nnz // NNZ_PER_PARTITION))
-    rows = _user_rows(entries, n_items).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        mat = IndexedRowMatrix(rows, numCols=n_items)
-        if n_items <= gram_max_items:
-            s, v = _svd_from_gram(mat.computeGramianMatrix().toArray(), k)
-        else:
-            svd = mat.computeSVD(k, computeU=False)
-            s = [float(x) for x in svd.s.toArray()]
-            v = svd.V.toArray()  # n_items x k', column j pairs with s[j]
-        us = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], v.ravel(order="F").tolist()))
-        user_factors = spark.createDataFrame(
-            us.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
-            "user_id bigint, factors array<double>")
-        from sparkrec.session import materialize
-        user_factors = materialize(user_factors, "svd_user_factors")
-    finally:
-        rows.unpersist()
-    v_rows = spark.createDataFrame(
-        pd.DataFrame({"item_idx": np.arange(v.shape[0], dtype="int64"),
-                      "factors": [row.tolist() for row in v]}),
-        "item_idx bigint, factors array<double>")
-    item_factors = idx.join(v_rows, "item_idx").select("item_id", "item_idx", "factors")
-    return SVDModel(mu, s, item_factors, user_factors)
+    idx = materialize(idx, "svd_items")
+    users = materialize(global_rank(train.select("user_id").distinct(), ["user_id"], "user_idx").withColumn(
+        "user_idx", F.col("user_idx") - 1), "svd_users")
+    width = min(n_items, max(k + OVERSAMPLE, MIN_WIDTH))
+    cells = _packed(entries, users)
+
+    def random_block(batches):
+        for b in batches:
+            for block in b.column(0).to_pylist():
+                x = np.random.default_rng([seed, block]).standard_normal((BLOCK, width))
+                x[max(0, n_items - block * BLOCK):] = 0
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    n_blocks = -(-n_items // BLOCK)
+    x = materialize(spark.range(n_blocks).select(F.col("id").cast("int").alias("block")).mapInArrow(random_block, _BLOCKS), "svd_start")
+    energy = 0.0
+    for turn in range(PASSES):
+        z = _product(cells, _product(cells, x, width, False), width, True)
+        values, vectors = np.linalg.eigh(_gram(z, width))
+        good = values > 1e-14 * values[-1]
+        scale = np.where(good, 1 / np.sqrt(np.where(good, values, 1)), 0)
+        x = _rotated(z, vectors * scale)
+        last, energy = energy, float(np.sqrt(np.maximum(values[-k:], 0)).sum())
+        if turn > 1 and energy <= last * (1 + ENERGY_TOL):
+            break
+    x = materialize(x, "svd_basis")
+    y = _product(cells, x, width, False)
+    values, vectors = np.linalg.eigh(_gram(y, width))
+    order = np.argsort(values)[::-1][:k]
+    singular = np.sqrt(np.clip(values[order], 0, None))
+    keep = singular > RCOND * (singular[0] if len(singular) else 0)
+    turn_to = np.ascontiguousarray(vectors[:, order][:, keep])
+    kept = int(keep.sum())
+    item_factors = materialize(_factor_rows(_rotated(x, turn_to), idx, "item_idx", kept).select("item_id", "item_idx", "factors"), "svd_item_factors")
+    user_factors = materialize(_factor_rows(_rotated(y, turn_to), users, "user_idx", kept).select("user_id", "factors"), "svd_user_factors")
+    return SVDModel(mu, [float(v) for v in singular[keep]], item_factors, user_factors)
 
 
 def _dot(a, b):
@@ -157,21 +227,26 @@ def svd_predict(model: SVDModel, pairs: DataFrame) -> DataFrame:
     return p.withColumn("predicted_rating", pred).drop("_pu", "_vi")
 
 
-def _factor_matrix(model: SVDModel, max_driver_bytes: int) -> np.ndarray:
-    n = model.item_factors.count()
-    if n * model.k * 8 > max_driver_bytes:
-        raise ValueError("item factors exceed the broadcast bound")
-    pdf = model.item_factors.select("item_idx", "factors").toPandas().sort_values("item_idx")
-    return np.vstack(pdf["factors"].to_numpy()) if n else np.zeros((0, model.k))
-
-
-def svd_scores_topl(model: SVDModel, budget: DataFrame,
-                    max_driver_bytes: int = DEFAULT_MAX_DRIVER_BYTES) -> DataFrame:
+def svd_scores_topl(model: SVDModel, budget: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """For each (user_id, _l) the _l best items by clipped score (ties: lower
-    item_idx = lower item_id first). Users are scored in Arrow batches."""
+    item_idx = lower item_id first). Users are scored in Arrow batches. V goes
+    out in slices of `slice_bytes`; each keeps a user's _l best, so the best of
+    all slices are among them."""
+    per_slice = max(1, slice_bytes // (8 * max(1, model.k)))
+    top = model.item_factors.agg(F.max("item_idx")).first()[0]
+    parts = [_slice_scores(model, budget, lo, lo + per_slice) for lo in range(0, (-1 if top is None else top) + 1, per_slice)]
+    if not parts:
+        return budget.sparkSession.createDataFrame([], "user_id long, item_idx long, predicted_rating double")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _slice_scores(model: SVDModel, budget: DataFrame, first: int, end: int) -> DataFrame:
     spark = budget.sparkSession
-    v = _factor_matrix(model, max_driver_bytes)
-    bv = spark.sparkContext.broadcast(v)
+    pdf = model.item_factors.where(F.col("item_idx").between(first, end - 1)).select("item_idx", "factors").toPandas().sort_values("item_idx")
+    bv = spark.sparkContext.broadcast(np.vstack(pdf["factors"].to_numpy()))
     mu = model.global_mean
     src = budget.join(model.user_factors, "user_id")
 
@@ -200,7 +275,7 @@ def svd_scores_topl(model: SVDModel, budget: DataFrame,
                         cand = np.arange(n_items)
                     order = cand[np.lexsort((cand, -sr[cand]))][:lim]
                     out_u.append(np.full(len(order), users[lo + row], dtype="int64"))
-                    out_i.append(order.astype("int64"))
+                    out_i.append(first + order.astype("int64"))
                     out_s.append(sr[order])
                 yield pd.DataFrame({"user_id": np.concatenate(out_u),
                                     "item_idx": np.concatenate(out_i),

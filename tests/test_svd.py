@@ -69,3 +69,40 @@ def test_pure_ml_weighting_equals_svd_recommender(spark):
     direct = met.evaluate_recommendations(svd, truth, users, K).first()
     for m in ("n_users", "hit_rate", "precision", "recall"):
         assert sweep[m] == direct[m]
+
+
+def test_svd_sparse_ratings_near_the_optimum(spark):
+    """r1: far more items than the iterated width; the spectrum is flat, so the
+    captured energy is compared, not single vectors."""
+    d = datasets.load(spark, SF01, "r1")
+    k = 10
+    m = fac.svd_train(d.train, k=k)
+    tr = d.train.toPandas()
+    users, u = np.unique(tr.user_id, return_inverse=True)
+    items, i = np.unique(tr.item_id, return_inverse=True)
+    a = np.zeros((len(users), len(items)))
+    a[u, i] = tr.rating - tr.rating.mean()
+    best = np.linalg.svd(a, compute_uv=False)[:k]
+    got = np.array(m.singular_values)
+    assert (got <= best * (1 + 1e-9)).all() and (got ** 2).sum() >= 0.99 * (best ** 2).sum()
+    v = np.vstack(m.item_factors.orderBy("item_idx").toPandas()["factors"].to_numpy())
+    np.testing.assert_allclose(v.T @ v, np.eye(k), atol=1e-8)
+    us = m.user_factors.orderBy("user_id").toPandas()
+    np.testing.assert_allclose(np.vstack(us["factors"].to_numpy()), a @ v, atol=1e-8)
+
+
+def test_blocks_and_slices_do_not_matter(spark, monkeypatch):
+    """Many small blocks, and V scored in slices, give the same model and lists."""
+    d = datasets.load(spark, SF01, "r2")
+    users = d.train.select("user_id").distinct().orderBy("user_id").limit(40)
+    whole = fac.svd_train(d.train, k=5)
+    want = fac.svd_recommendations(whole, d.train, d.items, d.genre_strings, users=users).toPandas()
+    monkeypatch.setattr(fac, "BLOCK", 64)
+    parts = fac.svd_train(d.train, k=5)
+    np.testing.assert_allclose(parts.singular_values, whole.singular_values, rtol=1e-8)
+    budget = users.selectExpr("user_id", "10L AS _l")
+    a, b = (fac.svd_scores_topl(whole, budget, slice_bytes=n).orderBy("user_id", "predicted_rating", "item_idx").toPandas() for n in (1 << 28, 8 * 5 * 30))
+    assert len(b) == 4 * len(a)
+    best = b.sort_values(["user_id", "predicted_rating", "item_idx"], ascending=[True, False, True]).groupby("user_id").head(10)
+    assert set(map(tuple, best[["user_id", "item_idx"]].to_numpy())) == set(map(tuple, a[["user_id", "item_idx"]].to_numpy()))
+    assert len(want) == 400
