@@ -94,3 +94,21 @@ def test_ndcg_simple(spark):
     got = met.ndcg_at_k(recs, tr, _users(spark, [1]), 10).first()["ndcg"]
     exp = (4.0 / math.log2(3)) / (5.0 / math.log2(2) + 4.0 / math.log2(3))
     assert got == pytest.approx(exp, abs=1e-12)
+
+
+def test_rounding_is_done_once(spark):
+    """0.5239497 is 0.5239: rounded to six places first it would become 0.5240."""
+    from sparkrec.functions.columns import round_half_up
+    rows = [(0.52394970584, 0.5239), (-0.52394970584, -0.5239), (0.52395, 0.524), (2.5e-5, 0.0), (0.12345, 0.1235), (-0.12345, -0.1235), (4.0, 4.0)]
+    df = spark.createDataFrame(rows, "x double, want double")
+    assert all(r["got"] == r["want"] for r in df.select("want", round_half_up("x", 4).alias("got")).collect())
+
+
+def test_ratio_of_nothing_is_null(spark):
+    from sparkrec.operators.metrics import relative_improvement
+    from sparkrec.operators.profile import rating_distribution
+    m = spark.createDataFrame([("a", 0.0, 0.5, 0.1), ("b", 0.2, 1.0, 0.1)], "algorithm string, hit_rate double, precision double, recall double")
+    got = {r["metric"]: r["improvement_pct"] for r in relative_improvement(m, "a", "b").collect()}
+    assert got == {"hit_rate": None, "precision": 100.0, "recall": 0.0}
+    one = rating_distribution(spark.createDataFrame([(4.0,)], "rating double")).collect()
+    assert one[0]["std_rating"] is None and one[0]["mean_rating"] == 4.0

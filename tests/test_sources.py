@@ -32,3 +32,25 @@ def test_append_similarities(spark, tmp_path):
     assert stored.count() == 3
     with pytest.raises(ValueError):
         sinks.append_similarities(spark, more, path, strict=True)
+
+
+def test_a_batch_with_equal_pairs_is_stored_once(spark, tmp_path):
+    import pytest
+    from sparkrec.sources.sinks import append_similarities
+    sims = spark.createDataFrame([(1, 2, 30, 0.5), (1, 2, 20, 0.4), (1, 3, 25, 0.1)],
+                                 "item_id_1 long, item_id_2 long, common_users long, similarity_score double")
+    with pytest.raises(ValueError, match="within the batch"):
+        append_similarities(spark, sims, f"{tmp_path}/s", strict=True)
+    for _ in range(2):
+        got = append_similarities(spark, sims, f"{tmp_path}/t")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 20, 0.4), (1, 3, 25, 0.1)]
+
+
+def test_read_all_asks_the_file_system_of_the_path(spark, tmp_path):
+    import pytest
+    from sparkrec.sources.delimited import read_all
+    for name, line in (("users", "1::F::1::10::00123"), ("movies", "1::A (1999)::Drama"), ("ratings", "1::1::4.5::978300760")):
+        (tmp_path / f"{name}.dat").write_text(line + "\n", encoding="latin-1")
+    assert read_all(spark, f"file:{tmp_path}")["ratings"].count() == 1
+    with pytest.raises(FileNotFoundError, match="users.dat"):
+        read_all(spark, f"file://{tmp_path}/none")
