@@ -1245,20 +1245,44 @@ def q_unified_recommendations(spark, sf_dir):
     })
 
 
+_UNIFIED_FULL_SQL = _UNIFIED_SQL.rstrip()[:-1] + f"""
+  UNION ALL
+  SELECT 'ml', r.user_id, r.rank, r.item_id, i.title, gs.genres, {rnd('r.predicted_rating', 2)},
+         CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
+  FROM ml_recs r JOIN items i ON i.item_id = r.item_id LEFT JOIN genre_strings gs ON gs.item_id = r.item_id
+  WHERE r.rank <= 10
+  UNION ALL
+  SELECT 'hybrid', h.user_id, h.rank, h.item_id, d.title, d.genres, {rnd('h.hybrid_score', 4)},
+         {rnd('d.avg_rating', 2)}, CAST(d.rating_count AS BIGINT)
+  FROM (SELECT user_id, item_id, hybrid_score,
+               row_number() OVER (PARTITION BY user_id ORDER BY hybrid_score DESC, item_id) AS rank FROM blend) h
+  JOIN details d ON d.item_id = h.item_id WHERE h.rank <= 10)"""
+
+
+@register("unified_recommendations_all_full_rank", with_views("r2", _UNIFIED_FULL_SQL, _ML_HYB_CTES + _NORM_CTE))
+def q_unified_recommendations_all_full_rank(spark, sf_dir):
+    """J6 over all five algorithms, the factor model at full rank."""
+    return _unified_all(spark, sf_dir, FULL_RANK)
+
+
 @register("unified_recommendations_all")
 def q_unified_recommendations_all(spark, sf_dir):
     """J6 over all five algorithms, including the factor model and the hybrid."""
+    return _unified_all(spark, sf_dir, SVD_K)
+
+
+def _unified_all(spark, sf_dir: str, k: int) -> DataFrame:
     d = datasets.load(spark, sf_dir, "r2")
     users = d.train.select("user_id").distinct()
     sims = r2_similarities(d)[1]
-    _, cand = r2_candidates(spark, sf_dir, with_ml=True)
+    _, cand = r2_candidates(spark, sf_dir, with_ml=True, k=k)
     return lookup.unified_recommendations({
         "popularity": hyb.global_pool(pop.popular_items(d.train, d.items, n=10, min_ratings=HYB_M),
                                       users, 10),
         "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
                                                  d.genre_strings, n=10, min_movie_ratings=HYB_M),
         "similarity": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings, n=10),
-        "ml": fac.svd_recommendations(trained_model(spark, sf_dir), d.train, d.items,
+        "ml": fac.svd_recommendations(trained_model(spark, sf_dir, k=k), d.train, d.items,
                                       d.genre_strings, n=10),
         "hybrid": hyb.hybrid_recommendations(
             cand, hyb.item_details(d.items, d.item_genres, d.genres, d.train)),
