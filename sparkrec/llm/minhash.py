@@ -11,11 +11,12 @@ under its own hash and with just the bins of that band; sets around the bound
 have both kinds, so a pair on either side of it still meets.
 
 Candidates are star-shaped: in a bucket, every set is paired with the smallest
-document only. Links are confirmed on full sets. A set whose Jaccard distance
-from the centre leaves room, by the triangle inequality, for a link with another
-member is asked again in the next round, against the next centre, as long as the
-bucket still holds more than one component; so a link is not lost to the shape
-of the stars, and pairs within a group of copies are never all written.
+document only. Links are confirmed on full sets. Where the Jaccard distances from
+the centre leave room, by the triangle inequality, for links between other
+members, those that the star leaves open meet the members of other components
+within their bucket, in blocks of bounded size: exact bounds rule out nearly all
+pairs there, and only links leave a block. So no link is lost to the shape of
+the stars, and the pairs of a group of copies are never written.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ BANDS = 40
 #: Shingles up to which a set has one sketch per band.
 SMALL = 150
 BLOCK = 1 << 20
+#: Members of a bucket in one side of a block, and hash values that bound their overlaps.
+MEMBERS = 2000
+SLOTS = 512
 
 _BASE = 0xC2B2AE3D27D4EB4F
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
@@ -227,8 +231,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = materialize(texts.mapInArrow(_sign(words, percent), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "signatures")
-    links = _links(texts, signed, words, percent)
-    named = components(links, "a", "b").select(F.col("node").alias("lead"), "component")
+    named = _components(texts, signed, words, percent).select(F.col("node").alias("lead"), "component")
     leads = _leads(signed)
     rows = (signed.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2").join(leads, ["h1", "h2"], "left")
             .join(named, "lead", "left").select("doc_id", "n_shingles", F.coalesce("component", "lead", "doc_id").alias("component_id")))
@@ -241,9 +244,9 @@ def _leads(signed: DataFrame) -> DataFrame:
     return signed.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("lead"))
 
 
-def _links(texts: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between different sets, enough to connect every
-    pair that shares a bucket and links."""
+def _components(texts: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of the confirmed links between different sets, enough
+    of them to connect every pair that shares a bucket and links."""
     reach = 1 - percent / 100
     own = signed.join(_leads(signed).withColumnRenamed("lead", "doc_id"), ["h1", "h2", "doc_id"], "left_semi")
     bands = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
@@ -262,27 +265,87 @@ def _links(texts: DataFrame, signed: DataFrame, words: int, percent: int) -> Dat
     open_ = ~F.coalesce("link", F.lit(False))
     state = seen.groupBy("key").agg(
         F.count_if(open_).alias("n_open"), F.max(F.when(F.col("link"), F.col("d"))).alias("rim"), F.min(F.when(open_, F.coalesce("d", F.lit(reach)))).alias("nearest"))
-    state = state.withColumn("near", F.coalesce(F.col("nearest") <= F.col("rim") + reach, F.lit(False))).where("n_open > 1 or near")
-    rest = materialize(seen.join(state.select("key", "near"), "key").select("key", "doc", "n", "d", open_.alias("open"), "near"), "open")
-    links = tested.where("link").select("a", "b")
+    state = state.where((F.col("n_open") > 1) | (F.col("nearest") <= F.col("rim") + reach))
+    rest = materialize(seen.join(state.select("key"), "key").select("key", "doc", "n", "d", open_.alias("open")), "open")
+    named = components(tested.where("link"), "a", "b")
     if rest.isEmpty():
-        return links
-    # second star: from a linked member where an open one is near, else from an open one
-    second = rest.where("open != near").groupBy("key").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("c"))
-    again = rest.where("open").join(second.select("key", F.col("c.doc").alias("centre"), F.col("c.n").alias("centre_n")), "key").where("doc != centre")
-    more = _verify(rays(again).join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
-    tested = tested.union(more)
-    # pairs that are still in different components, and that neither size nor the triangle inequality rules out
-    links = tested.where("link").select("a", "b")
-    named = components(links, "a", "b")
-    state = rest.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
-    x = state.where("open").select("key", *(F.col(c).alias(f"x_{c}") for c in ("doc", "n", "d", "part")))
-    y = state.select("key", *(F.col(c).alias(f"y_{c}") for c in ("doc", "n", "d", "part", "open")))
-    cross = x.join(y, "key").where("x_part != y_part and (not y_open or x_doc < y_doc)").where(_alike("x_n", "y_n", percent)).where(
-        F.coalesce(F.abs(F.col("x_d") - F.col("y_d")) <= reach + 1e-9, F.lit(True)))
-    left = cross.select(*_pair("x_doc", "y_doc")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    last = _verify(left, sets, percent).where("link").select("a", "b")
-    return links.union(last)
+        return named
+    # members that still lie in another component than a member of their bucket, in blocks: open ones against all
+    rest = rest.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
+    mixed = rest.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.count_if("open") / MEMBERS).cast("int").alias("n_x"),
+        F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_y")).where("low < high and n_x > 0").select("key", "n_x", "n_y")
+    rows = rest.join(mixed, "key").join(sets, "doc").withColumn("salt", F.xxhash64("doc"))
+    x, y = F.pmod("salt", "n_x").cast("int"), F.pmod(F.shiftright("salt", 20), "n_y").cast("int")
+    as_x = rows.where("open").select("*", F.lit(True).alias("is_x"), x.alias("x"), F.explode(F.sequence(F.lit(0), F.col("n_y") - 1)).alias("y"))
+    as_y = rows.select("*", F.lit(False).alias("is_x"), F.explode(F.sequence(F.lit(0), F.col("n_x") - 1)).alias("x"), y.alias("y"))
+    columns = ["key", "x", "y", "is_x", "doc", "n", "d", "part", "shingles"]
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = as_x.select(columns).union(as_y.select(columns)).repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    last = materialize(blocks.mapInArrow(_cross(percent), "a long, b long").distinct(), "cross")
+    if last.isEmpty():
+        return named
+    return components(last.union(named.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+
+
+def _cross(percent: int):
+    """Blocks of bucket members, sorted by (key, x, y), to links between components."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple[int, int]] = []
+        for b in batches:
+            for row in zip(*(b.column(k).to_pylist() for k in range(b.num_columns))):
+                if held and row[:3] != held[-1][:3]:
+                    out += cross_links(held, percent)
+                    held = []
+                held.append(row)
+        out += cross_links(held, percent)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] or [pa.array([], pa.int64())] * 2, ["a", "b"])
+
+    return run
+
+
+def cross_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links between the open members and the members of a block that lie in
+    different components, one for each open member and component.
+
+    Exact: pairs are ruled out by size, by the triangle inequality over the
+    distances to the bucket's centre, and by an upper bound on the overlap (the
+    overlap of the sets' histograms over SLOTS hash values); the rest is
+    compared on full sets.
+    """
+    sides = [[r for r in rows if r[3] == flag] for flag in (True, False)]
+    if not sides[0] or not sides[1]:
+        return []
+    doc, n, part = ([np.array([r[k] for r in side], np.int64) for side in sides] for k in (4, 5, 7))
+    d = [np.array([np.nan if r[6] is None else r[6] for r in side]) for side in sides]
+    sets = [[np.frombuffer(r[8], np.uint64) for r in side] for side in sides]
+    counts = []
+    for side in sets:
+        owner = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        slot = (np.concatenate(side) % np.uint64(SLOTS)).astype(np.int64)
+        counts.append(np.minimum(np.bincount(owner * SLOTS + slot, minlength=len(side) * SLOTS), 0xFFFF).astype(np.uint16).reshape(-1, SLOTS))
+    links = []
+    for i in range(len(doc[0])):
+        least, most = np.minimum(n[0][i], n[1]), np.maximum(n[0][i], n[1])
+        fit = (part[1] != part[0][i]) & (100 * least >= percent * most) & ~(np.abs(d[1] - d[0][i]) > 1 - percent / 100 + 1e-9)
+        who = np.flatnonzero(fit)
+        if not len(who):
+            continue
+        bound = np.minimum(counts[0][i], counts[1][who]).sum(axis=1, dtype=np.int64)
+        who = who[100 * bound >= percent * (n[0][i] + n[1][who] - bound)]
+        found: set[int] = set()
+        for j in who:
+            if part[1][j] in found:
+                continue
+            a, b = sets[0][i], sets[1][j]
+            at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+            shared = int((a[at] == b).sum())
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                found.add(part[1][j])
+                links.append((int(min(doc[0][i], doc[1][j])), int(max(doc[0][i], doc[1][j]))))
+    return links
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
