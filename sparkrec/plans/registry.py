@@ -487,6 +487,21 @@ def q_pair_similarity(spark, sf_dir):
     return sim_ops.pair_similarity_batch(d.train, seed, MIN_COMMON)
 
 
+@register("pair_similarity_pairs", with_views("r2", f"""
+SELECT x.item_id AS item_id_1, y.item_id AS item_id_2, count(*) AS common_users,
+       CASE WHEN sum(x.rating * x.rating) > 0 AND sum(y.rating * y.rating) > 0
+            THEN sum(x.rating * y.rating)
+                 / (sqrt(sum(x.rating * x.rating)) * sqrt(sum(y.rating * y.rating)))
+            ELSE 0.0 END AS similarity
+FROM seed_ratings x JOIN seed_ratings y ON x.user_id = y.user_id AND x.item_id < y.item_id
+JOIN sims s ON s.item_id_1 = x.item_id AND s.item_id_2 = y.item_id
+GROUP BY x.item_id, y.item_id HAVING count(*) >= {MIN_COMMON}""", _SIM_CTES))
+def q_pair_similarity_pairs(spark, sf_dir):
+    """F1 over a table of pairs: those of the stored similarity table."""
+    d = datasets.load(spark, sf_dir, "r2")
+    return sim_ops.pair_similarity(d.train, r2_similarities(d)[1].select("item_id_1", "item_id_2"), MIN_COMMON)
+
+
 @register("similarity_summary", with_views("r2", """
 SELECT (SELECT count(*) FROM seed) AS items,
        CAST((SELECT count(*) FROM seed) * ((SELECT count(*) FROM seed) - 1) / 2 AS BIGINT) AS possible_pairs,
@@ -738,7 +753,7 @@ def q_rmse_lists(spark, sf_dir):
 _c_ctes, _ = _metric_sql("stacked", K, ["popularity", "genre", "cf"])
 
 
-@register("compare_algorithms", with_views("r1", """
+_COMPARE_SELECT = """
 SELECT *, row_number() OVER (ORDER BY hit_rate DESC, algorithm) AS rank_by_hit,
        algorithm = first_value(algorithm) OVER (ORDER BY hit_rate DESC, algorithm
          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_hit_rate,
@@ -746,7 +761,10 @@ SELECT *, row_number() OVER (ORDER BY hit_rate DESC, algorithm) AS rank_by_hit,
          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_precision,
        algorithm = first_value(algorithm) OVER (ORDER BY recall DESC, algorithm
          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best_recall
-FROM summary""", _ALL_RECS_CTES + "," + _c_ctes))
+FROM summary"""
+
+
+@register("compare_algorithms", with_views("r1", _COMPARE_SELECT, _ALL_RECS_CTES + "," + _c_ctes))
 def q_compare_algorithms(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r1")
     users, truth = r1_eval(d)
@@ -1064,6 +1082,28 @@ def q_weight_sweep(spark, sf_dir):
                                         key_values=list(hyb.WEIGHT_CONFIGS))
 
 
+_COMPARE_SVD_CTES = _EVAL_CTES + "," + _FULL_CTES + "," + _CF_CTES + f""",
+stacked AS (
+  SELECT 'popularity' AS algorithm, user_id, rank, item_id FROM pop_recs
+  UNION ALL
+  SELECT 'cf', user_id, rank, item_id FROM cf_recs WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users)
+  UNION ALL
+  SELECT 'svd', user_id, rank, item_id FROM ml_recs WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users))"""
+_v_ctes, _ = _metric_sql("stacked", K, ["popularity", "cf", "svd"])
+
+
+@register("compare_algorithms_svd_full_rank", with_views("r2", _COMPARE_SELECT, _COMPARE_SVD_CTES + "," + _v_ctes))
+def q_compare_algorithms_svd_full_rank(spark, sf_dir):
+    """I13 with the factor model (at full rank) beside popularity and item CF, on r2."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users, truth = _r2_eval(d)
+    return met.compare_algorithms({
+        "popularity": pop.popular_items_for_users(d.train, d.items, users, n=K, min_ratings=POP_M),
+        "cf": sim_ops.cf_recommendations(d.train, r2_similarities(d)[1], d.items, d.genre_strings, users=users, n=K),
+        "svd": fac.svd_recommendations(trained_model(spark, sf_dir, k=FULL_RANK), d.train, d.items, d.genre_strings, users=users, n=K),
+    }, truth, users, K)
+
+
 def _sweep_sql() -> str:
     algos = ("popularity", "genre", "similarity", "ml")
     vals = ", ".join("('" + name + "', " + ", ".join(repr(float(w.get(a, 0.0))) for a in algos) + ")"

@@ -22,7 +22,8 @@ BAD = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|Arro
 SVD_SCORING = {"svd_recommendations", "hybrid_recommendations", "weight_sweep",
                "unified_recommendations_all", "svd_recommendations_full_rank",
                "hybrid_recommendations_full_rank", "weight_sweep_full_rank",
-               "unified_recommendations_all_full_rank"}
+               "unified_recommendations_all_full_rank",
+               "compare_algorithms_svd_full_rank"}
 
 
 @pytest.fixture(scope="module")
