@@ -40,7 +40,7 @@ SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Pytho
 BLOCK = 4096                        # users or items of a block
 RCOND = 1e-7                        # singular values below this x s_1 are noise
 OVERSAMPLE, MIN_WIDTH = 12, 100     # columns iterated beyond k, and at least
-PASSES, ENERGY_TOL = 8, 1e-4        # most power passes; relative growth of the energy that ends them
+PASSES, ENERGY_TOL = 6, 1e-4        # most power passes; relative growth of the energy that ends them
 
 
 @dataclass
@@ -197,7 +197,8 @@ def svd_train(train: DataFrame, k: int = 50, seed: int = 11) -> SVDModel:
         scale = np.where(good, 1 / np.sqrt(np.where(good, values, 1)), 0)
         x = _rotated(z, vectors * scale)
         last, energy = energy, float(np.sqrt(np.maximum(values[-k:], 0)).sum())
-        if turn > 1 and energy <= last * (1 + ENERGY_TOL):
+        # a basis of all items spans everything; its second pass makes it orthonormal
+        if turn > 0 and (width == n_items or turn > 1 and energy <= last * (1 + ENERGY_TOL)):
             break
     x = materialize(x, "svd_basis")
     y = _product(cells, x, width, False)
