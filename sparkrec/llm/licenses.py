@@ -1,11 +1,12 @@
 """License scans by conditional compression.
 
-Blocks of a text that speak of licensing are compressed with each license
-template as a raw zstandard dictionary. The better a template explains a block,
-the smaller the block gets; templates are ranked by the reduction against plain
-compression. Winners are confirmed word by word: the words in which block and
-template differ are listed, and a template is accepted only if the block holds
-nearly all of its words in order, and all of its telling ones (names, numbers).
+In blocks of lines that speak of licensing, the places are looked up that hold nearly all words of a license template. Each place, as long as the
+wording and not its surroundings, is compressed with the template as a raw
+zstandard dictionary; the better the template explains it, the smaller it gets,
+and templates are ranked by the reduction against plain compression. The words
+in which place and template differ decide: a template is accepted only if the
+place holds nearly all of its words in order, and all of its telling ones
+(names, numbers).
 
 Texts are judged on their own where they are read; the templates are a fixed
 short list, so the work is one pass without a shuffle.
@@ -14,6 +15,7 @@ short list, so the work is one pass without a shuffle.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -47,12 +49,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 #: A block is a run of lines that hold one of these.
 CUES = re.compile(r"licen[cs]|copyright|rights reserved|permission is hereby|redistribution|free software|general public|apache\.org|sublicense")
-#: Words without which a template isn't confirmed: names, versions and clause marks.
+#: Names, versions and clause marks: a template that holds any isn't confirmed if one lacks or is added.
 TELLING = re.compile(r"\d|^(apache|by|cc|gnu|lesser|mit|mozilla|nc|reserved|sa)$")
-WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: The share of a template's words that a block must hold in order, and the least reduction of its size.
+WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.IGNORECASE)
+#: The share of a template's words that a place must hold in order.
 COVERED = 0.8
-REDUCED = 0.15
+#: The words of every template, and where each stands.
+WORDS_OF = [WORDS.findall(t.lower()) for _, t in TEMPLATES]
+PLACES_OF = [{w: [i for i, x in enumerate(own) if x == w] for w in own} for own in WORDS_OF]
 
 
 @lru_cache(maxsize=1)
@@ -105,23 +109,65 @@ def differences(block: str, template: str) -> tuple[float, list[str], list[str]]
     return len(held) / len(theirs), [w for i, w in enumerate(theirs) if i not in held], [ours[i] for i in inner if i not in hit]
 
 
+def reduction(part: str, k: int) -> float:
+    """How much smaller a text gets by template `k` as dictionary."""
+    plain, primed = compressors()
+    raw = part.lower().encode()
+    return 1 - len(primed[k].compress(raw)) / len(plain.compress(raw))
+
+
+def places(words: list[str], k: int) -> list[tuple[int, int]]:
+    """(begin, end) of the runs of `words` that hold the share COVERED of template
+    `k`'s words, most of them and shortest first; up to half of the template's
+    length and four words may stand between."""
+    n, at = len(WORDS_OF[k]), PLACES_OF[k]
+    pairs = sorted((j - i, i) for j, w in enumerate(words) if w in at for i in at[w])
+    seen: Counter = Counter()
+    found, hi = [], 0
+    for lo, (first, i) in enumerate(pairs):
+        while hi < len(pairs) and pairs[hi][0] <= first + n // 2 + 4:
+            seen[pairs[hi][1]] += 1
+            hi += 1
+        if len(seen) >= COVERED * n:
+            held: set[int] = set()
+            for last, own in pairs[lo:hi]:
+                held.add(own)
+                if len(held) == len(seen):
+                    break
+            found.append((-len(seen), last - first, max(0, first), min(len(words), last + n)))
+        seen[i] -= 1
+        if not seen[i]:
+            del seen[i]
+    return [(a, b) for _, _, a, b in sorted(set(found))]
+
+
 def confirm(block: str) -> list[tuple[str, float, int]]:
     """(license, reduction, differing words) of the confirmed templates: in the
     order of their reductions, the first for each license, and none whose
-    telling words another license explains better at the same place."""
-    out: dict[str, tuple[str, float, int]] = {}
-    explained: list[set[str]] = []
-    for reduction, k in rank(block):
-        if reduction < REDUCED:
-            break
-        name, template = TEMPLATES[k]
-        covered, lacking, added = differences(block, template)
-        if covered < COVERED or any(TELLING.search(w) for w in lacking) or any(TELLING.search(w) for w in added):
+    words another license explains better at the same place."""
+    spans = [m.span() for m in WORDS.finditer(block)]
+    words = [block[a:b].lower() for a, b in spans]
+    held = set(words)
+    found: list[tuple[float, int, int, int, int]] = []
+    for k, (_, template) in enumerate(TEMPLATES):
+        if sum(w in held for w in WORDS_OF[k]) < COVERED * len(WORDS_OF[k]):
             continue
-        words = set(WORDS.findall(template.lower()))
-        if name not in out and not any(words < e for e in explained):
-            out[name] = (name, reduction, len(lacking) + len(added))
-            explained.append(words)
+        named = any(TELLING.search(w) and w != "by" for w in WORDS_OF[k])
+        taken: list[tuple[int, int]] = []
+        for a, b in places(words, k):
+            if any(a < d and c < b for c, d in taken):
+                continue
+            part = block[spans[a][0]:spans[b - 1][1]]
+            covered, lacking, added = differences(part, template)
+            if covered < COVERED or named and any(map(TELLING.search, lacking + added)):
+                continue
+            taken.append((a, b))
+            found.append((-reduction(part, k), k, len(lacking) + len(added), a, b))
+    out: dict[str, tuple[str, float, int]] = {}
+    for less, k, n, a, b in sorted(found):
+        name = TEMPLATES[k][0]
+        if name not in out and not any(set(WORDS_OF[k]) < set(WORDS_OF[m]) and name != TEMPLATES[m][0] and a < d and c < b for _, m, _, c, d in found):
+            out[name] = (name, -less, n)
     return list(out.values())
 
 
@@ -129,9 +175,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, n_blocks, licenses, best_license, best_reduction, n_differences; one row per input row.
 
     ``licenses`` are the confirmed ids, sorted and joined by commas;
-    ``best_license`` is the one with the largest size reduction in any block
-    (first in the text among equal ones), null if none is confirmed. Null texts
-    count as empty; ids may be null or repeated.
+    ``best_license`` is the one with the largest size reduction at any place
+    (first in the text among equal ones), null if none is confirmed; ``n_blocks``
+    counts the runs of lines with a cue. Null texts count as empty; ids may be
+    null or repeated.
     """
     texts = pick(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()

@@ -43,3 +43,20 @@ def test_given_documents(sf_docs):
              "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Released under the MIT License.": "MIT"}
     want = {i: ",".join(sorted({v for k, v in lines.items() if k in t.split("\n")})) for i, t in rows}
     assert {r["doc_id"]: r["licenses"] for r in scan(df).collect()} == want
+
+
+PROSE = "The river rose over the meadows while the farmers moved their cattle up to the old mill and waited for the rain to end. " * 9
+
+
+def licenses_of(make_docs, *texts):
+    got = {r["doc_id"]: r["licenses"] for r in scan(make_docs(list(enumerate(texts)))).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_wordings_inside_long_lines(make_docs):
+    """What stands before or behind on the line doesn't matter, whatever its length."""
+    for name, text in TEMPLATES:
+        assert [c[0] for c in confirm(text)] == [name]
+    short = [(n, t) for n, t in TEMPLATES if len(t) < 100]
+    for chars in (0, 50, 100, 200, 400, 1000):
+        assert licenses_of(make_docs, *(f"{PROSE[:chars]} {t} {PROSE[:chars]}" for _, t in short)) == [n for n, _ in short]
