@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-In blocks of lines that speak of licensing, the places are looked up that hold nearly all words of a license template. Each place, as long as the
+Around the words that speak of licensing, over line ends, the places are looked
+up that hold nearly all words of a license template. Each place, as long as the
 wording and not its surroundings, is compressed with the template as a raw
 zstandard dictionary; the better the template explains it, the smaller it gets,
 and templates are ranked by the reduction against plain compression. The words
@@ -15,6 +16,7 @@ short list, so the work is one pass without a shuffle.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -25,16 +27,31 @@ from pyspark.sql import DataFrame
 
 from sparkrec.llm.common import pick
 
-#: Wordings of licenses, by SPDX id; several per license where forms differ much.
+#: The parts of the BSD licenses; the first alone doesn't tell which one it is.
+BSD_USE = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+BSD_KEEP = ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution.")
+BSD_ADVERTISING = ("All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+                   "This product includes software developed by the organization.")
+BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission.")
+
+#: Wordings of licenses, by SPDX id (BSD: which one is open); several per license where forms differ much.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD", BSD_USE),
+    ("BSD-2-Clause", f"{BSD_USE} {BSD_KEEP}"),
+    ("BSD-3-Clause", f"{BSD_USE} {BSD_KEEP} {BSD_NAMES}"),
+    ("BSD-4-Clause", f"{BSD_USE} {BSD_KEEP} {BSD_ADVERTISING} {BSD_NAMES}"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                 "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
@@ -50,13 +67,17 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 #: A block is a run of lines that hold one of these.
 CUES = re.compile(r"licen[cs]|copyright|rights reserved|permission is hereby|redistribution|free software|general public|apache\.org|sublicense")
 #: Names, versions and clause marks: a template that holds any isn't confirmed if one lacks or is added.
-TELLING = re.compile(r"\d|^(apache|by|cc|gnu|lesser|mit|mozilla|nc|reserved|sa)$")
+TELLING = re.compile(r"\d|^(affero|apache|by|cc|gnu|lesser|library|mit|mozilla|nc|reserved|sa)$")
+#: Words of the clauses that tell the BSD licenses apart; only their lack counts.
+CLAUSES = frozenset(("advertising", "endorse"))
 WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.IGNORECASE)
 #: The share of a template's words that a place must hold in order.
 COVERED = 0.8
 #: The words of every template, and where each stands.
 WORDS_OF = [WORDS.findall(t.lower()) for _, t in TEMPLATES]
 PLACES_OF = [{w: [i for i, x in enumerate(own) if x == w] for w in own} for own in WORDS_OF]
+#: Words around a cue that may belong to its license, both ways.
+REACH = max(map(len, WORDS_OF)) * 3 // 2
 
 
 @lru_cache(maxsize=1)
@@ -159,7 +180,7 @@ def confirm(block: str) -> list[tuple[str, float, int]]:
                 continue
             part = block[spans[a][0]:spans[b - 1][1]]
             covered, lacking, added = differences(part, template)
-            if covered < COVERED or named and any(map(TELLING.search, lacking + added)):
+            if covered < COVERED or not CLAUSES.isdisjoint(lacking) or named and any(map(TELLING.search, lacking + added)):
                 continue
             taken.append((a, b))
             found.append((-reduction(part, k), k, len(lacking) + len(added), a, b))
@@ -171,6 +192,24 @@ def confirm(block: str) -> list[tuple[str, float, int]]:
     return list(out.values())
 
 
+def reaches(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of a text that may hold a license: REACH words
+    around every cue, over line ends."""
+    cues = [m.start() for m in CUES.finditer(text.lower() if len(text.lower()) == len(text) else text)]
+    if not cues:
+        return
+    starts, ends = zip(*(m.span() for m in WORDS.finditer(text)))
+    begin = end = None
+    for at in cues:
+        k = bisect_right(starts, at) - 1
+        lo, hi = max(0, k - REACH), min(len(starts) - 1, k + REACH)
+        if begin is not None and lo > end:
+            yield starts[begin], ends[end]
+            begin = None
+        begin, end = lo if begin is None else begin, hi
+    yield starts[begin], ends[end]
+
+
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_blocks, licenses, best_license, best_reduction, n_differences; one row per input row.
 
@@ -187,7 +226,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     def judge(text: str) -> tuple:
         own = list(blocks(text))
-        found = [c for lo, hi in own for c in confirm(text[lo:hi])]
+        found = [c for lo, hi in reaches(text) for c in confirm(text[lo:hi])]
         best = max(found, key=lambda c: c[1], default=(None, None, None))
         return len(own), ",".join(sorted({c[0] for c in found})), *best
 

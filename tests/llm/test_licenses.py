@@ -1,8 +1,10 @@
 """op6: wordings that must and must not be confirmed."""
 
+import textwrap
+
 from conftest import ODD
 
-from sparkrec.llm.licenses import TEMPLATES, blocks, confirm, differences, rank, scan
+from sparkrec.llm.licenses import BSD_ADVERTISING, BSD_KEEP, BSD_NAMES, BSD_USE, TEMPLATES, blocks, confirm, differences, rank, scan
 
 
 def test_every_template_confirms_itself():
@@ -60,3 +62,21 @@ def test_wordings_inside_long_lines(make_docs):
     short = [(n, t) for n, t in TEMPLATES if len(t) < 100]
     for chars in (0, 50, 100, 200, 400, 1000):
         assert licenses_of(make_docs, *(f"{PROSE[:chars]} {t} {PROSE[:chars]}" for _, t in short)) == [n for n, _ in short]
+
+
+def test_wrapped_wordings(make_docs):
+    """Licenses broken at the usual width, as comments too."""
+    for width in (40, 70, 80):
+        for lead in ("", " * ", "# "):
+            texts = [f"int x;\n\n{textwrap.fill(t, width, initial_indent=lead, subsequent_indent=lead)}\n\nint y;" for _, t in TEMPLATES]
+            assert licenses_of(make_docs, *texts) == [n for n, _ in TEMPLATES]
+
+
+def test_bsd_clauses_and_gpl_versions(make_docs):
+    clauses = lambda *own: BSD_USE + "\n\n" + "\n".join(f"{k}. {textwrap.fill(c, 70)}" for k, c in enumerate(own, 1)) + "\n\nTHIS SOFTWARE IS PROVIDED AS IS"
+    first, second = BSD_KEEP.split(". ", 1)
+    names = BSD_NAMES.replace("copyright holder", "Apache Club of MIT")
+    notice = next(t for n, t in TEMPLATES if n == "GPL-2.0" and "later" in t)
+    texts = [clauses(first + ".", second), clauses(first + ".", second, names), clauses(first + ".", second, BSD_ADVERTISING, names), BSD_USE,
+             textwrap.fill(notice, 72), textwrap.fill(notice.replace("General", "Lesser General"), 72), textwrap.fill(notice.replace("General", "Affero General"), 72)]
+    assert licenses_of(make_docs, *texts) == ["BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "BSD", "GPL-2.0", "", ""]
