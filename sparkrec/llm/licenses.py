@@ -65,7 +65,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 #: A block is a run of lines that hold one of these.
-CUES = re.compile(r"licen[cs]|copyright|rights reserved|permission is hereby|redistribution|free software|general public|apache\.org|sublicense")
+CUES = re.compile(r"licen[cs]|copyright|rights reserved|permission is hereby|redistribution|free software|general public|apache\.org|sublicense", re.IGNORECASE)
 #: Names, versions and clause marks: a template that holds any isn't confirmed if one lacks or is added.
 TELLING = re.compile(r"\d|^(affero|apache|by|cc|gnu|lesser|library|mit|mozilla|nc|reserved|sa)$")
 #: Words of the clauses that tell the BSD licenses apart; only their lack counts.
@@ -93,11 +93,10 @@ def compressors() -> tuple:
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the runs of lines with a cue."""
-    low = text.lower() if len(text.lower()) == len(text) else text
-    if not CUES.search(low):
+    if not CUES.search(text):
         return
     begin, at = None, 0
-    for line in low.split("\n"):
+    for line in text.split("\n"):
         if CUES.search(line):
             begin = at if begin is None else begin
             end = at + len(line)
@@ -195,7 +194,7 @@ def confirm(block: str) -> list[tuple[str, float, int]]:
 def reaches(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the parts of a text that may hold a license: REACH words
     around every cue, over line ends."""
-    cues = [m.start() for m in CUES.finditer(text.lower() if len(text.lower()) == len(text) else text)]
+    cues = [m.start() for m in CUES.finditer(text)]
     if not cues:
         return
     starts, ends = zip(*(m.span() for m in WORDS.finditer(text)))

@@ -80,3 +80,9 @@ def test_bsd_clauses_and_gpl_versions(make_docs):
     texts = [clauses(first + ".", second), clauses(first + ".", second, names), clauses(first + ".", second, BSD_ADVERTISING, names), BSD_USE,
              textwrap.fill(notice, 72), textwrap.fill(notice.replace("General", "Lesser General"), 72), textwrap.fill(notice.replace("General", "Affero General"), 72)]
     assert licenses_of(make_docs, *texts) == ["BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "BSD", "GPL-2.0", "", ""]
+
+
+def test_letters_that_grow_in_lower_case(make_docs):
+    text = "İstanbul'da yazıldı.\nReleased under the MIT License.\nLicensed under the Apache License, Version 2.0."
+    assert licenses_of(make_docs, text) == ["Apache-2.0,MIT"]
+    assert [text[a:b] for a, b in blocks(text)] == [text.split("\n", 1)[1]]
