@@ -349,7 +349,16 @@ def cross_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each component, all columns kept."""
-    judged = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, percent=percent)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """`docs` with one row of each component, all columns kept.
+
+    Rows are told apart by a number of their own, so ids may be null or repeated.
+    The row with the smallest id stays (null last, then by a hash of the text);
+    rows without words link with nothing and stay.
+    """
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    judged = near_duplicates(numbered, id_col="_row", text_col=text_col, words=words, percent=percent)
+    who = numbered.select("_row", F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))
+    rows = judged.select(F.col("doc_id").alias("_row"), "component_id").join(who, "_row")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "_row")).alias("first")).select("first._row")
+    gone = rows.select("_row").join(first, "_row", "left_anti")
+    return numbered.join(gone, "_row", "left_anti").select(docs.columns)

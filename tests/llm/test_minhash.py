@@ -102,3 +102,13 @@ def test_sketch_agreement_estimates_similarity():
     a, b = np.sort(pool[:1000]), np.sort(pool[200:])  # 800 of 1200 shared
     sketch = M.densified(np.repeat([0, 1], 1000), np.concatenate([a, b]), 2, 200)
     assert abs((sketch[0] == sketch[1]).mean() - 2 / 3) < 0.12
+
+
+def test_dropping_tells_rows_with_one_id_apart(make_docs):
+    """One row of each component stays, whatever its id; a unique text never goes."""
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"}
+    rows = [(3, text["a"]), (5, text["a"]), (5, text["b"]), (7, text["c"]), (7, text["c"]), (7, text["c"]),
+            (None, text["d"]), (None, text["d"]), (None, text["e"]), (9, text["e"] + " more"), (10, text["f"]), (11, None), (12, "")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in drop_near_duplicates(make_docs(rows), words=5).collect()), key=str)
+    want = [(3, text["a"]), (5, text["b"]), (7, text["c"]), (None, text["d"]), (9, text["e"] + " more"), (10, text["f"]), (11, None), (12, "")]
+    assert kept == sorted(want, key=str)
