@@ -1,9 +1,11 @@
 """Personal data by weak supervision.
 
 Four kinds (email, ip, card, phone) have exact definitions and are always
-reported. Beyond them, every whitespace-delimited token that holds a digit and
-touches no such span is a candidate for a secret (a key, a password, an
-identifier). Labelers built on patterns, gazetteers and context vote on each
+reported. Beyond them, what touches no such span is a candidate for a secret (a
+key, a password, an identifier) if it is a whitespace-delimited token that holds
+a digit, has the form of a key or is the value of a secret word (`password: x`,
+`api_key=x`), or a run of short tokens that is written like an IBAN or follows
+an account word. Labelers built on patterns, gazetteers and context vote on each
 candidate; expectation-maximisation over the counts of vote patterns estimates
 how reliable every labeler is, and its posteriors train the final classifier, a
 logistic regression on the candidate's shape and votes, which accepts or drops
@@ -40,6 +42,7 @@ DIGIT = re.compile(r"[0-9]")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+SPACE = re.compile(r"\s")
 TOKEN = re.compile(r"(?<!\S)(?=\S*[0-9])\S+")
 
 
@@ -94,25 +97,37 @@ NUMBER_WORDS = frozenset("article by-nc by-sa chapter fig figure no page part se
 
 KEY = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{12,}|(?:sk|pk|ghp|gho|xox[abp])[-_]\w{8,}")
 ASSIGNED = re.compile(r"(?i)(?:api_?key|key|pass(?:word|wd)?|pwd|secret|token)[=:]\S{4,}")
+#: A secret word and its value; account words and grouped identifiers; IBANs in groups.
+VALUE = re.compile(r"(?i)(?<![^\W_])(?:api_key|" + "|".join(sorted(map(re.escape, SECRET_WORDS))) + r")[\"']?[ \t]*[:=][ \t]*(?=\S*\w)(\S+)")
+KEYLIKE = re.compile(r"(?<!\w)(?:" + KEY.pattern + ")")
+GROUPS = re.compile(r"(?<!\w)(?:(?i:iban|account|passport|konto|ssn)(?:[ \t]+(?i:no|nr|number|is))?[.:=#]*[ \t]+)?"
+                    r"((?<!\S)[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?(?!\w))|"
+                    r"(?<!\w)(?i:iban|account|passport|konto|ssn)(?:[ \t]+(?i:no|nr|number|is))?[.:=#]*[ \t]+((?=[A-Z]*[0-9])[A-Z0-9]{1,8}(?:[ -](?:[A-Z]{1,4}[ -])?(?=[A-Z]*[0-9])[A-Z0-9]{1,8})+(?!\w))")
 PLAIN_NUMBER = re.compile(r"[(\[]?[v$€£]?[0-9]{1,5}(?:[.,:/][0-9]{1,4})*(?:%|st|nd|rd|th)?[)\].,;:!?]*")
 MARKS = ".,;:!?()[]\"'"
 
 
-def votes(token: str, before: list[str]) -> str:
-    """One character per labeler: + secret, - no secret, 0 no vote."""
+def iban(core: str) -> bool:
+    """Whether the check digits of an account number hold."""
+    return bool(re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", core)) and int("".join(str(int(c, 36)) for c in core[4:] + core[:4])) % 97 == 1
+
+
+def votes(token: str, before: list[str], value: bool = False) -> str:
+    """One character per labeler: + secret, - no secret, 0 no vote; `value`: the
+    token is the value of a secret word."""
     core = token.strip(MARKS)
     letters, digits = sum(map(str.isalpha, core)), sum(map(str.isdigit, core))
     near = {w.strip(MARKS).lower() for w in before}
     last = before[-1].strip(MARKS).lower() if before else ""
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(core, core[1:]))
     return "".join((
-        "+" if KEY.fullmatch(core) else "0",
-        "+" if ASSIGNED.fullmatch(core) else "0",
+        "+" if KEY.fullmatch(core) or iban(core) else "0",
+        "+" if value or ASSIGNED.fullmatch(core) else "0",
         "+" if len(core) >= 12 and digits >= 3 and letters >= 3 else "-" if len(core) < 6 else "0",
         "-" if PLAIN_NUMBER.fullmatch(token) else "0",
         "+" if near & SECRET_WORDS or core.split("=")[0].split(":")[0].lower() in SECRET_WORDS else "0",
         "-" if last in NUMBER_WORDS else "0",
-        "+" if changes >= 4 else "-" if changes == 0 else "0",
+        "+" if changes >= 4 else "-" if changes == 0 and digits else "0",
     ))
 
 
@@ -133,24 +148,51 @@ N_LABELERS = 7
 COMBINATIONS = 3 ** N_LABELERS * 5 * 4 * 5 * 8
 
 
+def tokens_at(text: str, places: Iterator[int]) -> dict[int, int]:
+    """start -> end of the whitespace-delimited tokens that hold ascending places."""
+    out: dict[int, int] = {}
+    end = -1
+    for at in places:
+        if at < end:
+            continue
+        start = at
+        while start and not text[start - 1].isspace():
+            start -= 1
+        gap = SPACE.search(text, at)
+        end = out[start] = gap.start() if gap else len(text)
+    return out
+
+
 def candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, votes, shape) of every token with a digit that touches no base span."""
-    if not DIGIT.search(text):
+    """(start, end, votes, shape) of every candidate that touches no base span."""
+    values = tokens_at(text, (m.start(1) for m in VALUE.finditer(text))) if ":" in text or "=" in text else {}
+    tokens = values | tokens_at(text, (m.start() for m in KEYLIKE.finditer(text)))
+    grouped: list[tuple[int, int]] = []
+    if DIGIT.search(text):
+        tokens |= (m.span() for m in TOKEN.finditer(text))
+        for m in GROUPS.finditer(text):
+            lo, hi = m.span(m.lastindex)
+            if DIGIT.search(text, lo, hi) and not any(a < hi and lo < b for a, b in taken):
+                grouped.append((lo, hi))
+    if not tokens and not grouped:
         return
-    taken = sorted(taken)
+    taken = sorted([*taken, *grouped])
+    out = [(lo, hi, re.sub("[ -]", "", text[lo:hi]), False) for lo, hi in grouped]
     k = 0
-    for m in TOKEN.finditer(text):
-        start, end = m.span()
+    for start, end in sorted(tokens.items()):
         while k < len(taken) and taken[k][1] <= start:
             k += 1
         if k < len(taken) and taken[k][0] < end:
             continue
-        token = m[0]
+        token = text[start:end]
         left = len(token) - len(token.lstrip(MARKS))
         right = len(token.rstrip(MARKS))
-        if left >= right:
-            continue
-        yield start + left, start + right, votes(token, text[max(0, start - 60):start].split()[-3:]), shape(token)
+        if left < right:
+            out.append((start, end, token, start in values))
+    for start, end, token, value in sorted(out):
+        before = text[max(0, start - 60):start].split()[-3:]
+        own = text[start:end]
+        yield (start + len(own) - len(own.lstrip(MARKS)), start + len(own.rstrip(MARKS)), votes(token, before, value), shape(token))
 
 
 def reliabilities(patterns: list[str], counts: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, float]:
@@ -227,9 +269,8 @@ def learn(docs: DataFrame, *, text_col: str = "text") -> SpanClassifier:
         for b in batches:
             for t in b.column(0):
                 text = t.as_py()
-                if DIGIT.search(text):
-                    taken = [s for kind in base_spans(text) for s in kind]
-                    seen.update((v, s) for _, _, v, s in candidates(text, taken))
+                taken = [s for kind in base_spans(text) for s in kind]
+                seen.update((v, s) for _, _, v, s in candidates(text, taken))
         if seen:
             rows = [(v, s, n) for (v, s), n in sorted(seen.items())]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["votes", "shape", "n"])

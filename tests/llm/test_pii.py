@@ -91,3 +91,16 @@ def test_em_recovers_labeler_reliability():
 
 def test_training_without_candidates():
     assert not fit([]).accepts("0000000", "000nnn")
+
+
+def test_values_and_groups_without_digits_in_every_token(make_docs):
+    """Values of secret words, with or without a digit, and identifiers in groups."""
+    rows, _ = corpus()
+    more = {1000: ("My password: correcthorse is old.", "correcthorse"), 1001: ("Set api_key=AbCdEfGhIjKlMn here.", "api_key=AbCdEfGhIjKlMn"),
+            1002: ("Pay to GB29 NWBK 6016 1331 9268 19 today.", "GB29 NWBK 6016 1331 9268 19"),
+            1003: ("The iban: DE89 3704 0044 0532 0130 00, thanks.", "DE89 3704 0044 0532 0130 00"),
+            1004: ("passport no C01X 00T4 7K is mine.", "C01X 00T4 7K"), 1005: ("It has no such thing, and the river is wide.", None)}
+    texts = {i: t for i, (t, _) in more.items()}
+    got = {r["doc_id"]: r["spans"] for r in personal_data(make_docs([*rows, *texts.items()])).collect() if r["doc_id"] in more}
+    found = {i: [texts[i][int(a):int(b)] for k, a, b in (s.split(":") for s in spans.split(",") if s)] for i, spans in got.items()}
+    assert found == {i: [want] if want else [] for i, (_, want) in more.items()}
