@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -34,6 +34,8 @@ MARK = "▁"
 VECTOR_CHARS = 32
 #: Texts whose words are handled together.
 BLOCK_ROWS = 500
+#: Piece ids from which a batch of segmentations is handed on.
+BLOCK_IDS = 1 << 21
 #: Scores up to this are no scores.
 PLACEHOLDER = -1e8
 #: Taken off the lowest piece score for each byte of a character without piece.
@@ -231,12 +233,21 @@ class Vocabulary:
 
     def text_scores(self, words: list[str], total: float, gaps: np.ndarray, n: int) -> list[float]:
         """Scores of the n best segmentations of a whole text, best first."""
+        return [score for score, _ in self.text_best(words, total, gaps, n)]
+
+    def text_best(self, words: list[str], total: float, gaps: np.ndarray, n: int, best: Callable[[int], tuple[int, ...]] = lambda at: ()) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
+        """The n best segmentations of a whole text, best first: score, and by
+        place the ids of the words that aren't segmented as in the best one,
+        whose ids `best` gives."""
         few = np.argsort(gaps, kind="stable")[:n - 1] if len(gaps) <= 4 * n else np.argpartition(gaps, n - 1)[:n - 1]
-        losses = [0.0]
-        for at in few[np.isfinite(gaps[few])]:
-            own = self.n_best(words[at], n)
-            losses = heapq.nsmallest(n, (a + own[0][0] - s for a in losses for s, _ in own))
-        return [total - x for x in losses]
+        losses: list[tuple[float, tuple]] = [(0.0, ())]
+        for at in few[np.isfinite(gaps[few])].tolist():
+            own, first = self.n_best(words[at], n), best(at)
+            # of equal ones the Viterbi pass may have taken another than A*
+            others = [ids for _, ids in own if ids != first] if any(ids == first for _, ids in own) else [ids for _, ids in own[1:]]
+            ways = [(0.0, ()), *((own[0][0] - s, ((at, ids),)) for (s, _), ids in zip(own[1:], others))]
+            losses = heapq.nsmallest(n, ((x + y, p + q) for x, p in losses for y, q in ways))
+        return [(total - x, dict(p)) for x, p in losses]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids: pieces joined, marks to spaces, the leading one dropped."""
@@ -269,38 +280,92 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def segment_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", n_best: int = 4) -> DataFrame:
-    """doc_id, n_pieces, best_score, scores, ids_sha256, round_trip; one row per input row.
+def _segmentations(parts: list[list[tuple[float, np.ndarray]]]) -> pa.Array:
+    """Rows of (score, ids) as array<struct<score, ids>>."""
+    flat = [x for own in parts for x in own]
+    ends = np.cumsum([0, *(len(ids) for _, ids in flat)]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *(ids for _, ids in flat)])))
+    rows = pa.StructArray.from_arrays([pa.array([s for s, _ in flat], pa.float64()), ids], ["score", "ids"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), rows)
 
-    ``scores`` are those of the `n_best` best segmentations of the whole text
-    (fewer if there are fewer), ``ids_sha256`` hashes the best one's ids
-    (little-endian 32-bit), and ``round_trip`` tells whether decoding them gives
-    the text back (only texts with the space mark itself don't). Null texts
-    count as empty: no pieces, one segmentation of score 0. Ids may be null or
-    repeated.
-    """
-    texts = pick(docs, id_col, text_col)
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_pieces", "best_score", "scores", "ids_sha256", "round_trip"]
-    kinds = [pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.string(), pa.bool_()]
+
+def _segment(model_path: str, n_best: int):
+    """Texts to (doc_id, text, segmentations)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model_path)
         for b in batches:
             for at in range(0, b.num_rows, BLOCK_ROWS):
-                part, out = b.slice(at, BLOCK_ROWS), []
-                texts_ = part.column(1).to_pylist()
-                split = [vocab.split(t) for t in texts_]
+                part, out, held, begin = b.slice(at, BLOCK_ROWS), [], 0, 0
+                split = [vocab.split(t) for t in part.column(1).to_pylist()]
                 known = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(split)))}
                 rows = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in split]
                 flat, bounds, score, gap = vocab.best(list(known))
-                for text, words, own in zip(texts_, split, rows):
+                for row, (words, own) in enumerate(zip(split, rows)):
+                    ends = np.cumsum(bounds[own + 1] - bounds[own])
                     ids = flat[spread(bounds[own], bounds[own + 1] - bounds[own])]
-                    total = float(score[own].sum())
-                    out.append((len(ids), total, vocab.text_scores(words, total, gap[own], n_best), hashlib.sha256(ids.tobytes()).hexdigest(), vocab.decode(ids) == text))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
+                    ways = []
+                    for s, changed in vocab.text_best(words, float(score[own].sum()), gap[own], n_best, lambda w: tuple(flat[bounds[own[w]]:bounds[own[w] + 1]].tolist())):
+                        pieces, done = [], 0
+                        for w, other in sorted(changed.items()):
+                            pieces += [ids[done:ends[w - 1] if w else 0], np.array(other, np.int32)]
+                            done = ends[w]
+                        ways.append((s, np.concatenate([*pieces, ids[done:]])))
+                    out.append(ways)
+                    held += sum(len(x) for _, x in ways)
+                    if held >= BLOCK_IDS or row == len(rows) - 1:
+                        yield pa.RecordBatch.from_arrays([*(c.slice(begin, len(out)) for c in part.columns), _segmentations(out)], ["doc_id", "text", "segmentations"])
+                        out, held, begin = [], 0, row + 1
+
+    return run
+
+
+def _digest(model_path: str):
+    """(doc_id, text, segmentations) to the columns of `segment_texts`."""
+    names = ["doc_id", "n_pieces", "best_score", "scores", "ids_sha256", "round_trip"]
+    kinds = [pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.string(), pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(model_path)
+        for b in batches:
+            each, bounds = b.column(2).values, b.column(2).offsets.to_numpy()
+            ids, ends = each.field("ids").values.to_numpy(), each.field("ids").offsets.to_numpy()
+            scores, out = each.field("score").to_pylist(), []
+            for text, lo, hi in zip(b.column(1).to_pylist(), bounds, bounds[1:]):
+                best = ids[ends[lo]:ends[lo + 1]]
+                out.append((len(best), scores[lo], scores[lo:hi], hashlib.sha256(best.tobytes()).hexdigest(), vocab.decode(best) == text))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, n_pieces long, best_score double, scores array<double>, ids_sha256 string, round_trip boolean")
+    return run
+
+
+def n_best_segmentations(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", n_best: int = 4) -> DataFrame:
+    """doc_id, text, segmentations; one row per input row.
+
+    ``segmentations`` are the `n_best` best ones of the whole text (fewer if
+    there are fewer), best first, each with its ``score`` and piece ``ids``.
+    Null texts count as empty: one segmentation without ids, of score 0. Ids may
+    be null or repeated.
+    """
+    texts = pick(docs, id_col, text_col)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+
+    return texts.mapInArrow(_segment(model_path, n_best), f"doc_id {id_type}, text string, segmentations array<struct<score: double, ids: array<int>>>")
+
+
+def segment_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", n_best: int = 4) -> DataFrame:
+    """doc_id, n_pieces, best_score, scores, ids_sha256, round_trip; one row per input row.
+
+    Digests of the rows of `n_best_segmentations`, taken in the same pass: ``scores`` are those of all its
+    segmentations, ``ids_sha256`` hashes the best one's ids (little-endian
+    32-bit), and ``round_trip`` tells whether decoding them, as `decode_ids` does, gives the text back
+    (only texts with the space mark itself don't).
+    """
+    texts = pick(docs, id_col, text_col)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    segment, digest = _segment(model_path, n_best), _digest(model_path)
+    return texts.mapInArrow(lambda batches: digest(segment(batches)),
+                            f"doc_id {id_type}, n_pieces long, best_score double, scores array<double>, ids_sha256 string, round_trip boolean")
 
 
 def decode_ids(pieces: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from conftest import ODD
 
-from sparkrec.llm.pieces import Vocabulary, decode_ids, segment_texts
+from sparkrec.llm.pieces import Vocabulary, decode_ids, n_best_segmentations, segment_texts
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -84,3 +84,32 @@ def test_decoding(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate([*ids, None])], "doc_id long, ids array<int>")
     out = {r["doc_id"]: r["text"] for r in decode_ids(df, PATH).collect()}
     assert [out[i] for i in range(6)] == [*texts, ""]
+
+
+def test_the_n_best_segmentations_themselves(vocab, make_docs):
+    """Ids and scores against all segmentations; every one decodes to its text."""
+    texts = ["the cat", "a b c", "in ner\nat", "x", "thation on", "日 a", "é  é", "the the the the the the", None]
+    table = n_best_segmentations(make_docs(list(enumerate(texts))), PATH)
+    got = {r["doc_id"]: r["segmentations"] for r in table.collect()}
+    for i, text in enumerate(texts):
+        parts = [every_segmentation(vocab, w) for w in vocab.split(text or "")][:4]
+        ways = [tuple(s["ids"]) for s in got[i]]
+        assert len(set(ways)) == len(ways)
+        if len(vocab.split(text or "")) <= 4:
+            every = {sum((ids for _, ids in c), ()): sum(s for s, _ in c) for c in itertools.product(*parts)}
+            assert [s["score"] for s in got[i]] == pytest.approx(sorted(every.values(), reverse=True)[:4])
+            assert all(every[w] == pytest.approx(s["score"]) for w, s in zip(ways, got[i]))
+    each = table.selectExpr("doc_id", "explode(segmentations.ids) AS ids")
+    out = [(r["doc_id"], r["text"]) for r in decode_ids(each, PATH).collect()]
+    assert len(out) == sum(map(len, got.values())) and all(t == (texts[i] or "") for i, t in out)
+
+
+def test_equal_scores_give_different_segmentations(vocab):
+    """A word whose best segmentation is not the one that A* finds first among equals."""
+    found = [(-1.0, (7,)), (-1.0, (8,)), (-2.0, (9,))]
+    vocab.n_best, kept = (lambda word, n: found[:n]), vocab.n_best
+    try:
+        ways = vocab.text_best(["w"], -1.0, np.array([0.0]), 3, lambda at: (8,))
+    finally:
+        vocab.n_best = kept
+    assert ways == [(-1.0, {}), (-1.0, {0: (7,)}), (-2.0, {0: (9,)})]
