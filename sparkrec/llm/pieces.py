@@ -344,6 +344,8 @@ def n_best_segmentations(docs: DataFrame, model_path: str, *, id_col: str = "doc
 
     ``segmentations`` are the `n_best` best ones of the whole text (fewer if
     there are fewer), best first, each with its ``score`` and piece ``ids``.
+    Scores are sums over pieces; under a BPE model, whose scores are merge
+    ranks, the best one is not the model's own encoding (`model_segmentations`).
     Null texts count as empty: one segmentation without ids, of score 0. Ids may
     be null or repeated.
     """
@@ -353,6 +355,12 @@ def n_best_segmentations(docs: DataFrame, model_path: str, *, id_col: str = "doc
     return texts.mapInArrow(_segment(model_path, n_best), f"doc_id {id_type}, text string, segmentations array<struct<score: double, ids: array<int>>>")
 
 
+@lru_cache(maxsize=2)
+def library(path: str):
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 def segment_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", n_best: int = 4) -> DataFrame:
     """doc_id, n_pieces, best_score, scores, ids_sha256, round_trip; one row per input row.
 
@@ -368,6 +376,22 @@ def segment_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
                             f"doc_id {id_type}, n_pieces long, best_score double, scores array<double>, ids_sha256 string, round_trip boolean")
 
 
+def model_segmentations(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the ids of the model's own encoding, by the library; one row per
+    input row. Null texts count as empty; ids may be null or repeated."""
+    texts = pick(docs, id_col, text_col)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = library(model_path)
+        for b in batches:
+            for at in range(0, b.num_rows, BLOCK_ROWS):
+                part = b.slice(at, BLOCK_ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.encode(part.column(1).to_pylist()), pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    return texts.mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+
+
 def decode_ids(pieces: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and the text of each array of piece ids (null: empty)."""
     rows = pieces.selectExpr(f"`{id_col}` AS doc_id", f"coalesce(cast(`{ids_col}` AS array<int>), array()) AS ids")

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from conftest import ODD
 
-from sparkrec.llm.pieces import Vocabulary, decode_ids, n_best_segmentations, segment_texts
+from sparkrec.llm.pieces import Vocabulary, decode_ids, model_segmentations, n_best_segmentations, segment_texts
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -113,3 +113,16 @@ def test_equal_scores_give_different_segmentations(vocab):
     finally:
         vocab.n_best = kept
     assert ways == [(-1.0, {}), (-1.0, {0: (7,)}), (-2.0, {0: (9,)})]
+
+
+def test_model_segmentation_is_the_library_s(make_docs, sf_docs):
+    """The model's own encoding stands beside the N best, which differ from it on most words of English."""
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = [(i, t) for i, (_, t) in enumerate(sf_docs[1][:20])] + [(100, None), (101, "The quick brown fox understands international agreements.")]
+    docs = make_docs(rows)
+    own = {r["doc_id"]: list(r["ids"]) for r in model_segmentations(docs, PATH).collect()}
+    assert own == {i: model.encode(t or "") for i, t in rows}
+    assert {r["doc_id"]: r["text"] for r in decode_ids(model_segmentations(docs, PATH), PATH).collect()} == {i: t or "" for i, t in rows}
+    best = {r["doc_id"]: list(r["segmentations"][0]["ids"]) for r in n_best_segmentations(docs, PATH).collect()}
+    assert own[100] == best[100] == [] and own[101] != best[101]
