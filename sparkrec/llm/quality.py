@@ -44,8 +44,9 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
     * navigation: link bars; at least 3 words that are only ``|``, ``>`` or
       ``»``, and one in four words of the line
     * punctuation: at least 3 words and as many marks of ``#*$%&<>`` as words,
-      or a shouted ``!!`` on half of the words, or fewer letters and digits than
-      half of the visible characters
+      or a shouted ``!!`` on half of the words, or, on a line of at most
+      BOILERPLATE_WORDS words, fewer letters and digits than half of the visible
+      characters
     * repetition: at least 12 words, and each distinct word four times on average
     * boilerplate: a short line that holds a phrase of page furniture
     """
