@@ -12,7 +12,7 @@ import re
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from oracle_compare import duck, frame_hash
 
 import __spark_entry__ as E

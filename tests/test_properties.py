@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from sparkrec.plans import datasets
 from sparkrec.plans.registry import QUERIES, r2_similarities
 

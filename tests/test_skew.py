@@ -5,7 +5,7 @@ exact and the user's rows are numbered across several range partitions."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from sparkrec.operators.ranking import _sorted_with_position
 from sparkrec.operators.split import RATING_COLS, label_split
 from sparkrec.plans import datasets

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from conftest import SF01
+from paths import SF01
 from sparkrec.operators import factors as fac
 from sparkrec.plans import datasets
 
