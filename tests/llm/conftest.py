@@ -1,12 +1,7 @@
 """Shared small tables for the operators' tests."""
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -17,7 +12,8 @@ def make_docs(spark):
     def build(rows, extra=True):
         df = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], DOCS).repartition(3)
         if extra:
-            for name in ("n_bytes", "kept", "n_tokens", "score", "component_id", "spans", "bin_id", "digest", "doc", "key", "label_"):
+            for name in ("n_bytes", "kept", "n_tokens", "score", "component_id", "spans", "bin_id", "digest", "doc", "key", "label_",
+                         "_row", "_doc", "_digest", "_spans", "id", "hash", "text_"):
                 df = df.selectExpr("*", f"'x' AS {name}")
         return df
 
@@ -34,10 +30,3 @@ def sf_docs(spark):
     """The smallest given documents, as a frame and as rows."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     return df, [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
-
-
-#: Null id, null, empty and blank texts, ties, repeated rows, a long text.
-ODD = [
-    (None, "no id at all here, but ten words or more of text"), (1, None), (2, ""), (3, " \n\t "), (4, "same text"), (5, "same text"),
-    (5, "same text"), (6, "one"), (7, "word " * 30_000), (8, "naïve café 日本語 😀 <|endoftext|> end"), (9, "a\x00b \x0b c"),
-]

@@ -2,7 +2,7 @@
 
 import textwrap
 
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.licenses import BSD_ADVERTISING, BSD_KEEP, BSD_NAMES, BSD_USE, TEMPLATES, blocks, confirm, differences, rank, scan
 

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm import minhash as M
 from sparkrec.llm.minhash import drop_near_duplicates, near_duplicates

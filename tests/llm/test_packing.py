@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.packing import best_plan, default_cost, make_plan, pack
 

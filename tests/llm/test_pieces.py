@@ -6,7 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.pieces import Vocabulary, decode_ids, model_segmentations, n_best_segmentations, segment_texts
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.pii import base_spans, fit, luhn, mask, personal_data, reliabilities
 

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.quality import clean, judge, line_fault, quality
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm import suffix_dedup as S
 

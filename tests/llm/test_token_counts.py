@@ -4,7 +4,7 @@ import random
 
 import public_tokenizers
 import pytest
-from conftest import ODD
+from rows import ODD
 from tokenizers import Tokenizer
 
 from sparkrec.llm.token_counts import SPLIT_PATTERN, Encoder, count_tokens, stable_keys

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import ODD
+from rows import ODD
 
 from sparkrec.llm.toxicity import ConvNet, STEP, thresholds, toxicity, train
 
