@@ -2,6 +2,21 @@
 
 from __future__ import annotations
 
+def _crc_table() -> str:
+    """What CRC-32 (reflected polynomial 0xEDB88320) makes of each byte."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return f"{table}::UBIGINT[]"
+
+
+#: CRC-32 of the bytes whose hex digits are `{hex}`.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(octet_length(encode({hex})) // 2),
+    lambda i: ('0x' || substr({hex}, (2 * i + 1)::BIGINT, 2))::UBIGINT)),
+  lambda c, b: xor(c >> 8, ({table})[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)"""
+
 SQL: dict[str, str] = {
     "op3_suffix_dedup": r"""
 WITH t AS (
@@ -119,5 +134,77 @@ WITH RECURSIVE t AS (
 )
 SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, low.component_id, t.doc_id = low.component_id AS kept
 FROM t JOIN low ON low.x = t.doc_id LEFT JOIN sizes s ON s.doc_id = t.doc_id
+""",
+    "op11_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(text, '') AS text, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_hash,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT DISTINCT conv_id, hex(encode(conv_id::VARCHAR)) AS id_hex FROM turns
+), convs AS (
+  SELECT conv_id, (""" + CRC32.format(hex="id_hex", table=_crc_table()) + r""" % 4)::BIGINT AS h FROM ids
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.text, t.turn_hash FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.text, t.turn_hash FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, string_agg(turn_hash, '') OVER w AS node FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs
+), lengths AS (
+  SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT p.node, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(p.words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN p.depth = l.n THEN p.conv_id::VARCHAR END, ',' ORDER BY p.conv_id), '')) AS ends_sha256
+  FROM paths p JOIN lengths l ON l.conv_id = p.conv_id GROUP BY p.node, p.depth
+), children AS (
+  SELECT substr(node, 1, 32 * (depth - 1)::INT) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), known AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.node = n.node
+), subtrees AS (
+  SELECT a.node, count(*) FILTER (x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.words)::BIGINT AS saved_tokens
+  FROM known x JOIN paths a ON a.conv_id = x.conv_id AND a.depth <= x.depth GROUP BY a.node
+)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, k.ends_sha256
+FROM known k JOIN subtrees s ON s.node = k.node LEFT JOIN nodes p ON k.depth > 0 AND p.node = substr(k.node, 1, 32 * (k.depth - 1)::INT)
+""",
+    "op12_fill_in_middle": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), draws AS (
+  SELECT doc_id, text, lines, len(lines) AS n, ('0x' || substr(h, 1, 8))::UBIGINT % (len(lines) + 1) AS a, ('0x' || substr(h, 9, 8))::UBIGINT % (len(lines) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::UBIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM t
+), parts AS (
+  SELECT doc_id, text, n::BIGINT AS n, form, coalesce(array_to_string(lines[1:least(a, b)::BIGINT], ''), '') AS prefix,
+         coalesce(array_to_string(lines[least(a, b)::BIGINT + 1:greatest(a, b)::BIGINT], ''), '') AS middle,
+         coalesce(array_to_string(lines[greatest(a, b)::BIGINT + 1:], ''), '') AS suffix FROM draws
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op13_sharding": r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) + 8 AS size, md5(coalesce(doc_id::VARCHAR, '')) AS m FROM documents
+), sums AS (
+  SELECT doc_id, size, substr(m, 1, 16) AS value, """ + CRC32.format(hex="h", table=_crc_table()) + r""" AS crc FROM t
+), keys AS (
+  SELECT DISTINCT value FROM sums
+), jumps AS (
+  SELECT value, ('0x' || value)::UBIGINT::HUGEINT AS state, -1::BIGINT AS at, 0::BIGINT AS next FROM keys
+  UNION ALL
+  SELECT value, s, next, floor((next + 1) * (2147483648.0::DOUBLE / ((s // 8589934592) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT value, next, (state * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT AS s FROM jumps WHERE next < 25)
+), shards AS (
+  SELECT value, max(next) FILTER (next < 24) AS shard, max(next) FILTER (next < 25) AS grown FROM jumps GROUP BY value
+)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY s.value, doc_id NULLS FIRST, crc, size) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM sums s JOIN shards j ON j.value = s.value
 """,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkrec.llm.fill_in_middle import digests, fill_in_middle
 from sparkrec.llm.licenses import scan
 from sparkrec.llm.metric_join import near_vectors
 from sparkrec.llm.minhash import near_duplicates
@@ -14,7 +15,9 @@ from sparkrec.llm.oracles import SQL
 from sparkrec.llm.packing import pack
 from sparkrec.llm.pieces import segment_texts
 from sparkrec.llm.pii import personal_data
+from sparkrec.llm.prefix_trie import trie
 from sparkrec.llm.quality import quality
+from sparkrec.llm.sharding import shard
 from sparkrec.llm.suffix_dedup import repeated_bytes
 from sparkrec.llm.token_counts import count_tokens
 from sparkrec.llm.toxicity import toxicity
@@ -90,3 +93,21 @@ def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of the documents' two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at line ends and rearranged, as digests."""
+    return digests(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard among 24, and among 25."""
+    return shard(table(spark, sf_dir, "documents"), shards=24)
