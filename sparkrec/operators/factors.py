@@ -4,14 +4,17 @@ Model: mu = mean stored rating; A = ratings - mu on stored cells (missing
 cells stay 0); A ~ U S V^T of rank k; prediction = mu + (U S)_u . V_i,
 clipped to [1, 5]; an unseen user or item gets mu.
 
-* G2 is a blocked subspace iteration (randomised range finder with power
-  passes). Users and items are numbered; the stored cells of a user block and an
-  item block make one packed row. A tall matrix (items or users by `width`) is a
-  table of dense blocks, so A X and A^T Y are joins of packed cells with blocks
-  on the block number, a numpy product per pair and a sum per block. Only
-  width x width matrices come to the driver. With a width of all items the
-  result is the exact SVD; otherwise passes go on until the captured energy
-  no longer grows.
+* G2 finds the leading eigenvectors of A^T A and ends when the residual
+  |A^T A v - s^2 v| of every one of the k vectors is at most `tolerance` x s_1^2; it
+  raises if it doesn't get there.
+  While a basis of vectors over the items is within `local_bytes`, block Lanczos
+  with thick restarts keeps it on the driver, and one product is one pass over the
+  ratings, packed by user: each task multiplies a block of vectors by its users'
+  rows and their transpose at once, and the results are summed by slices of items.
+  Beyond, Chebyshev-filtered subspace iteration needs no basis but three blocks of
+  vectors. They are tables of dense blocks, joined with packed cells on the block
+  number; tasks add up what they can and send only rows that aren't zero, and only
+  width x width matrices reach the driver.
   U S is A V, never formed from U.
 * G4 scores users in Arrow batches with `mapInPandas`, against one slice of V
   after another where V is larger than the broadcast bound, and keeps
@@ -37,10 +40,18 @@ CLIP_MIN, CLIP_MAX = 1.0, 5.0
 SLICE_BYTES = 1 << 28               # item factors that scoring broadcasts at once
 SCORE_PLACES = 10
 SCORE_BLOCK_CELLS = 4_000_000       # user x item scores held at once in a Python worker
-BLOCK = 4096                        # users or items of a block
+BLOCK = 1024                        # users or items of a block
 RCOND = 1e-7                        # singular values below this x s_1 are noise
-OVERSAMPLE, MIN_WIDTH = 12, 100     # columns iterated beyond k, and at least
-PASSES, ENERGY_TOL = 6, 1e-4        # most power passes; relative growth of the energy that ends them
+LOCAL_BYTES = 1 << 28               # doubles over the items that the driver may hold; a task holds a few hundredths
+BASIS_BLOCKS = 48                   # blocks of Lanczos vectors before a restart, at most; at least 4
+CELLS_PER_TASK = 16_000_000         # ratings that one task multiplies, about
+CHUNK_CELLS = 100_000               # ratings of a packed row
+SLICES = 16                         # parts of a product, by items
+CHECK_EVERY = 3                     # products between two tests of the residuals
+DEGREE = 10                         # of the filter between two rotations
+TOLERANCE = 1e-6                    # residual over s_1^2 at which a vector counts as found
+MOST_PRODUCTS = 2000                # not converged by then: an error
+HELD_BLOCKS = 32                    # dense blocks that a task adds up before it sends them
 
 
 @dataclass
@@ -49,6 +60,8 @@ class SVDModel:
     singular_values: list[float]
     item_factors: DataFrame   # item_id, item_idx, factors array<double> (rows of V)
     user_factors: DataFrame   # user_id, factors array<double> (rows of U S = A V)
+    residual: float = 0.0     # largest |A^T A v - s^2 v| / s_1^2 when training ended
+    products: int = 0         # multiplications by A^T A that it took
 
     @property
     def k(self) -> int:
@@ -63,16 +76,168 @@ def item_index(train: DataFrame) -> DataFrame:
         "item_idx", F.col("item_idx") - 1)
 
 
-def rating_matrix(train: DataFrame) -> tuple[DataFrame, DataFrame, float, int]:
-    """G1: COO entries (user_id, item_id, item_idx, value = rating - mu), the
-    item index, mu (one number on the driver) and the number of item columns."""
-    mu = float(train.agg((F.sum("rating") / F.count("rating")).alias("mu")).first()["mu"])
-    idx = item_index(train)
+def rating_matrix(train: DataFrame) -> tuple[DataFrame, DataFrame, float, int, int]:
+    """G1: COO entries (user_id, item_id, item_idx, value = rating - mu), the item
+    index, and on the driver mu and the numbers of items (columns) and ratings."""
+    idx = materialize(item_index(train), "svd_items")
+    mu, n = train.agg((F.sum("rating") / F.count("rating")).alias("mu"), F.count("rating").alias("n")).first()
     n_items = idx.count()
     entries = (train.select("user_id", "item_id", "rating").join(idx, "item_id")
                .select("user_id", "item_id", "item_idx",
                        (F.col("rating") - F.lit(mu)).alias("value")))
-    return entries, idx, mu, n_items
+    return entries, idx, mu, n_items, n
+
+
+def _rows_times(rows: np.ndarray, cols: np.ndarray, v: np.ndarray, x: np.ndarray, out: np.ndarray) -> None:
+    """out[rows] += v x[cols], for `rows` in order; in slices that stay in the cache."""
+    for lo in range(0, len(v), 20_000):
+        r = rows[lo:lo + 20_000]
+        first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        out[r[first]] += np.add.reduceat(v[lo:lo + 20_000, None] * x[cols[lo:lo + 20_000]], first, axis=0)
+
+
+class _Whole:
+    """A^T A times vectors that fit in a task: one pass over ratings packed by user.
+
+    A user rates an item once, so a user's row is no longer than the items that a
+    task may hold: no user is too large for a task either."""
+
+    def __init__(self, entries: DataFrame, n_ratings: int, n_items: int, seed: int, local_bytes: int):
+        self.spark, self.n_items, self.seed, self.local_bytes = entries.sparkSession, n_items, seed, local_bytes
+        self.parts = parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-n_ratings // CELLS_PER_TASK))
+
+        def pack(batches):
+            users, items, values = [], [], []
+            for b in batches:
+                u, i, v = (b.column(c).to_numpy() for c in range(3))
+                users.append(u), items.append(i), values.append(v)
+                if sum(map(len, users)) >= CHUNK_CELLS:
+                    u, i, v = (np.concatenate(x) for x in (users, items, values))
+                    end = int(np.searchsorted(u, u[-1]))  # the last user may go on in the next batch
+                    if end:
+                        yield row(u[:end], i[:end], v[:end])
+                    users, items, values = [u[end:]], [i[end:]], [v[end:]]
+            if users and sum(map(len, users)):
+                yield row(*(np.concatenate(x) for x in (users, items, values)))
+
+        def row(u, i, v):
+            ids, place = np.unique(u, return_inverse=True)
+            by_item = np.lexsort((place, i))
+            cols = [ids.astype(np.int64), place.astype(np.int32), i.astype(np.int32), v.astype(np.float64), by_item.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cols], ["ids", "place", "item", "v", "by_item"])
+
+        self.rows = materialize(
+            entries.select("user_id", F.col("item_idx").cast("int"), "value").repartition(parts, "user_id").sortWithinPartitions("user_id", "item_idx")
+            .mapInArrow(pack, "ids binary, place binary, item binary, v binary, by_item binary"), "svd_rows")
+
+    @staticmethod
+    def _unpacked(batch):
+        kinds = (np.int64, np.int32, np.int32, np.float64, np.int32)
+        for r in zip(*(c.to_pylist() for c in batch.columns)):
+            yield [np.frombuffer(x, t) for x, t in zip(r, kinds)]
+
+    def step(self, x: np.ndarray) -> np.ndarray:
+        """A^T A x."""
+        n_items, unpacked = self.n_items, self._unpacked
+        sent = self.spark.sparkContext.broadcast(x)
+        per_slice = -(-n_items // SLICES)
+
+        def multiply(batches):
+            vectors = sent.value
+            total = np.zeros_like(vectors)
+            for b in batches:
+                for ids, place, item, v, by_item in unpacked(b):
+                    y = np.zeros((len(ids), vectors.shape[1]))
+                    _rows_times(place, item, v, vectors, y)
+                    _rows_times(item[by_item], place[by_item], v[by_item], y, total)
+            for k in range(SLICES):
+                part = total[k * per_slice:(k + 1) * per_slice]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "x"])
+
+        def add(batches):
+            held = {}
+            for b in batches:
+                for k, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    part = np.frombuffer(part)
+                    held[k] = held[k] + part if k in held else part
+            for k, part in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "x"])
+
+        sums = self.rows.mapInArrow(multiply, _BLOCKS)
+        if self.parts * x.nbytes > self.local_bytes:  # more than the driver may hold at once: added up by tasks first
+            sums = sums.repartition(SLICES, "block").mapInArrow(add, _BLOCKS)
+        out = np.zeros_like(x)
+        for k, x_ in zip(*(c.to_pylist() for c in sums.toArrow().columns)):
+            part = out[k * per_slice:(k + 1) * per_slice]
+            part += np.frombuffer(x_).reshape(part.shape)
+        sent.destroy()
+        return out
+
+    def leading(self, k: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, float, int]:
+        """The k leading vectors of A^T A, their eigenvalues, the largest residual
+        over the largest eigenvalue, and the number of products, by block Lanczos."""
+        width = min(self.n_items, k + 4)
+        most = min(self.n_items, max(4 * width, min(BASIS_BLOCKS * width, self.local_bytes // (8 * self.n_items))))
+        basis = np.zeros((self.n_items, most))
+        small = np.zeros((most, most))  # basis^T A^T A basis
+        basis[:, :width] = np.linalg.qr(np.random.default_rng(self.seed).standard_normal((self.n_items, width)))[0]
+        done, new, products = 0, width, 0
+        while True:
+            own = slice(done, done + new)
+            rest = self.step(np.ascontiguousarray(basis[:, own]))
+            products += 1
+            done += new
+            known = basis[:, :done]
+            for _ in range(2):  # the second time for what rounding left
+                inside = known.T @ rest
+                rest -= known @ inside
+                small[:done, own] += inside
+            small[own, :done] = small[:done, own].T
+            fresh, sizes, mix = np.linalg.svd(rest, full_matrices=False)
+            good = (sizes > 1e-12 * np.abs(small[:done, :done]).max()) & (np.arange(len(sizes)) < self.n_items - done)
+            full = done + good.sum() > most
+            if products % CHECK_EVERY == 0 or full or not good.any():
+                values, vectors = np.linalg.eigh(_symmetric(small[:done, :done]))
+                values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+                left = sizes[:, None] * (mix @ vectors[own])  # A^T A y - w y, on `fresh`
+                residual = float(np.linalg.norm(left[:, :k], axis=0).max() / values[0]) if k and values[0] > 0 else 0.0
+                if residual <= tolerance or not good.any():
+                    return known @ vectors[:, :k], values[:k], residual, products
+                if products >= MOST_PRODUCTS:
+                    raise RuntimeError(f"no convergence: residual {residual:.1e} after {products} products")
+                if full:  # go on from the best vectors found
+                    done = max(1, min(2 * k, most - width))
+                    basis[:, :done] = known @ vectors[:, :done]
+                    small[:] = 0
+                    small[:done, :done] = np.diag(values[:done])
+            fresh = fresh[:, good]
+            fresh = np.linalg.qr(fresh - basis[:, :done] @ (basis[:, :done].T @ fresh))[0]
+            new = fresh.shape[1]
+            basis[:, done:done + new] = fresh
+
+
+    def times(self, x: np.ndarray, r: np.ndarray) -> np.ndarray:
+        return x @ r
+
+    def item_rows(self, x: np.ndarray, index: DataFrame, width: int) -> DataFrame:
+        blocks = self.spark.createDataFrame(
+            [(k, x[k * BLOCK:(k + 1) * BLOCK].tobytes()) for k in range(-(-self.n_items // BLOCK))], _BLOCKS)
+        return _factor_rows(blocks, index, "item_idx", width)
+
+    def user_rows(self, x: np.ndarray, width: int) -> DataFrame:
+        sent, unpacked = self.spark.sparkContext.broadcast(x), self._unpacked
+
+        def rows(batches):
+            for b in batches:
+                for ids, place, item, v, _ in unpacked(b):
+                    y = np.zeros((len(ids), width))
+                    _rows_times(place, item, v, sent.value, y)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(list(y), pa.list_(pa.float64()))], ["user_id", "factors"])
+
+        out = materialize(self.rows.mapInArrow(rows, "user_id long, factors array<double>"), "svd_user_factors")
+        sent.destroy()
+        return out
 
 
 def _packed(entries: DataFrame, users: DataFrame) -> DataFrame:
@@ -93,58 +258,173 @@ def _packed(entries: DataFrame, users: DataFrame) -> DataFrame:
 
 
 _BLOCKS = "block int, x binary"
+_PARTS = "block int, at binary, x binary"
 _BLOCK_SCHEMA = pa.schema([("block", pa.int32()), ("x", pa.binary())])
+_PART_SCHEMA = pa.schema([("block", pa.int32()), ("at", pa.binary()), ("x", pa.binary())])
 
 
 def _dense(x: bytes, width: int) -> np.ndarray:
     return np.frombuffer(x).reshape(-1, width)
 
 
-def _sum_blocks(parts: DataFrame, width: int) -> DataFrame:
-    def total(t: pa.Table) -> pa.Table:
-        x = sum(_dense(b, width) for b in t.column("x").to_pylist())
-        return pa.table({"block": [t["block"][0].as_py()], "x": [x.tobytes()]}, schema=_BLOCK_SCHEMA)
+def _sum_parts(parts: DataFrame, width: int) -> DataFrame:
+    """Dense blocks from rows of blocks: a task meets a block's parts one after
+    another and holds the sum alone."""
+    def total(batches):
+        block, out = None, None
+        for b in batches:
+            for k, at, x in zip(*(c.to_pylist() for c in b.columns)):
+                if k != block:
+                    if out is not None:
+                        yield done(block, out)
+                    block, out = k, np.zeros((BLOCK, width))
+                out[np.frombuffer(at, np.int32)] += _dense(x, width)
+        if out is not None:
+            yield done(block, out)
+
+    def done(block, out):
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([out.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(total, _BLOCKS)
 
-    return parts.groupBy("block").applyInArrow(total, _BLOCKS)
 
+def _part(block: int, out: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(out.any(axis=1)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([out[at].tobytes()], pa.binary())], schema=_PART_SCHEMA)
 
-def _product(cells: DataFrame, x: DataFrame, width: int, transposed: bool) -> DataFrame:
-    """A X (or A^T X): blocks of the users' (items') side."""
+
+def _product_parts(cells: DataFrame, x: DataFrame, width: int, transposed: bool, by: float = 1.0) -> DataFrame:
+    """Rows of by A X (or by A^T X), added up over the blocks that a task holds."""
     own, other = ("ib", "ub") if transposed else ("ub", "ib")
     joined = cells.join(x.withColumnRenamed("block", other), other).select(F.col(own).alias("block"), "u", "i", "v", "x")
 
     def multiply(batches):
+        held: dict[int, np.ndarray] = {}
         for b in batches:
             for block, u, i, v, x_ in zip(*(b.column(k) for k in range(5))):
                 u, i = np.frombuffer(u.as_py(), np.int32), np.frombuffer(i.as_py(), np.int32)
                 v, dense = np.frombuffer(v.as_py()), _dense(x_.as_py(), width)
-                rows, cols = (i, u) if transposed else (u, i)
                 if transposed:
-                    order = np.argsort(rows, kind="stable")
-                    rows, cols, v = rows[order], cols[order], v[order]
-                out = np.zeros((BLOCK, width))
-                for lo in range(0, len(v), 50_000):
-                    r = rows[lo:lo + 50_000]
-                    first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-                    out[r[first]] += np.add.reduceat(v[lo:lo + 50_000, None] * dense[cols[lo:lo + 50_000]], first, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
-
-    return materialize(_sum_blocks(joined.mapInArrow(multiply, _BLOCKS), width), "svd_product")
-
-
-def _gram(x: DataFrame, width: int) -> np.ndarray:
-    """X^T X: one width x width matrix per task, summed to a few, then on the driver."""
+                    order = np.lexsort((u, i))
+                    rows, cols, v = i[order], u[order], v[order]
+                else:
+                    rows, cols = u, i
+                k = block.as_py()
+                if k not in held and len(held) >= HELD_BLOCKS:
+                    yield from (_part(n, out * by) for n, out in held.items())
+                    held.clear()
+                _rows_times(rows, cols, v, dense, held.setdefault(k, np.zeros((BLOCK, width))))
+        yield from (_part(n, out * by) for n, out in held.items())
+
+    return joined.mapInArrow(multiply, _PARTS)
+
+
+def _scaled(x: DataFrame, width: int, by: float) -> DataFrame:
+    def scale(batches):
+        for b in batches:
+            for k, x_ in zip(b.column(0).to_pylist(), b.column(1)):
+                yield _part(k, _dense(x_.as_py(), width) * by)
+
+    return x.mapInArrow(scale, _PARTS)
+
+
+class _Blocked:
+    """A^T A times vectors that are a table of dense blocks."""
+
+    def __init__(self, entries: DataFrame, n_items: int, seed: int):
+        self.spark, self.n_items, self.seed = entries.sparkSession, n_items, seed
+        self.users = materialize(global_rank(entries.select("user_id").distinct(), ["user_id"], "user_idx").withColumn(
+            "user_idx", F.col("user_idx") - 1), "svd_users")
+        self.cells = _packed(entries, self.users)
+        self.width = 0
+
+    def start(self, width: int) -> DataFrame:
+        n_items, seed, self.width = self.n_items, self.seed, width
+
+        def random_block(batches):
+            for b in batches:
+                for block in b.column(0).to_pylist():
+                    x = np.random.default_rng([seed, block]).standard_normal((BLOCK, width))
+                    x[max(0, n_items - block * BLOCK):] = 0
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
+
+        blocks = self.spark.range(-(-n_items // BLOCK)).select(F.col("id").cast("int").alias("block"))
+        return materialize(blocks.mapInArrow(random_block, _BLOCKS), "svd_start")
+
+    def step(self, x: DataFrame, by: float = 1.0, plus: float = 0.0, last: DataFrame | None = None) -> DataFrame:
+        """by A^T A x + plus x - last."""
+        y = materialize(_sum_parts(_product_parts(self.cells, x, self.width, False), self.width), "svd_product")
+        parts = _product_parts(self.cells, y, self.width, True, by).unionByName(_scaled(x, self.width, plus))
+        if last is not None:
+            parts = parts.unionByName(_scaled(last, self.width, -1.0))
+        return materialize(_sum_parts(parts, self.width), "svd_product")
+
+    def times(self, x: DataFrame, r: np.ndarray) -> DataFrame:
+        return materialize(_rotated(x, r), "svd_basis")
+
+    def orthonormal(self, x: DataFrame) -> DataFrame:
+        """`x` with orthonormal columns (none for directions that it doesn't have)."""
+        for _ in range(2):
+            g = _gram(x, x, self.width)
+            norms = np.sqrt(np.maximum(np.diag(g), 0))
+            unit = np.where(norms > 0, 1 / np.where(norms > 0, norms, 1), 0)
+            values, vectors = np.linalg.eigh(g * unit[:, None] * unit[None, :])
+            good = values > 1e-13 * max(values[-1], 0)
+            x = self.times(x, unit[:, None] * vectors * np.where(good, 1 / np.sqrt(np.where(good, values, 1)), 0))
+        return x
+
+    def leading(self, k: int, tolerance: float) -> tuple[DataFrame, np.ndarray, float, int]:
+        """As `_Whole.leading`, by subspace iteration under a Chebyshev filter."""
+        x = self.orthonormal(self.start(min(self.n_items, max(3 * k, k + 32))))
+        products = 0
+        while True:
+            z = self.step(x)
+            products += 1
+            values, vectors = np.linalg.eigh(_symmetric(_gram(x, z, self.width)))
+            values, vectors = np.maximum(values[::-1], 0), np.ascontiguousarray(vectors[:, ::-1])
+            x, z = self.times(x, vectors), self.times(z, vectors)
+            # |z - x w|^2 by column
+            squares = np.diag(_gram(z, z, self.width)) - 2 * values * np.diag(_gram(x, z, self.width)) + values ** 2 * np.diag(_gram(x, x, self.width))
+            residual = float(np.sqrt(np.maximum(squares[:k], 0)).max() / values[0]) if k and values[0] > 0 else 0.0
+            if residual <= tolerance or values[-1] <= 1e-13 * values[0]:
+                return self.times(x, np.eye(self.width)[:, :k]), values[:k], residual, products
+            if products >= MOST_PRODUCTS:
+                raise RuntimeError(f"no convergence: residual {residual:.1e} after {products} products")
+            # the filter is between -1 and 1 on [0, least value]; a higher degree
+            # would leave the largest direction alone in floating point
+            half = values[-1] / 2
+            degree = max(2, min(DEGREE, int(np.arccosh(1e10) / np.arccosh(max((values[0] - half) / half, 1 + 1e-9)))))
+            before, x = x, self.step(x, 1 / half, -1.0)
+            for _ in range(degree - 1):
+                before, x = x, self.step(x, 2 / half, -2.0, before)
+            products += degree
+            x = self.orthonormal(x)
+
+    def item_rows(self, x: DataFrame, index: DataFrame, width: int) -> DataFrame:
+        return _factor_rows(x, index, "item_idx", width)
+
+    def user_rows(self, x: DataFrame, width: int) -> DataFrame:
+        y = _sum_parts(_product_parts(self.cells, x, width, False), width)
+        return materialize(_factor_rows(y, self.users, "user_idx", width).select("user_id", "factors"), "svd_user_factors")
+
+
+def _gram(x: DataFrame, y: DataFrame, width: int) -> np.ndarray:
+    """X^T Y: one width x width matrix per task, summed to a few, then on the driver."""
     def own(batches):
         total = np.zeros((width, width))
         block = 0
         for b in batches:
-            for k, x_ in zip(b.column(0), b.column(1)):
-                d = _dense(x_.as_py(), width)
-                total += d.T @ d
+            for k, x_, y_ in zip(*(b.column(c) for c in range(3))):
+                total += _dense(x_.as_py(), width).T @ _dense(y_.as_py(), width)
                 block = k.as_py() % 16
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
 
-    return sum(_dense(r["x"], width) for r in _sum_blocks(x.mapInArrow(own, _BLOCKS), width).collect())
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(_dense(b, width) for b in t.column("x").to_pylist())
+        return pa.table({"block": [t["block"][0].as_py()], "x": [total.tobytes()]}, schema=_BLOCK_SCHEMA)
+
+    both = x.join(y.withColumnRenamed("x", "y"), "block")
+    return sum(_dense(r["x"], width) for r in both.mapInArrow(own, _BLOCKS).groupBy("block").applyInArrow(add, _BLOCKS).collect())
 
 
 def _rotated(x: DataFrame, r: np.ndarray) -> DataFrame:
@@ -170,53 +450,53 @@ def _factor_rows(x: DataFrame, index: DataFrame, idx_col: str, width: int) -> Da
     return index.join(x.mapInArrow(rows, f"{idx_col} long, factors array<double>"), idx_col)
 
 
-def svd_train(train: DataFrame, k: int = 50, seed: int = 11) -> SVDModel:
-    """Rank-k truncated SVD of the centred rating matrix."""
-    spark = train.sparkSession
-    entries, idx, mu, n_items = rating_matrix(train)
-    idx = materialize(idx, "svd_items")
-    users = materialize(global_rank(train.select("user_id").distinct(), ["user_id"], "user_idx").withColumn(
-        "user_idx", F.col("user_idx") - 1), "svd_users")
-    width = min(n_items, max(k + OVERSAMPLE, MIN_WIDTH))
-    cells = _packed(entries, users)
-
-    def random_block(batches):
-        for b in batches:
-            for block in b.column(0).to_pylist():
-                x = np.random.default_rng([seed, block]).standard_normal((BLOCK, width))
-                x[max(0, n_items - block * BLOCK):] = 0
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([x.tobytes()], pa.binary())], schema=_BLOCK_SCHEMA)
-
-    n_blocks = -(-n_items // BLOCK)
-    x = materialize(spark.range(n_blocks).select(F.col("id").cast("int").alias("block")).mapInArrow(random_block, _BLOCKS), "svd_start")
-    energy = 0.0
-    for turn in range(PASSES):
-        z = _product(cells, _product(cells, x, width, False), width, True)
-        values, vectors = np.linalg.eigh(_gram(z, width))
-        good = values > 1e-14 * values[-1]
-        scale = np.where(good, 1 / np.sqrt(np.where(good, values, 1)), 0)
-        x = _rotated(z, vectors * scale)
-        last, energy = energy, float(np.sqrt(np.maximum(values[-k:], 0)).sum())
-        # a basis of all items spans everything; its second pass makes it orthonormal
-        if turn > 0 and (width == n_items or turn > 1 and energy <= last * (1 + ENERGY_TOL)):
-            break
-    x = materialize(x, "svd_basis")
-    y = _product(cells, x, width, False)
-    values, vectors = np.linalg.eigh(_gram(y, width))
-    order = np.argsort(values)[::-1][:k]
-    singular = np.sqrt(np.clip(values[order], 0, None))
-    keep = singular > RCOND * (singular[0] if len(singular) else 0)
-    turn_to = np.ascontiguousarray(vectors[:, order][:, keep])
-    kept = int(keep.sum())
-    item_factors = materialize(_factor_rows(_rotated(x, turn_to), idx, "item_idx", kept).select("item_id", "item_idx", "factors"), "svd_item_factors")
-    user_factors = materialize(_factor_rows(_rotated(y, turn_to), users, "user_idx", kept).select("user_id", "factors"), "svd_user_factors")
-    return SVDModel(mu, [float(v) for v in singular[keep]], item_factors, user_factors)
+def _symmetric(h: np.ndarray) -> np.ndarray:
+    return (h + h.T) / 2
+
+
+def svd_train(train: DataFrame, k: int = 50, seed: int = 11, tolerance: float = TOLERANCE, local_bytes: int = LOCAL_BYTES) -> SVDModel:
+    """Rank-k truncated SVD of the centred rating matrix, to `tolerance`."""
+    entries, idx, mu, n_items, n_ratings = rating_matrix(train)
+    k = min(k, n_items)
+    if 8 * n_items * min(n_items, 4 * (k + 4)) <= local_bytes:
+        op = _Whole(entries, n_ratings, n_items, seed, local_bytes)
+    else:
+        op = _Blocked(entries, n_items, seed)
+    x, values, residual, products = op.leading(k, tolerance)
+    singular = np.sqrt(values)
+    kept = int((singular > RCOND * (singular[0] if len(singular) else 0)).sum())
+    x = op.times(x, np.eye(k)[:, :kept])
+    item_factors = materialize(op.item_rows(x, idx, kept).select("item_id", "item_idx", "factors"), "svd_item_factors")
+    return SVDModel(mu, [float(v) for v in singular[:kept]], item_factors, op.user_rows(x, kept), residual, products)
 
 
 def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def svd_residuals(model: SVDModel, train: DataFrame) -> DataFrame:
+    """How well the stored factors solve A v = p and A^T p = s^2 v, from the ratings
+    alone: factor, singular_value, length of v, and both residuals over s_1 and s_1^2."""
+    spark = train.sparkSession
+    cells = (train.select("user_id", "item_id", (F.col("rating") - F.lit(model.global_mean)).alias("value")))
+
+    def long(rows: DataFrame, key: str, x: str) -> DataFrame:
+        return rows.select(key, F.posexplode("factors").alias("factor", x))
+
+    s1 = model.singular_values[0]
+    s = F.broadcast(spark.createDataFrame(list(enumerate(model.singular_values)), "factor int, singular_value double"))  # k rows
+    v, p = long(model.item_factors, "item_id", "v"), long(model.user_factors, "user_id", "p")
+    av = cells.join(model.item_factors, "item_id").select("user_id", "value", F.posexplode("factors").alias("factor", "v"))
+    av = av.groupBy("user_id", "factor").agg(F.sum(F.col("value") * F.col("v")).alias("av"))
+    atp = cells.join(model.user_factors, "user_id").select("item_id", "value", F.posexplode("factors").alias("factor", "p"))
+    atp = atp.groupBy("item_id", "factor").agg(F.sum(F.col("value") * F.col("p")).alias("atp"))
+    users = p.join(av, ["user_id", "factor"]).groupBy("factor").agg(F.sqrt(F.sum((F.col("av") - F.col("p")) ** 2)).alias("users_off"))
+    items = v.join(atp, ["item_id", "factor"]).join(s, "factor").groupBy("factor", "singular_value").agg(
+        F.sqrt(F.sum(F.col("v") ** 2)).alias("length"), F.sqrt(F.sum((F.col("atp") - F.col("singular_value") ** 2 * F.col("v")) ** 2)).alias("items_off"))
+    return items.join(users, "factor").select(
+        "factor", "singular_value", "length", (F.col("users_off") / s1).alias("user_residual"), (F.col("items_off") / s1 ** 2).alias("item_residual"))
+
+
 def svd_predict(model: SVDModel, pairs: DataFrame) -> DataFrame:
     """predicted_rating for (user_id, item_id) pairs: mu + p_u . v_i
     clipped to [1, 5]; mu (unclipped) when the user or item is unseen."""

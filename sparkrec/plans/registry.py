@@ -815,6 +815,33 @@ def q_svd_train(spark, sf_dir):
                                  "factor int, singular_value double")
 
 
+def _residual_sql(k: int) -> str:
+    return f"""
+SELECT factor::INTEGER AS factor, true AS solves_items, true AS solves_users, true AS unit_length, true AS in_order
+FROM (SELECT unnest(range({k})) AS factor)"""
+
+
+def _residuals(spark, sf_dir: str, kind: str) -> DataFrame:
+    """Whether each stored factor of the truncated model is a singular vector of the
+    ratings, to 1e-6: the ratings are multiplied with the stored tables again."""
+    m = trained_model(spark, sf_dir, kind)
+    falling = [a >= b for a, b in zip(m.singular_values, [*m.singular_values[1:], 0.0])]
+    order = F.broadcast(spark.createDataFrame(list(enumerate(falling)), "factor int, in_order boolean"))  # k rows
+    return fac.svd_residuals(m, datasets.load(spark, sf_dir, kind).train).join(order, "factor").select(
+        "factor", (F.col("item_residual") <= 1e-6).alias("solves_items"), (F.col("user_residual") <= 1e-9).alias("solves_users"),
+        (F.abs(F.col("length") - 1) <= 1e-9).alias("unit_length"), "in_order")
+
+
+@register("svd_residuals_r1", _residual_sql(SVD_K))
+def q_svd_residuals_r1(spark, sf_dir):
+    return _residuals(spark, sf_dir, "r1")
+
+
+@register("svd_residuals_r2", _residual_sql(SVD_K))
+def q_svd_residuals_r2(spark, sf_dir):
+    return _residuals(spark, sf_dir, "r2")
+
+
 @register("svd_predict")
 def q_svd_predict(spark, sf_dir):
     d = datasets.load(spark, sf_dir, "r2")
