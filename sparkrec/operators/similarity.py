@@ -3,7 +3,10 @@
 Similarities are cosine over common raters. Pairs come from a self-join of
 the (seed-restricted) ratings on user_id, so only item pairs that share a
 rater are ever formed - never a cross join of items. Per user the join emits
-at most s*(s-1)/2 pairs for s seed items rated.
+at most s*(s-1)/2 pairs for s seed items rated. The ratings of a user with many
+are dealt into blocks by a hash of the item, and the join's key is (user, block of
+the first item, block of the second): such a user's pairs become many keys of
+at most BLOCK x BLOCK pairs or so, and go to many tasks.
 """
 
 from __future__ import annotations
@@ -15,23 +18,57 @@ from sparkrec.functions.columns import LIKED_RATING, round_half_up
 from sparkrec.operators.ranking import top_n_per
 
 
-def _cosine_parts(a: DataFrame, b: DataFrame, cond: Column) -> DataFrame:
-    j = a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & cond)
-    return (j.groupBy(F.col("a.item_id").alias("item_id_1"), F.col("b.item_id").alias("item_id_2"))
-             .agg(F.count(F.lit(1)).alias("common_users"),
-                  F.sum(F.col("a.rating") * F.col("b.rating")).alias("_dot"),
-                  F.sum(F.col("a.rating") * F.col("a.rating")).alias("_s1"),
-                  F.sum(F.col("b.rating") * F.col("b.rating")).alias("_s2")))
+#: Ratings of one user that are met with each other under one key of the join, about.
+BLOCK = 512
+#: Keys over which the likers of one source item are dealt in the CF join.
+SALTS = 16
+
+
+def _met(ratings: DataFrame, block: int) -> DataFrame:
+    """Pairs of ratings of one user, each once: user_id, a and b (rating and further
+    columns as structs), by a two-dimensional block join.
+
+    A user's n blocks meet as (i, j) with i <= j: a rating of block k goes to the keys
+    (k, j) as the first and to (i, k) as the second of a pair, n + 1 copies in all.
+    Users with up to `block` ratings have one block and one copy on each side. The
+    table of users beyond has at most #ratings / block rows."""
+    many = (ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
+            .select("user_id", F.ceil(F.col("_n") / block).cast("int").alias("_blocks")))
+    r = ratings.join(many, "user_id", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    r = r.withColumn("_own", F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int"))
+    row = F.struct(*[c for c in ratings.columns if c != "user_id"])
+    a = r.select("user_id", F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_j"), row.alias("a"))
+    b = r.select("user_id", F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"), F.col("_own").alias("_j"), row.alias("b"))
+    met = a.join(b, ["user_id", "_i", "_j"])
+    # within a block both orders of a pair meet, and each rating itself
+    return met.filter((F.col("_i") < F.col("_j")) | (F.col("a.item_id") < F.col("b.item_id"))).select("user_id", "a", "b")
+
+
+def _cosine_parts(ratings: DataFrame, order: str, block: int) -> DataFrame:
+    """Common raters, dot product and squared lengths of every pair of items with a
+    common rater; item_id_1 is the one that comes first by the column `order`."""
+    met = _met(ratings, block)
+    swap = F.col(f"a.{order}") > F.col(f"b.{order}")
+    pair = met.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("x"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("y"))
+    return (pair.groupBy(F.col("x.item_id").alias("item_id_1"), F.col("y.item_id").alias("item_id_2"))
+            .agg(F.count(F.lit(1)).alias("common_users"),
+                 F.sum(F.col("x.rating") * F.col("y.rating")).alias("_dot"),
+                 F.sum(F.col("x.rating") * F.col("x.rating")).alias("_s1"),
+                 F.sum(F.col("y.rating") * F.col("y.rating")).alias("_s2")))
 
 
 def _cosine(dot: str = "_dot", s1: str = "_s1", s2: str = "_s2") -> Column:
     return F.col(dot) / (F.sqrt(F.col(s1)) * F.sqrt(F.col(s2)))
 
 
-def _seed_ratings(train: DataFrame, seed: DataFrame, extra: list[str] | None = None) -> DataFrame:
+def _seed_ratings(train: DataFrame, seed: DataFrame, min_common: int, extra: list[str] | None = None) -> DataFrame:
+    """Ratings of the seed items that have `min_common` raters at all: no pair of
+    another item can have so many in common, so it is never formed."""
     cols = ["item_id"] + (extra or [])
     # the seed may be the whole catalogue, so its size decides the join, not a hint
-    return train.select("user_id", "item_id", "rating").join(seed.select(*cols), "item_id")
+    r = train.select("user_id", "item_id", "rating").join(seed.select(*cols), "item_id")
+    enough = r.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_common)
+    return r.join(enough.select("item_id"), "item_id", "left_semi")
 
 
 def pair_similarity(train: DataFrame, pairs: DataFrame, min_common: int = 20) -> DataFrame:
@@ -52,22 +89,20 @@ def pair_similarity(train: DataFrame, pairs: DataFrame, min_common: int = 20) ->
     return g.select("item_id_1", "item_id_2", "common_users", sim.alias("similarity"))
 
 
-def pair_similarity_batch(train: DataFrame, seed: DataFrame, min_common: int = 20) -> DataFrame:
+def pair_similarity_batch(train: DataFrame, seed: DataFrame, min_common: int = 20, block: int = BLOCK) -> DataFrame:
     """F1 batch form: every pair (i, j) of the seed list with i before j in list
     order (`seed_rank`), so item_id_1 is the more rated item - computed from the
     rater self-join, not by enumerating all pairs."""
-    r = _seed_ratings(train, seed, ["seed_rank"])
-    g = _cosine_parts(r.alias("a"), r.alias("b"), F.col("a.seed_rank") < F.col("b.seed_rank"))
+    g = _cosine_parts(_seed_ratings(train, seed, min_common, ["seed_rank"]), "seed_rank", block)
     g = g.filter(F.col("common_users") >= min_common)
     sim = F.when((F.col("_s1") > 0) & (F.col("_s2") > 0), _cosine()).otherwise(F.lit(0.0))
     return g.select("item_id_1", "item_id_2", "common_users", sim.alias("similarity"))
 
 
-def item_similarities(train: DataFrame, seed: DataFrame, min_common: int = 20) -> DataFrame:
+def item_similarities(train: DataFrame, seed: DataFrame, min_common: int = 20, block: int = BLOCK) -> DataFrame:
     """all seed pairs item_id_1 < item_id_2 with >= min_common common
     raters: common_users and cosine rounded to 4 places."""
-    r = _seed_ratings(train, seed)
-    g = _cosine_parts(r.alias("a"), r.alias("b"), F.col("a.item_id") < F.col("b.item_id"))
+    g = _cosine_parts(_seed_ratings(train, seed, min_common), "item_id", block)
     g = g.filter((F.col("common_users") >= min_common) & (F.col("_s1") > 0) & (F.col("_s2") > 0))
     return g.select("item_id_1", "item_id_2", "common_users",
                     round_half_up(_cosine(), 4).alias("similarity_score"))
@@ -118,22 +153,25 @@ def similar_items(sims: DataFrame, items: DataFrame, genre_strings: DataFrame,
 
 
 def _liked_edges(train: DataFrame, sims: DataFrame, users: DataFrame | None,
-                 min_rating: float) -> DataFrame:
-    """(user, src, dst, score, rating) for every liked source item and each of
-    its neighbours the user has not rated."""
+                 min_rating: float, salts: int) -> tuple[DataFrame, DataFrame]:
+    """(user, src, dst, score, rating) for every liked source item and each of its
+    neighbours, rated ones included; and the users' ratings to take those out by.
+
+    The likers of a source are dealt over `salts` keys, and its neighbours given to
+    each of them, so that a source which very many like goes to many tasks. The
+    rated targets go after the sums per (user, target), which are fewer rows."""
     r = train.select("user_id", "item_id", "rating")
     if users is not None:
         r = r.join(users.select("user_id"), "user_id", "left_semi")
     liked = r.filter(F.col("rating") >= min_rating).select(
-        "user_id", F.col("item_id").alias("src"), "rating")
-    cand = liked.join(symmetric_edges(sims), "src")
-    watched = r.select("user_id", F.col("item_id").alias("dst"))
-    return cand.join(watched, ["user_id", "dst"], "left_anti")
+        "user_id", F.col("item_id").alias("src"), "rating", F.pmod(F.xxhash64("user_id"), F.lit(salts)).alias("salt"))
+    edges = symmetric_edges(sims).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return liked.join(edges, ["src", "salt"]), r.select("user_id", F.col("item_id").alias("dst"))
 
 
 def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
                        genre_strings: DataFrame, users: DataFrame | None = None,
-                       n: int = 10, min_rating: float = LIKED_RATING) -> DataFrame:
+                       n: int = 10, min_rating: float = LIKED_RATING, salts: int = SALTS) -> DataFrame:
     """score(user, item) = sum over liked sources of similarity * rating / 5.
 
     The sum is taken in decimals (4-place scores times half-star ratings), so
@@ -141,13 +179,14 @@ def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
     uses the exact value. (user, source, target) is unique - a user likes an
     item once and a pair is stored once - so the distinct count and set of
     sources are a plain count and list (one aggregation level)."""
-    cand = _liked_edges(train, sims, users, min_rating)
+    cand, rated = _liked_edges(train, sims, users, min_rating, salts)
     prod = F.col("similarity_score").cast("decimal(6,4)") * F.col("rating").cast("decimal(3,1)")
-    agg = cand.groupBy("user_id", F.col("dst").alias("item_id")).agg(
+    agg = cand.groupBy("user_id", "dst").agg(
         F.sum(prod).alias("_exact"),
         F.count(F.lit(1)).alias("based_on_count"),
         F.array_join(F.array_sort(F.collect_list(F.col("src").cast("string"))), ",")
          .alias("based_on_items"))
+    agg = agg.join(rated, ["user_id", "dst"], "left_anti").withColumnRenamed("dst", "item_id")
     top = top_n_per(agg, ["user_id"], [F.col("_exact").desc(), F.col("item_id").asc()], n)
     score = F.round(F.col("_exact") * F.lit(0.2).cast("decimal(2,1)"), 4).cast("double")
     return (top.join(items.select("item_id", "title"), "item_id")
@@ -158,15 +197,16 @@ def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
 
 def cf_predicted_rating(train: DataFrame, sims: DataFrame, users: DataFrame | None = None,
                         n: int = 10, min_rating: float = LIKED_RATING,
-                        min_sources: int = 2) -> DataFrame:
+                        min_sources: int = 2, salts: int = SALTS) -> DataFrame:
     """F6 (documented variant): predicted = sum(rating * sim) / sum(sim) over
     liked sources, with at least `min_sources` sources."""
-    cand = _liked_edges(train, sims, users, min_rating)
+    cand, rated = _liked_edges(train, sims, users, min_rating, salts)
     sim = F.col("similarity_score").cast("decimal(6,4)")
-    agg = (cand.groupBy("user_id", F.col("dst").alias("item_id"))
+    agg = (cand.groupBy("user_id", "dst")
            .agg(F.sum(sim * F.col("rating").cast("decimal(3,1)")).alias("_num"),
                 F.sum(sim).alias("_den"), F.count(F.lit(1)).alias("source_count"))
            .filter(F.col("source_count") >= min_sources)
+           .join(rated, ["user_id", "dst"], "left_anti").withColumnRenamed("dst", "item_id")
            .withColumn("predicted_rating",
                        F.try_divide(F.col("_num").cast("double"), F.col("_den").cast("double"))))
     top = top_n_per(agg, ["user_id"], [F.col("predicted_rating").desc(), F.col("item_id").asc()], n)
