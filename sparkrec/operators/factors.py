@@ -567,11 +567,9 @@ def _slice_scores(model: SVDModel, budget: DataFrame, first: int, end: int) -> D
     return src.select("user_id", "_l", "factors").mapInPandas(score, schema)
 
 
-def svd_recommendations(model: SVDModel, train: DataFrame, items: DataFrame,
-                        genre_strings: DataFrame, users: DataFrame | None = None,
-                        n: int = 10, exclude_watched: bool = True) -> DataFrame:
-    """Each user's top n items by clipped prediction, rated items removed;
-    users unseen in train get no rows."""
+def svd_pool(model: SVDModel, train: DataFrame, users: DataFrame | None = None, n: int = 10,
+             exclude_watched: bool = True) -> DataFrame:
+    """G4 without the item's details: user_id, rank, item_id, predicted_rating."""
     watched = train.select("user_id", "item_id")
     uf = model.user_factors.select("user_id")
     if users is not None:
@@ -588,7 +586,15 @@ def svd_recommendations(model: SVDModel, train: DataFrame, items: DataFrame,
     if exclude_watched:
         cand = cand.join(watched, ["user_id", "item_id"], "left_anti")
     top = top_n_per(cand, ["user_id"], [F.col("predicted_rating").desc(), F.col("item_id")], n)
-    return (top.join(items.select("item_id", "title"), "item_id")
+    return top.select("user_id", "rank", "item_id", "predicted_rating")
+
+
+def svd_recommendations(model: SVDModel, train: DataFrame, items: DataFrame,
+                        genre_strings: DataFrame, users: DataFrame | None = None,
+                        n: int = 10, exclude_watched: bool = True) -> DataFrame:
+    """Each user's top n items by clipped prediction, rated items removed;
+    users unseen in train get no rows."""
+    return (svd_pool(model, train, users, n, exclude_watched).join(items.select("item_id", "title"), "item_id")
             .join(genre_strings, "item_id", "left")
             .select("user_id", "rank", "item_id", "title", "genres", "predicted_rating"))
 

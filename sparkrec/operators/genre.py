@@ -42,56 +42,69 @@ def user_genre_preference(train: DataFrame, item_genres: DataFrame, genres: Data
                                    "avg_rating", "preference_score")
 
 
-def top_genres(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
-               users: DataFrame | None = None, min_per_genre: int = 3,
-               top_n: int = 3) -> DataFrame:
-    """(user_id, genre_id, genre_name, pref) of each user's top genres by the
-    unrounded score, as inside the genre recommender."""
-    g = _genre_scores(train, item_genres, genres, users, min_per_genre)
-    return top_n_per(g, ["user_id"], [F.col("pref").desc(), F.col("genre_name")], top_n) \
-        .select("user_id", "genre_id", "genre_name", "pref")
+def _genre_budgets(train: DataFrame, item_genres: DataFrame, genres: DataFrame, stats: DataFrame,
+                   users: DataFrame | None, min_per_genre: int, top_n: int) -> tuple[DataFrame, DataFrame]:
+    """Each user's top genres by the unrounded preference, with `_w`, how many of the
+    genre's ranked items the user has rated; and the ranked (item, genre) pairs.
 
+    One pass over ratings and bridge: the bridge has one row per (item, genre), with
+    the number of its rows there and whether the item is ranked, so counts, sums and
+    rated items come from the same aggregation."""
+    bridge = (item_genres.groupBy("item_id", "genre_id").agg(F.count(F.lit(1)).alias("_copies"))
+              .join(stats, "item_id", "left"))
+    r = train.select("user_id", "item_id", "rating")
+    if users is not None:
+        r = r.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    marked = bridge.select("item_id", "genre_id", "_copies", F.col("weighted_rating").isNotNull().cast("int").alias("_ranked"))
+    g = (r.join(marked, "item_id").groupBy("user_id", "genre_id")
+         .agg(F.sum("_copies").alias("_n"), F.sum(F.col("rating") * F.col("_copies")).alias("pref"), F.sum("_ranked").alias("_w"))
+         .filter(F.col("_n") >= min_per_genre).join(genres, "genre_id"))
+    top = top_n_per(g, ["user_id"], [F.col("pref").desc(), F.col("genre_name")], top_n)
+    return top.select("user_id", "genre_id", "genre_name", "pref", "_w"), bridge.filter("weighted_rating IS NOT NULL").drop("_copies")
 
-def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataFrame,
-                          genres: DataFrame, genre_strings: DataFrame,
-                          users: DataFrame | None = None, n: int = 10,
-                          min_per_genre: int = 3, top_genres_n: int = 3,
-                          min_movie_ratings: int = 20,
-                          low_rank_rows: int | None = None) -> DataFrame:
-    """Unseen items of each user's top genres, by combined score =
-    weighted_rating * preference / 100. One row per (item, preferred genre),
-    so an item can appear once per genre.
+
+def genre_pool(train: DataFrame, item_genres: DataFrame, genres: DataFrame, users: DataFrame | None = None,
+               n: int = 10, min_per_genre: int = 3, top_genres_n: int = 3, min_movie_ratings: int = 20,
+               low_rank_rows: int | None = None) -> DataFrame:
+    """E2 without the item's details: user_id, rank, item_id, genre_name, rating_count,
+    avg_rating, weighted_rating and combined (unrounded).
 
     Within one (user, genre) the order is the genre's weighted-rating order,
     so only the first n + w items of the genre can reach the top n, where w is
     the number of the user's rated items among them. Candidates are therefore
     about users * genres * n rows, never users x catalogue."""
-    prefs = top_genres(train, item_genres, genres, users, min_per_genre, top_genres_n)
-    stats = item_stats(train, min_movie_ratings)
-    genre_items = item_genres.dropDuplicates(["item_id", "genre_id"]).join(stats, "item_id")
+    budget, genre_items = _genre_budgets(train, item_genres, genres, item_stats(train, min_movie_ratings),
+                                         users, min_per_genre, top_genres_n)
     ranked = rank_within_groups(
         genre_items, ["genre_id"], [F.col("weighted_rating").desc(), F.col("item_id").asc()],
         rank_col="g_rank")
     watched = train.select("user_id", "item_id")
     if users is not None:
         watched = watched.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    w = (watched.join(genre_items.select("item_id", "genre_id"), "item_id")
-         .join(prefs.select("user_id", "genre_id"), ["user_id", "genre_id"], "left_semi")
-         .groupBy("user_id", "genre_id").agg(F.count(F.lit(1)).alias("_w")))
-    budget = prefs.join(w, ["user_id", "genre_id"], "left").withColumn(
-        "_l", F.lit(n) + F.coalesce(F.col("_w"), F.lit(0)))
     cand = budget.select("user_id", "genre_id", "genre_name", "pref",
                          F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                              F.col("_l").cast("bigint"))).alias("g_rank"))
+                                              (F.col("_w") + F.lit(n)).cast("bigint"))).alias("g_rank"))
     n_genres = max(1, genres.count())  # the genre vocabulary: one small count
     # 0 for a vocabulary beyond the bound: then no rank is broadcast
     low = (LOW_RANK_ROWS if low_rank_rows is None else low_rank_rows) // n_genres
     cand = (join_on_rank(cand, ranked, ["genre_id"], "g_rank", low)
             .join(watched, ["user_id", "item_id"], "left_anti")
             .withColumn("combined", F.col("weighted_rating") * (F.col("pref") / F.lit(100.0))))
-    top = top_n_per(cand, ["user_id"],
-                    [F.col("combined").desc(), F.col("weighted_rating").desc(),
-                     F.col("item_id").asc(), F.col("genre_name").asc()], n)
+    return top_n_per(cand, ["user_id"],
+                     [F.col("combined").desc(), F.col("weighted_rating").desc(),
+                      F.col("item_id").asc(), F.col("genre_name").asc()], n)
+
+
+def genre_recommendations(train: DataFrame, items: DataFrame, item_genres: DataFrame,
+                          genres: DataFrame, genre_strings: DataFrame,
+                          users: DataFrame | None = None, n: int = 10,
+                          min_per_genre: int = 3, top_genres_n: int = 3,
+                          min_movie_ratings: int = 20,
+                          low_rank_rows: int | None = None) -> DataFrame:
+    """Unseen items of each user's top genres, by combined score =
+    weighted_rating * preference / 100. One row per (item, preferred genre),
+    so an item can appear once per genre."""
+    top = genre_pool(train, item_genres, genres, users, n, min_per_genre, top_genres_n, min_movie_ratings, low_rank_rows)
     return (top.join(items, "item_id").join(genre_strings, "item_id", "left")
             .select("user_id", "rank", "item_id", "title", "release_year",
                     F.col("genre_name").alias("preferred_genre"), "genres", "rating_count",

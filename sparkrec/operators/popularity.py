@@ -81,6 +81,16 @@ def popular_items_for_users(train: DataFrame, items: DataFrame, users: DataFrame
                       "avg_rating", "weighted_rating")
 
 
+def popular_items_for_user(ranked: DataFrame, rated: DataFrame, n: int = 10) -> DataFrame:
+    """D2 for one user, from the ranked list (`popular_ranked`) and the user's own
+    ratings: of ranks 1..n+w, w the number of rated items, the first n unrated."""
+    mine = rated.select("item_id").distinct()
+    last = F.lit(n) + mine.agg(F.count(F.lit(1))).scalar()
+    left = ranked.filter(F.col("pop_rank") <= last).join(mine, "item_id", "left_anti")
+    return number_rows(left.orderBy("pop_rank").limit(n), ["pop_rank"]).select(
+        "rank", "item_id", "title", "release_year", "rating_count", "avg_rating", "weighted_rating")
+
+
 def similarity_seed_items(train: DataFrame, min_ratings: int = 100,
                           limit: int | None = 500) -> DataFrame:
     """D3: ids of the `limit` most rated items (None: all) with >= min_ratings

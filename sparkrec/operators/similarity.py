@@ -169,16 +169,10 @@ def _liked_edges(train: DataFrame, sims: DataFrame, users: DataFrame | None,
     return liked.join(edges, ["src", "salt"]), r.select("user_id", F.col("item_id").alias("dst"))
 
 
-def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
-                       genre_strings: DataFrame, users: DataFrame | None = None,
-                       n: int = 10, min_rating: float = LIKED_RATING, salts: int = SALTS) -> DataFrame:
-    """score(user, item) = sum over liked sources of similarity * rating / 5.
-
-    The sum is taken in decimals (4-place scores times half-star ratings), so
-    it is exact and order-free; the output is rounded to 4 places, the order
-    uses the exact value. (user, source, target) is unique - a user likes an
-    item once and a pair is stored once - so the distinct count and set of
-    sources are a plain count and list (one aggregation level)."""
+def cf_pool(train: DataFrame, sims: DataFrame, users: DataFrame | None = None, n: int = 10,
+            min_rating: float = LIKED_RATING, salts: int = SALTS) -> DataFrame:
+    """F5 without the item's details: user_id, rank, item_id, recommendation_score,
+    based_on_count, based_on_items."""
     cand, rated = _liked_edges(train, sims, users, min_rating, salts)
     prod = F.col("similarity_score").cast("decimal(6,4)") * F.col("rating").cast("decimal(3,1)")
     agg = cand.groupBy("user_id", "dst").agg(
@@ -189,10 +183,23 @@ def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
     agg = agg.join(rated, ["user_id", "dst"], "left_anti").withColumnRenamed("dst", "item_id")
     top = top_n_per(agg, ["user_id"], [F.col("_exact").desc(), F.col("item_id").asc()], n)
     score = F.round(F.col("_exact") * F.lit(0.2).cast("decimal(2,1)"), 4).cast("double")
-    return (top.join(items.select("item_id", "title"), "item_id")
+    return top.select("user_id", "rank", "item_id", score.alias("recommendation_score"), "based_on_count", "based_on_items")
+
+
+def cf_recommendations(train: DataFrame, sims: DataFrame, items: DataFrame,
+                       genre_strings: DataFrame, users: DataFrame | None = None,
+                       n: int = 10, min_rating: float = LIKED_RATING, salts: int = SALTS) -> DataFrame:
+    """score(user, item) = sum over liked sources of similarity * rating / 5.
+
+    The sum is taken in decimals (4-place scores times half-star ratings), so
+    it is exact and order-free; the output is rounded to 4 places, the order
+    uses the exact value. (user, source, target) is unique - a user likes an
+    item once and a pair is stored once - so the distinct count and set of
+    sources are a plain count and list (one aggregation level)."""
+    return (cf_pool(train, sims, users, n, min_rating, salts).join(items.select("item_id", "title"), "item_id")
             .join(genre_strings, "item_id", "left")
             .select("user_id", "rank", "item_id", "title", "genres",
-                    score.alias("recommendation_score"), "based_on_count", "based_on_items"))
+                    "recommendation_score", "based_on_count", "based_on_items"))
 
 
 def cf_predicted_rating(train: DataFrame, sims: DataFrame, users: DataFrame | None = None,

@@ -11,6 +11,7 @@ re-run the split for every later query.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,15 +76,19 @@ def load(spark: SparkSession, sf_dir: str, kind: str = "r1",
     key = (app_id(spark), sf_dir, kind)
     if materialized and key in _CACHE:
         return _CACHE[key]
-    items_raw, items, genres, item_genres, genre_strings = _dimensions(spark, sf_dir, materialized)
     ratings = rating_range_filter(_VIEWS[kind](spark, sf_dir))
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
     if materialized:
-        # ratings and split are written once and read by every job
-        ratings = materialize(ratings, f"ratings_{kind}_{tag}")
-    labelled = label_split(ratings)
-    if materialized:
-        labelled = materialize(labelled, f"split_{kind}_{tag}")
+        # ratings and split are written once and read by every job; the item tables,
+        # which don't depend on them, are written at the same time
+        with ThreadPoolExecutor(1) as beside:
+            dims = beside.submit(_dimensions, spark, sf_dir, True)
+            ratings = materialize(ratings, f"ratings_{kind}_{tag}")
+            labelled = materialize(label_split(ratings), f"split_{kind}_{tag}")
+            items_raw, items, genres, item_genres, genre_strings = dims.result()
+    else:
+        items_raw, items, genres, item_genres, genre_strings = _dimensions(spark, sf_dir, False)
+        labelled = label_split(ratings)
     train = labelled.filter("not is_test").drop("is_test")
     test = labelled.filter("is_test").drop("is_test")
     data = RatingData(

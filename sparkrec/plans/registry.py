@@ -3,18 +3,20 @@ fixed parameters and (where SQL can express it) a DuckDB oracle.
 
 Parameters follow FIXTURES.md for sf0.01 and up: popularity and genre run on
 the sparse r1 ratings (min 20 ratings per item); similarity, CF and hybrid on
-the dense r2 ratings (seed >= 30 ratings, >= 20 common raters); evaluation
-users have >= 10 test ratings; "liked" is rating >= 4.0.
+the dense r2 ratings (seed >= 30 ratings, >= 20 common raters); evaluation takes
+all test users; "liked" is rating >= 4.0.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrec.functions.columns import round_half_up
 from sparkrec.operators import cleaning
 from sparkrec.operators import factors as fac
 from sparkrec.operators import genre as genre_ops
@@ -29,7 +31,7 @@ from sparkrec.operators.lookup import epoch_seconds
 from sparkrec.plans import datasets
 from sparkrec.plans.oracle_views import mr, rnd, with_views, wr
 from sparkrec.session import app_id, ensure_checkpoint_dir, materialize
-from sparkrec.sources import delimited, fixtures, sinks
+from sparkrec.sources import delimited, fixtures, sinks, user_layout
 from sparkrec.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -945,25 +947,41 @@ def q_rmse_pairs_full_rank(spark, sf_dir):
 HYB_M = 30
 
 
+_POOLS: dict[tuple, DataFrame] = {}
+
+
+def r2_pools(spark, sf_dir: str, k: int | None = None) -> DataFrame:
+    """Every train user's candidates by genre and item CF, and by the factor model of
+    rank `k` if given: user_id, item_id, algo, score, rank. Written once a session;
+    hybrid, comparison and sweep read the same tables, each recommender runs once."""
+    d = datasets.load(spark, sf_dir, "r2")
+
+    def pool(name: str, recs: Callable[[], DataFrame], score: Column) -> DataFrame:
+        key = (app_id(spark), sf_dir, name)
+        if key not in _POOLS:
+            _POOLS[key] = materialize(recs().select("user_id", "item_id", F.lit(name.split("-")[0]).alias("algo"), score.cast("double").alias("score"), "rank"), f"pool_{name}")
+        return _POOLS[key]
+
+    out = pool("genre", lambda: genre_ops.genre_pool(d.train, d.item_genres, d.genres, n=hyb.POOL, min_movie_ratings=HYB_M),
+               round_half_up("combined", 2))
+    out = out.unionByName(pool("similarity", lambda: sim_ops.cf_pool(d.train, r2_similarities(d)[1], n=hyb.POOL), F.col("recommendation_score")))
+    if k is not None:
+        out = out.unionByName(pool(f"ml-{k}", lambda: fac.svd_pool(trained_model(spark, sf_dir, k=k), d.train, n=hyb.POOL), F.col("predicted_rating")))
+    return out
+
+
 def r2_candidates(spark, sf_dir: str, with_ml: bool, users: DataFrame | None = None,
-                  pool: int = hyb.POOL, k: int = SVD_K) -> tuple[datasets.RatingData, DataFrame]:
+                  k: int = SVD_K) -> tuple[datasets.RatingData, DataFrame]:
+    """H1: the candidates of the given users (all train users by default), who are train users."""
     d = datasets.load(spark, sf_dir, "r2")
+    pools = r2_pools(spark, sf_dir, k if with_ml else None).drop("rank")
     if users is None:
         users = d.train.select("user_id").distinct()
-    sims = r2_similarities(d)[1]
-    results = {
-        "popularity": hyb.global_pool(pop.popular_items(d.train, d.items, n=pool, min_ratings=HYB_M),
-                                      users, pool),
-        "genre": genre_ops.genre_recommendations(d.train, d.items, d.item_genres, d.genres,
-                                                 d.genre_strings, users=users, n=pool,
-                                                 min_movie_ratings=HYB_M),
-        "similarity": sim_ops.cf_recommendations(d.train, sims, d.items, d.genre_strings,
-                                                 users=users, n=pool),
-    }
-    if with_ml:
-        results["ml"] = fac.svd_recommendations(trained_model(spark, sf_dir, k=k), d.train, d.items,
-                                                d.genre_strings, users=users, n=pool)
-    return d, hyb.hybrid_candidates(results)
+    else:
+        pools = pools.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    top = pop.popular_items(d.train, d.items, n=hyb.POOL, min_ratings=HYB_M)
+    popular = hyb.hybrid_candidates({"popularity": hyb.global_pool(top, users, hyb.POOL)})
+    return d, popular.unionByName(pools.select(popular.columns))
 
 
 _HYB_CTES = (_pop_base(HYB_M) + "," + _genre_rec_sql(hyb.POOL, HYB_M)[0] + "," + _CF_CTES + f""",
@@ -1131,6 +1149,49 @@ def q_compare_algorithms_svd_full_rank(spark, sf_dir):
     }, truth, users, K)
 
 
+_COMPARE_ALL_CTES = _ML_HYB_CTES + f""",
+ev_users AS (SELECT DISTINCT user_id FROM test),
+truth AS (SELECT u.user_id, t.item_id FROM ev_users u
+          LEFT JOIN (SELECT user_id, item_id FROM test WHERE rating >= 4.0) t ON u.user_id = t.user_id),
+pop_recs AS (
+  SELECT user_id, rank, item_id FROM (
+    SELECT u.user_id, p.item_id, row_number() OVER (
+      PARTITION BY u.user_id ORDER BY p.weighted_rating DESC, p.rating_count DESC, p.item_id) AS rank
+    FROM ev_users u CROSS JOIN pop p
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = p.item_id))
+  WHERE rank <= {K}),
+stacked AS (
+  SELECT 'popularity' AS algorithm, user_id, rank, item_id FROM pop_recs
+  UNION ALL
+  SELECT 'genre', user_id, rank, item_id FROM genre_recs WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users)
+  UNION ALL
+  SELECT 'cf', user_id, rank, item_id FROM cf_recs WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users)
+  UNION ALL
+  SELECT 'svd', user_id, rank, item_id FROM ml_recs WHERE rank <= {K} AND user_id IN (SELECT user_id FROM ev_users))"""
+_all_ctes, _ = _metric_sql("stacked", K, ["popularity", "genre", "cf", "svd"])
+
+
+def _compare_all(spark, sf_dir: str, k: int) -> DataFrame:
+    """I13 over all four algorithms, on r2; the pools' first ranks are the lists."""
+    d = datasets.load(spark, sf_dir, "r2")
+    users, truth = _r2_eval(d)
+    lists = r2_pools(spark, sf_dir, k).filter(F.col("rank") <= K).join(users, "user_id", "left_semi")
+    return met.compare_algorithms({
+        "popularity": pop.popular_items_for_users(d.train, d.items, users, n=K, min_ratings=HYB_M),
+        **{name: lists.filter(F.col("algo") == algo) for name, algo in (("genre", "genre"), ("cf", "similarity"), ("svd", "ml"))},
+    }, truth, users, K)
+
+
+@register("compare_algorithms_all_full_rank", with_views("r2", _COMPARE_SELECT, _COMPARE_ALL_CTES + "," + _all_ctes))
+def q_compare_algorithms_all_full_rank(spark, sf_dir):
+    return _compare_all(spark, sf_dir, FULL_RANK)
+
+
+@register("compare_algorithms_all")
+def q_compare_algorithms_all(spark, sf_dir):
+    return _compare_all(spark, sf_dir, SVD_K)
+
+
 def _sweep_sql() -> str:
     algos = ("popularity", "genre", "similarity", "ml")
     vals = ", ".join("('" + name + "', " + ", ".join(repr(float(w.get(a, 0.0))) for a in algos) + ")"
@@ -1201,8 +1262,7 @@ _g_ctes, _ = _metric_sql("grid_recs", K, list(_GRID))
     "r2", "SELECT algorithm AS config, n_users, hit_rate, precision, recall, k FROM summary",
     _HYB_CTES + _grid_sql() + "," + _g_ctes))
 def q_two_weight_grid(spark, sf_dir):
-    """I16: genre weight 0.1..0.5 with CF weight 1 - w, evaluated on r2 users
-    with >= 10 test ratings."""
+    """I16: genre weight 0.1..0.5 with CF weight 1 - w, evaluated on all r2 test users."""
     d = datasets.load(spark, sf_dir, "r2")
     users, truth = _r2_eval(d)
     _, cand = r2_candidates(spark, sf_dir, with_ml=False, users=users)
@@ -1280,6 +1340,65 @@ def q_append_similarities(spark, sf_dir):
     return sinks.append_similarities(spark, sims, path)
 
 
+# ------------------------------------------------------- requests for one user
+
+ONE_USER = 7
+_LAYOUTS: dict[tuple, str] = {}
+
+
+def _one_users_train(spark, sf_dir: str, kind: str) -> DataFrame:
+    """The train ratings of ONE_USER, from the split laid out by user (written once a session)."""
+    key = (app_id(spark), sf_dir, kind)
+    if key not in _LAYOUTS:
+        path = _scratch(spark, f"train_by_user_{kind}")
+        user_layout.write_by_user(datasets.load(spark, sf_dir, kind).train, path)
+        _LAYOUTS[key] = path
+    return user_layout.read_user(spark, _LAYOUTS[key], ONE_USER)
+
+
+@register("popular_items_one_user", with_views("r1", f"""
+SELECT * FROM (
+  SELECT {ONE_USER}::BIGINT AS user_id, item_id, title, release_year, rating_count, avg_rating, weighted_rating,
+         row_number() OVER (ORDER BY weighted_rating DESC, rating_count DESC, item_id) AS rank
+  FROM pop WHERE item_id NOT IN (SELECT item_id FROM train WHERE user_id = {ONE_USER})) WHERE rank <= 10""", _pop_base(POP_M)))
+def q_popular_items_one_user(spark, sf_dir):
+    """D2 as the page asks for it: the ranked list is a stored table, one user's ratings are read."""
+    d = datasets.load(spark, sf_dir, "r1")
+    key = (app_id(spark), sf_dir, "ranked")
+    if key not in _POOLS:
+        _POOLS[key] = materialize(pop.popular_ranked(d.train, d.items, POP_M).orderBy("pop_rank"), "popular_ranked")
+    return pop.popular_items_for_user(_POOLS[key], _one_users_train(spark, sf_dir, "r1"), n=10).withColumn(
+        "user_id", F.lit(ONE_USER).cast("bigint"))
+
+
+@register("user_profile_one_user", with_views("r1", f"""
+SELECT u.user_id, u.gender, u.age, u.occupation, count(t.rating) AS total_ratings,
+       {rnd('sum(t.rating) / count(t.rating)', 2)} AS avg_rating
+FROM users u LEFT JOIN train t ON t.user_id = u.user_id WHERE u.user_id = {ONE_USER}
+GROUP BY u.user_id, u.gender, u.age, u.occupation"""))
+def q_user_profile_one_user(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.user_profile(d.users.filter(F.col("user_id") == ONE_USER), _one_users_train(spark, sf_dir, "r1"))
+
+
+@register("watch_history_one_user", with_views("r1", f"SELECT * FROM hist WHERE rank <= 50 AND user_id = {ONE_USER}", _HISTORY))
+def q_watch_history_one_user(spark, sf_dir):
+    d = datasets.load(spark, sf_dir, "r1")
+    return lookup.watch_history(_one_users_train(spark, sf_dir, "r1"), d.items, d.genre_strings, limit=50)
+
+
+@register("svd_recommendations_one_user_full_rank", with_views("r2", f"""
+SELECT r.user_id, r.rank, r.item_id, i.title, gs.genres, r.predicted_rating
+FROM ml_recs r JOIN items i ON i.item_id = r.item_id LEFT JOIN genre_strings gs ON gs.item_id = r.item_id
+WHERE r.rank <= 10 AND r.user_id = {ONE_USER}""", _FULL_CTES))
+def q_svd_recommendations_one_user_full_rank(spark, sf_dir):
+    """G4 for one user: the user's factors and ratings are all that is read of the users."""
+    d = datasets.load(spark, sf_dir, "r2")
+    m = trained_model(spark, sf_dir, k=FULL_RANK)
+    mine = replace(m, user_factors=m.user_factors.filter(F.col("user_id") == ONE_USER))
+    return fac.svd_recommendations(mine, _one_users_train(spark, sf_dir, "r2"), d.items, d.genre_strings, n=10)
+
+
 _UNIFIED_SQL = f"""
 SELECT * FROM (
   SELECT 'popularity' AS algorithm, u.user_id, p.rk AS rank, p.item_id, p.title,
