@@ -1,13 +1,18 @@
 """License scans by conditional compression.
 
-Around the words that speak of licensing, over line ends, the places are looked
-up that hold nearly all words of a license template. Each place, as long as the
-wording and not its surroundings, is compressed with the template as a raw
-zstandard dictionary; the better the template explains it, the smaller it gets,
-and templates are ranked by the reduction against plain compression. The words
-in which place and template differ decide: a template is accepted only if the
-place holds nearly all of its words in order, and all of its telling ones
-(names, numbers).
+Around the words that speak of licensing, over line ends, the text is cut into
+overlapping windows, for every template as long as its wording may run. Each window
+is compressed with the template as a raw zstandard dictionary and without one. What
+the template saves there, as a share of what it saves on its own wording, ranks all
+pairs of window and template; a window that holds the wording is near 1, any other
+is left with the bytes that all English shares. The pairs from SAVED on are
+confirmed in the order of their rank by the exact words in which window and template
+differ: a template is accepted only if a place of the window holds nearly all of
+its words in order, and all of its telling ones (names, numbers). Pairs below SAVED
+are not looked at; the tests compare with looking at all of them.
+
+A wording counts wherever it stands: "not released under the MIT License" names
+that license as well.
 
 Texts are judged on their own where they are read; the templates are a fixed
 short list, so the work is one pass without a shuffle.
@@ -64,7 +69,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("all-rights-reserved", "All rights reserved."),
 )
 
-#: A block is a run of lines that hold one of these.
+#: Every template holds one of these; a block is a run of lines that do.
 CUES = re.compile(r"licen[cs]|copyright|rights reserved|permission is hereby|redistribution|free software|general public|apache\.org|sublicense", re.IGNORECASE)
 #: Names, versions and clause marks: a template that holds any isn't confirmed if one lacks or is added.
 TELLING = re.compile(r"\d|^(affero|apache|by|cc|gnu|lesser|library|mit|mozilla|nc|reserved|sa)$")
@@ -76,21 +81,36 @@ COVERED = 0.8
 #: The words of every template, and where each stands.
 WORDS_OF = [WORDS.findall(t.lower()) for _, t in TEMPLATES]
 PLACES_OF = [{w: [i for i, x in enumerate(own) if x == w] for w in own} for own in WORDS_OF]
-#: Words around a cue that may belong to its license, both ways.
-REACH = max(map(len, WORDS_OF)) * 3 // 2
+#: Words of a step: a wording of a template with up to so many, and what may stand between, runs over two.
+STEPS_OF = [next(c for c in (8, 16, 32, 64, 128, 256) if c >= len(w)) for w in WORDS_OF]
+#: Compression level for the ranking; lower ones miss matches in short windows.
+LEVEL = 13
+#: The least share of its own saving that a template must save in a window. Of 2,351 wordings
+#: confirmed among 3,000 that were changed and set into prose, none saved less (6 saved less than 0.2).
+SAVED = 0.02
 
 
 @lru_cache(maxsize=1)
 def compressors() -> tuple:
-    """The plain compressor, and one with each template as raw dictionary."""
+    """The plain compressor, and one with each template's words as raw dictionary."""
     import zstandard as zstd
-    plain = zstd.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
-    primed = [zstd.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, write_dict_id=False,
-                                  dict_data=zstd.ZstdCompressionDict(t.lower().encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT))
-              for _, t in TEMPLATES]
+    plain = zstd.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
+    primed = []
+    for own in WORDS_OF:
+        words = zstd.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        words.precompute_compress(level=LEVEL)
+        primed.append(zstd.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, dict_data=words))
     return plain, primed
 
 
+@lru_cache(maxsize=1)
+def own_savings() -> list[int]:
+    """Bytes that each template saves on its own wording."""
+    plain, primed = compressors()
+    raw = [" ".join(own).encode() for own in WORDS_OF]
+    return [len(plain.compress(r)) - len(c.compress(r)) for r, c in zip(raw, primed)]
+
+
 def blocks(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the runs of lines with a cue."""
     if not CUES.search(text):
@@ -108,12 +128,27 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
-def rank(block: str) -> list[tuple[float, int]]:
-    """(size reduction, template) of all templates, best first."""
+def windows(cues: list[int], n_words: int, step: int) -> list[tuple[int, int]]:
+    """(begin, end) in words: three steps each, at every step from which a wording of up
+    to two steps can begin that holds one of the words `cues`."""
+    first = sorted({k for cue in cues for k in range(max(0, cue // step - 2), cue // step + 1)})
+    return [(k * step, min(n_words, (k + 3) * step)) for k in first]
+
+
+def rank(words: list[str], cues: list[int], saved: float = SAVED) -> list[tuple[float, int, int, int]]:
+    """(share saved, template, begin, end) of the windows around the words `cues`, best first."""
     plain, primed = compressors()
-    raw = block.lower().encode()
-    size = len(plain.compress(raw))
-    return sorted(((1 - len(c.compress(raw)) / size, k) for k, c in enumerate(primed)), key=lambda x: (-x[0], x[1]))
+    out = []
+    for step in sorted(set(STEPS_OF)):
+        own = [k for k, s in enumerate(STEPS_OF) if s == step]
+        for a, b in windows(cues, len(words), step):
+            raw = " ".join(words[a:b]).encode()
+            size = len(plain.compress(raw))
+            for k in own:
+                share = (size - len(primed[k].compress(raw))) / own_savings()[k]
+                if share >= saved:
+                    out.append((-share, k, a, b))
+    return [(-share, k, a, b) for share, k, a, b in sorted(out)]
 
 
 def differences(block: str, template: str) -> tuple[float, list[str], list[str]]:
@@ -130,9 +165,9 @@ def differences(block: str, template: str) -> tuple[float, list[str], list[str]]
 
 
 def reduction(part: str, k: int) -> float:
-    """How much smaller a text gets by template `k` as dictionary."""
+    """How much smaller a text's words get by template `k` as dictionary."""
     plain, primed = compressors()
-    raw = part.lower().encode()
+    raw = " ".join(WORDS.findall(part.lower())).encode()
     return 1 - len(primed[k].compress(raw)) / len(plain.compress(raw))
 
 
@@ -161,27 +196,33 @@ def places(words: list[str], k: int) -> list[tuple[int, int]]:
     return [(a, b) for _, _, a, b in sorted(set(found))]
 
 
-def confirm(block: str) -> list[tuple[str, float, int]]:
-    """(license, reduction, differing words) of the confirmed templates: in the
-    order of their reductions, the first for each license, and none whose
+def confirm(text: str, saved: float = SAVED) -> list[tuple[str, float, int]]:
+    """(license, reduction, differing words) of the templates confirmed in a text: in the
+    order of their reductions at the place, the first for each license, and none whose
     words another license explains better at the same place."""
-    spans = [m.span() for m in WORDS.finditer(block)]
-    words = [block[a:b].lower() for a, b in spans]
-    held = set(words)
+    cues = [m.start() for m in CUES.finditer(text)]
+    if not cues:
+        return []
+    spans = [m.span() for m in WORDS.finditer(text)]
+    starts = [a for a, _ in spans]
+    words = [text[a:b].lower() for a, b in spans]
     found: list[tuple[float, int, int, int, int]] = []
-    for k, (_, template) in enumerate(TEMPLATES):
-        if sum(w in held for w in WORDS_OF[k]) < COVERED * len(WORDS_OF[k]):
+    taken: dict[int, list[tuple[int, int]]] = {k: [] for k in range(len(TEMPLATES))}
+    for _, k, lo, hi in rank(words, [max(0, bisect_right(starts, at) - 1) for at in cues], saved):
+        template, theirs = TEMPLATES[k][1], WORDS_OF[k]
+        held = set(words[lo:hi])
+        if sum(w in held for w in theirs) < COVERED * len(theirs):
             continue
-        named = any(TELLING.search(w) and w != "by" for w in WORDS_OF[k])
-        taken: list[tuple[int, int]] = []
-        for a, b in places(words, k):
-            if any(a < d and c < b for c, d in taken):
+        named = any(TELLING.search(w) and w != "by" for w in theirs)
+        for a, b in places(words[lo:hi], k):
+            a, b = lo + a, lo + b
+            if any(a < d and c < b for c, d in taken[k]):
                 continue
-            part = block[spans[a][0]:spans[b - 1][1]]
+            part = text[spans[a][0]:spans[b - 1][1]]
             covered, lacking, added = differences(part, template)
             if covered < COVERED or not CLAUSES.isdisjoint(lacking) or named and any(map(TELLING.search, lacking + added)):
                 continue
-            taken.append((a, b))
+            taken[k].append((a, b))
             found.append((-reduction(part, k), k, len(lacking) + len(added), a, b))
     out: dict[str, tuple[str, float, int]] = {}
     for less, k, n, a, b in sorted(found):
@@ -191,24 +232,6 @@ def confirm(block: str) -> list[tuple[str, float, int]]:
     return list(out.values())
 
 
-def reaches(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the parts of a text that may hold a license: REACH words
-    around every cue, over line ends."""
-    cues = [m.start() for m in CUES.finditer(text)]
-    if not cues:
-        return
-    starts, ends = zip(*(m.span() for m in WORDS.finditer(text)))
-    begin = end = None
-    for at in cues:
-        k = bisect_right(starts, at) - 1
-        lo, hi = max(0, k - REACH), min(len(starts) - 1, k + REACH)
-        if begin is not None and lo > end:
-            yield starts[begin], ends[end]
-            begin = None
-        begin, end = lo if begin is None else begin, hi
-    yield starts[begin], ends[end]
-
-
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_blocks, licenses, best_license, best_reduction, n_differences; one row per input row.
 
@@ -225,7 +248,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     def judge(text: str) -> tuple:
         own = list(blocks(text))
-        found = [c for lo, hi in reaches(text) for c in confirm(text[lo:hi])]
+        found = confirm(text)
         best = max(found, key=lambda c: c[1], default=(None, None, None))
         return len(own), ",".join(sorted({c[0] for c in found})), *best
 
