@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.session import materialize
@@ -46,10 +46,17 @@ def rewrite_texts(docs: DataFrame, rewrite: Callable[[str], str | None], text_co
     return docs.mapInArrow(run, docs.schema)
 
 
-def wide_enough(df: DataFrame, rows_per_task: int, rows: int) -> int:
-    """Partitions for `rows` rows at `rows_per_task` each, at least the session's."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-rows // rows_per_task))
+def free_name(name: str, docs: DataFrame) -> str:
+    """`name`, or with more underscores, so that no column of `docs` has it in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def all_columns(docs: DataFrame) -> list[Column]:
+    """The columns of `docs`, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
 def text_blocks(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:

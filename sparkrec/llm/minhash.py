@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import SPACES, components, materialize, mix64, text_blocks
+from sparkrec.llm.common import SPACES, all_columns, components, free_name, materialize, mix64, text_blocks
 
 ROWS = 5
 BANDS = 40
@@ -38,6 +38,8 @@ BLOCK = 1 << 20
 #: Members of a bucket in one side of a block, and hash values that bound their overlaps.
 MEMBERS = 2000
 SLOTS = 512
+#: Shingles of the members of one side, about (a single longer set is one member).
+MEMBER_SHINGLES = 2_000_000
 
 _BASE = 0xC2B2AE3D27D4EB4F
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
@@ -154,6 +156,16 @@ def keys_of(owner: np.ndarray, shingle: np.ndarray, texts: int, percent: int) ->
     return out
 
 
+def set_hashes(owner: np.ndarray, shingle: np.ndarray, texts: int, k: int) -> np.ndarray:
+    """The k-th 64-bit hash of every text's set (0 for an empty one)."""
+    size = np.bincount(owner, minlength=texts)
+    total = np.zeros(texts, np.uint64)
+    has = np.flatnonzero(size)
+    if len(has):
+        total[has] = np.add.reduceat(mix64(shingle + np.uint64(k)), (np.cumsum(size) - size)[has])
+    return total.view(np.int64)
+
+
 def _sign(words: int, percent: int):
     """Texts to (doc_id, n_shingles, h1, h2, keys); h1 and h2 identify the set."""
 
@@ -161,29 +173,30 @@ def _sign(words: int, percent: int):
         for ids, data, bounds in text_blocks(batches, BLOCK):
             owner, shingle = shingle_sets(data, bounds, words)
             size = np.bincount(owner, minlength=len(ids))
-            sums = [np.zeros(len(ids), np.uint64) for _ in range(2)]
-            has = np.flatnonzero(size)
-            if len(has):
-                begins = (np.cumsum(size) - size)[has]
-                for k, total in enumerate(sums):
-                    total[has] = np.add.reduceat(mix64(shingle + np.uint64(k)), begins)
             keys = [k.view(np.int64) for k in keys_of(owner, shingle, len(ids), percent)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(size), *(pa.array(t.view(np.int64)) for t in sums), pa.array(keys, pa.list_(pa.int64()))],
+                [pa.array(ids, pa.int64()), pa.array(size), *(pa.array(set_hashes(owner, shingle, len(ids), k)) for k in range(2)), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "h1", "h2", "keys"])
 
     return run
 
 
 def _sets(words: int):
-    """Texts to (doc, shingles): the full set as sorted 64-bit hashes."""
+    """Texts to (doc, shingles): the first hash of the set, which names it, and the
+    full set as sorted 64-bit hashes; a task gives equal sets once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for ids, data, bounds in text_blocks(batches, BLOCK):
             owner, shingle = shingle_sets(data, bounds, words)
             cut = np.searchsorted(owner, np.arange(len(ids) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([shingle[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["doc", "shingles"])
+            docs, sets = [], []
+            for doc, a, b in zip(set_hashes(owner, shingle, len(ids), 0).tolist(), cut, cut[1:]):
+                if doc not in given:
+                    given.add(doc)
+                    docs.append(doc)
+                    sets.append(shingle[a:b].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(sets, pa.binary())], ["doc", "shingles"])
 
     return run
 
@@ -227,14 +240,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     of at least `percent` per cent; a component is what links connect and is
     named by its smallest id. Null and empty texts, and texts without words,
     link with nothing. Ids are whole numbers; a row without id is kept, links
-    nothing and has at most the component of an equal set, and rows that repeat an id are judged by their own texts.
+    nothing and has at most the component of an equal set, and rows that repeat an id
+    are judged by their own texts: sets link, and ids only name their components.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = materialize(texts.mapInArrow(_sign(words, percent), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "signatures")
-    named = _components(texts, signed, words, percent).select(F.col("node").alias("lead"), "component")
     leads = _leads(signed)
+    member = _components(texts, signed, words, percent).withColumnRenamed("node", "h1")
+    names = member.join(leads, "h1").groupBy("component").agg(F.min("lead").alias("name"))
+    named = member.join(names, "component").select("h1", "name")
     rows = (signed.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2").join(leads, ["h1", "h2"], "left")
-            .join(named, "lead", "left").select("doc_id", "n_shingles", F.coalesce("component", "lead", "doc_id").alias("component_id")))
+            .join(named, "h1", "left").select("doc_id", "n_shingles", F.coalesce("name", "lead", "doc_id").alias("component_id")))
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return rows.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -245,16 +261,18 @@ def _leads(signed: DataFrame) -> DataFrame:
 
 
 def _components(texts: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) of the confirmed links between different sets, enough
-    of them to connect every pair that shares a bucket and links."""
+    """(node, component) of the confirmed links between different sets, named by their
+    first hash; enough links to connect every pair that shares a bucket and links."""
     reach = 1 - percent / 100
     own = signed.join(_leads(signed).withColumnRenamed("lead", "doc_id"), ["h1", "h2", "doc_id"], "left_semi")
-    bands = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
+    bands = own.select(F.explode("keys").alias("key"), F.col("h1").alias("doc"), F.col("n_shingles").alias("n"))
     centres = bands.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("c"), F.max("doc").alias("last")).where("c.doc < last").select(
         "key", F.col("c.doc").alias("centre"), F.col("c.n").alias("centre_n"))
     stars = materialize(bands.join(centres, "key").where("doc != centre"), "stars")
-    needed = stars.select("doc").union(stars.select("centre")).distinct().withColumnRenamed("doc", "doc_id")
-    sets = materialize(texts.join(needed, "doc_id", "left_semi").mapInArrow(_sets(words), "doc long, shingles binary"), "sets")
+    needed = stars.select("doc").union(stars.select("centre")).distinct()
+    where = own.join(needed, own["h1"] == needed["doc"], "left_semi").select("doc_id").distinct()
+    sets = materialize(texts.join(where, "doc_id", "left_semi").mapInArrow(_sets(words), "doc long, shingles binary")
+                       .join(needed, "doc", "left_semi"), "sets")
 
     def rays(rows: DataFrame) -> DataFrame:
         return rows.where(_alike("n", "centre_n", percent)).select(*_pair("centre", "doc")).distinct()
@@ -273,8 +291,9 @@ def _components(texts: DataFrame, signed: DataFrame, words: int, percent: int) -
     # members that still lie in another component than a member of their bucket, in blocks: open ones against all
     rest = rest.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
     mixed = rest.groupBy("key").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.count_if("open") / MEMBERS).cast("int").alias("n_x"),
-        F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_y")).where("low < high and n_x > 0").select("key", "n_x", "n_y")
+        F.min("part").alias("low"), F.max("part").alias("high"),
+        F.ceil(F.greatest(F.count_if("open") / MEMBERS, F.sum(F.when(F.col("open"), F.col("n")).otherwise(0)) / MEMBER_SHINGLES)).cast("int").alias("n_x"),
+        F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("n") / MEMBER_SHINGLES)).cast("int").alias("n_y")).where("low < high and n_x > 0").select("key", "n_x", "n_y")
     rows = rest.join(mixed, "key").join(sets, "doc").withColumn("salt", F.xxhash64("doc"))
     x, y = F.pmod("salt", "n_x").cast("int"), F.pmod(F.shiftright("salt", 20), "n_y").cast("int")
     as_x = rows.where("open").select("*", F.lit(True).alias("is_x"), x.alias("x"), F.explode(F.sequence(F.lit(0), F.col("n_y") - 1)).alias("y"))
@@ -355,10 +374,11 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     The row with the smallest id stays (null last, then by a hash of the text);
     rows without words link with nothing and stay.
     """
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    judged = near_duplicates(numbered, id_col="_row", text_col=text_col, words=words, percent=percent)
-    who = numbered.select("_row", F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))
-    rows = judged.select(F.col("doc_id").alias("_row"), "component_id").join(who, "_row")
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "_row")).alias("first")).select("first._row")
-    gone = rows.select("_row").join(first, "_row", "left_anti")
-    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
+    row = free_name("row_no", docs)
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    judged = near_duplicates(numbered, id_col=row, text_col=text_col, words=words, percent=percent)
+    who = numbered.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))
+    rows = judged.select(F.col("doc_id").alias("row"), "component_id").join(who, "row")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "row")).alias("first")).select("first.row")
+    gone = rows.select("row").join(first, "row", "left_anti").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(all_columns(docs))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import materialize, mix64
+from sparkrec.llm.common import all_columns, free_name, materialize, mix64
 
 #: Bytes hashed together to choose anchors; shorter than a window.
 K = 32
@@ -536,9 +536,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     characters, so the text stays valid UTF-8. ``n_chars`` is renewed.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), "_digest": F.xxhash64(text)})
-    runs = _repeated_runs(docs, id_col, text_col, options).select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
-    joined = marked.join(runs, ["_doc", "_digest"], "left").select(*(F.col(f"`{c}`") for c in docs.columns), "_spans")
+    doc, digest, spans_ = (free_name(c, docs) for c in ("doc_no", "text_hash", "cut_spans"))
+    marked = docs.withColumns({doc: F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), digest: F.xxhash64(text)})
+    runs = _repeated_runs(docs, id_col, text_col, options).select(F.col("doc").alias(doc), F.col("digest").alias(digest), F.col("spans").alias(spans_))
+    joined = marked.join(runs, [doc, digest], "left").select(*all_columns(docs), spans_)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -547,7 +548,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 b = batch.slice(at, 500)
                 place = {f.name: i for i, f in enumerate(b.schema)}
                 texts = b.column(place[text_col]).to_pylist()
-                for i, spans in enumerate(b.column(place["_spans"]).to_pylist()):
+                for i, spans in enumerate(b.column(place[spans_]).to_pylist()):
                     if spans:
                         raw = texts[i].encode()
                         runs = [whole_characters(raw, lo, hi) for lo, hi in merged([(s["start"], s["finish"]) for s in spans])]

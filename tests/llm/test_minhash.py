@@ -112,3 +112,18 @@ def test_dropping_tells_rows_with_one_id_apart(make_docs):
     kept = sorted(((r["doc_id"], r["text"]) for r in drop_near_duplicates(make_docs(rows), words=5).collect()), key=str)
     want = [(3, text["a"]), (5, text["b"]), (7, text["c"]), (None, text["d"]), (9, text["e"] + " more"), (10, text["f"]), (11, None), (12, "")]
     assert kept == sorted(want, key=str)
+
+
+def test_one_id_with_different_texts(make_docs):
+    """Sets link, and ids only name them: an unrelated text keeps its own component."""
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(3, text), (5, text + " more"), (5, " ".join(f"x{k}" for k in range(60))), (5, text + " more"), (9, " ".join(f"x{k}" for k in range(60)))]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(make_docs(rows), words=2).collect())
+    assert got == sorted([(3, 59, 3, True), (5, 60, 3, False), (5, 60, 3, False), (5, 59, 5, True), (9, 59, 5, False)])
+
+
+def test_dropping_keeps_columns_of_any_name(make_docs):
+    docs = make_docs([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None)]).selectExpr("*", "'r' AS row_no", "'R' AS row_no__", "'q' AS `odd.name`")
+    kept = drop_near_duplicates(docs, words=5)
+    assert kept.columns == docs.columns
+    assert [(r["doc_id"], r["row_no"], r["_row"], r["odd.name"]) for r in kept.orderBy("doc_id").collect()] == [(1, "r", "x", "q"), (3, "r", "x", "q")]

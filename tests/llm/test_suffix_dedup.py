@@ -128,3 +128,12 @@ def test_cut_texts_are_valid(make_docs):
 def test_prefix_intervals():
     assert sorted(S.prefix_intervals([2, 3, 3, 0, 1])) == [(1, 4, 5), (2, 0, 3), (3, 1, 3)]
     assert list(S.prefix_intervals([])) == []
+
+
+def test_removing_keeps_columns_of_any_name(make_docs):
+    passage = hashlib.sha512(b"p").hexdigest() + hashlib.sha512(b"q").hexdigest()
+    docs = make_docs([(1, passage), (2, f"own words {passage} and more")]).selectExpr("*", "'d' AS doc_no", "'t' AS TEXT_HASH", "'s' AS cut_spans")
+    out = S.remove_repeats(docs)
+    assert out.columns == docs.columns
+    assert [(r["text"], r["doc_no"], r["TEXT_HASH"], r["cut_spans"], r["_doc"], r["_digest"], r["_spans"]) for r in out.orderBy("doc_id").collect()] == [
+        (passage, "d", "t", "s", "x", "x", "x"), ("own words  and more", "d", "t", "s", "x", "x", "x")]
