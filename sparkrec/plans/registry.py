@@ -817,10 +817,11 @@ def q_svd_train(spark, sf_dir):
                                  "factor int, singular_value double")
 
 
-def _residual_sql(k: int) -> str:
-    return f"""
+# as many factors as the rank allows (fewer users than k at the smallest size)
+_RESIDUAL_SQL = f"""
 SELECT factor::INTEGER AS factor, true AS solves_items, true AS solves_users, true AS unit_length, true AS in_order
-FROM (SELECT unnest(range({k})) AS factor)"""
+FROM (SELECT unnest(range({SVD_K})) AS factor)
+WHERE factor < (SELECT least(count(DISTINCT user_id), count(DISTINCT item_id)) FROM train)"""
 
 
 def _residuals(spark, sf_dir: str, kind: str) -> DataFrame:
@@ -834,12 +835,12 @@ def _residuals(spark, sf_dir: str, kind: str) -> DataFrame:
         (F.abs(F.col("length") - 1) <= 1e-9).alias("unit_length"), "in_order")
 
 
-@register("svd_residuals_r1", _residual_sql(SVD_K))
+@register("svd_residuals_r1", with_views("r1", _RESIDUAL_SQL))
 def q_svd_residuals_r1(spark, sf_dir):
     return _residuals(spark, sf_dir, "r1")
 
 
-@register("svd_residuals_r2", _residual_sql(SVD_K))
+@register("svd_residuals_r2", with_views("r2", _RESIDUAL_SQL))
 def q_svd_residuals_r2(spark, sf_dir):
     return _residuals(spark, sf_dir, "r2")
 

@@ -19,10 +19,9 @@ import __spark_entry__ as E
 
 SF = os.environ.get("SPARKREC_ORACLE_SF", SF001)
 BAD = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython")
-SVD_SCORING = {"svd_recommendations", "hybrid_recommendations", "weight_sweep",
-               "unified_recommendations_all", "svd_recommendations_full_rank",
-               "hybrid_recommendations_full_rank", "weight_sweep_full_rank",
-               "unified_recommendations_all_full_rank",
+# hybrid, sweep and comparison read pools that were written before
+SVD_SCORING = {"svd_recommendations", "svd_recommendations_full_rank", "svd_recommendations_one_user_full_rank",
+               "unified_recommendations_all", "unified_recommendations_all_full_rank",
                "compare_algorithms_svd_full_rank"}
 
 
