@@ -271,8 +271,8 @@ def _components(texts: DataFrame, signed: DataFrame, words: int, percent: int) -
     stars = materialize(bands.join(centres, "key").where("doc != centre"), "stars")
     needed = stars.select("doc").union(stars.select("centre")).distinct()
     where = own.join(needed, own["h1"] == needed["doc"], "left_semi").select("doc_id").distinct()
-    sets = materialize(texts.join(where, "doc_id", "left_semi").mapInArrow(_sets(words), "doc long, shingles binary")
-                       .join(needed, "doc", "left_semi"), "sets")
+    # further texts under these ids give sets that no pair asks for
+    sets = materialize(texts.join(where, "doc_id", "left_semi").mapInArrow(_sets(words), "doc long, shingles binary"), "sets")
 
     def rays(rows: DataFrame) -> DataFrame:
         return rows.where(_alike("n", "centre_n", percent)).select(*_pair("centre", "doc")).distinct()
