@@ -31,7 +31,7 @@ from sparkrec.operators.lookup import epoch_seconds
 from sparkrec.plans import datasets
 from sparkrec.plans.oracle_views import mr, rnd, with_views, wr
 from sparkrec.session import app_id, ensure_checkpoint_dir, materialize
-from sparkrec.sources import delimited, fixtures, sinks, user_layout
+from sparkrec.sources import delimited, fixtures, sinks, user_layout, versions
 from sparkrec.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1331,6 +1331,43 @@ def q_snapshot_write(spark, sf_dir):
     return out
 
 
+_EXPORTS = {
+    "users": ["user_id", "gender", "age", "occupation", "zip_code"],
+    "movies": ["item_id", "title", "release_year"],
+    "genres": ["genre_id", "genre_name"],
+    "movie_genres": ["item_id", "genre_id"],
+    "ratings_train": ["rating_id", "user_id", "item_id", "rating", "ts"],
+    "ratings_test": ["rating_id", "user_id", "item_id", "rating", "ts"],
+}
+_EXPORT_VIEWS = {"movies": "items", "movie_genres": "item_genres", "ratings_train": "train", "ratings_test": "test"}
+
+
+def _export_sql() -> str:
+    parts = [f"SELECT '{name}' AS table_name, concat_ws('::', {', '.join(_epoch(c) if c == 'ts' else c for c in cols)}) AS line "
+             f"FROM {_EXPORT_VIEWS.get(name, name)}" for name, cols in _EXPORTS.items()]
+    return f"SELECT f.format, e.* FROM ({' UNION ALL '.join(parts)}) e CROSS JOIN (VALUES ('parquet'), ('csv')) f(format)"
+
+
+@register("snapshot_values", with_views("r1", _export_sql()))
+def q_snapshot_values(spark, sf_dir):
+    """A first version whose train and test are swapped, then all tables replaced at
+    once; every row of the newest version, read back from Parquet and from CSV."""
+    d = datasets.load(spark, sf_dir, "r1")
+    tables = {"users": d.users, "movies": d.items, "genres": d.genres, "movie_genres": d.item_genres,
+              "ratings_train": d.train, "ratings_test": d.test}
+    folder, out = _scratch(spark, "versions"), None
+    for fmt in ("parquet", "csv"):
+        sinks.snapshot_write({"ratings_train": d.test, "ratings_test": d.train}, f"{folder}/{fmt}", csv=fmt == "csv")
+        sinks.snapshot_write(tables, f"{folder}/{fmt}", csv=fmt == "csv")
+        newest = versions.current(spark, f"{folder}/{fmt}")
+        for name, cols in _EXPORTS.items():
+            line = F.concat_ws("::", *[epoch_seconds(c) if c == "ts" else F.col(c) for c in cols])
+            part = versions.read(spark, f"{folder}/{fmt}", name, newest).select(
+                F.lit(fmt).alias("format"), F.lit(name).alias("table_name"), line.alias("line"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("append_similarities", with_views("r2", "SELECT * FROM sims", _SIM_CTES))
 def q_append_similarities(spark, sf_dir):
     """Create the similarity table, then append the same job's pairs again
@@ -1341,6 +1378,20 @@ def q_append_similarities(spark, sf_dir):
     return sinks.append_similarities(spark, sims, path)
 
 
+@register("append_similarities_batches", with_views("r2", """
+SELECT row_number() OVER (ORDER BY item_id_1 % 2, item_id_1, item_id_2) AS similarity_id,
+       item_id_1, item_id_2, common_users, similarity_score, CAST(1 + item_id_1 % 2 AS INTEGER) AS batch FROM sims""", _SIM_CTES))
+def q_append_similarities_batches(spark, sf_dir):
+    """The pairs of even first items, then all pairs in a second batch; ids go on
+    from the first batch and its rows keep their time of creation."""
+    sims = r2_similarities(datasets.load(spark, sf_dir, "r2"))[1]
+    path = _scratch(spark, "similarity_batches")
+    for day, batch in ((1, sims.filter("item_id_1 % 2 = 0")), (2, sims)):
+        sinks.append_similarities(spark, batch, path, created_at=F.make_timestamp(*map(F.lit, (2024, 1, day, 0, 0, 0))))
+    return sinks.similarity_table(spark, path).select(
+        "similarity_id", *sims.columns, F.dayofmonth("created_at").alias("batch"))
+
+
 # ------------------------------------------------------- requests for one user
 
 ONE_USER = 7
