@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.operators.ranking import number_rows
+from sparkrec.operators.ranking import global_rank, number_rows
 
 
 def _scalar(df: DataFrame, expr: Column) -> Column:
@@ -96,17 +96,17 @@ def matrix_stats(train: DataFrame, items: DataFrame | None = None) -> DataFrame:
 
 def genre_profile(ratings: DataFrame, item_genres: DataFrame, genres: DataFrame) -> DataFrame:
     """Per genre the number of ratings, their share of all ratings, the mean
-    rating, and the genre's rank by count and by mean."""
-    g = (ratings.select("item_id", "rating").join(item_genres, "item_id")
-         .groupBy("genre_id").agg(F.count(F.lit(1)).alias("rating_count"),
-                                  F.sum("rating").alias("_sum"))
+    rating, and the genre's rank by count and by mean.
+
+    Ratings are counted and summed per item before they meet the bridge, so an item
+    with very many ratings is one row there; the ranks are numbered over sorted ranges."""
+    per_item = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
+    g = (per_item.join(item_genres, "item_id")
+         .groupBy("genre_id").agg(F.sum("_n").alias("rating_count"), F.sum("_sum").alias("_sum"))
          .join(genres, "genre_id"))
     total = _scalar(ratings, F.count(F.lit(1)))
     g = g.select("genre_name", "rating_count",
                  (F.col("rating_count") / total).alias("share"),
                  (F.col("_sum") / F.col("rating_count")).alias("avg_rating"))
-    # one row per genre: the genre vocabulary is small
-    by_count = Window.orderBy(F.col("rating_count").desc(), F.col("genre_name"))
-    by_avg = Window.orderBy(F.col("avg_rating").desc(), F.col("genre_name"))
-    return (g.withColumn("rank_by_count", F.row_number().over(by_count).cast("bigint"))
-             .withColumn("rank_by_avg", F.row_number().over(by_avg).cast("bigint")))
+    by_count = global_rank(g, [F.col("rating_count").desc(), F.col("genre_name")], "rank_by_count")
+    return global_rank(by_count, [F.col("avg_rating").desc(), F.col("genre_name")], "rank_by_avg")
