@@ -14,6 +14,9 @@ own enhanced suffix array:
    nothing and end here. Where all segments of an anchor are equal, they are a
    repeat with all its occurrences and no text is needed. Equal segments are
    reduced to their first occurrence before the shuffle, and again in it.
+   The number of buckets follows the input's bytes, a task holds one bucket at
+   a time, and an anchor in more contexts than a task may hold is settled by a
+   partially aggregated minimum instead.
 3. *Suffix arrays.* Only the first occurrences of differing segments of an
    anchor (the edges of repeats) send their text. It is cut by window offset
    into parts, bucketed by the bytes that all windows of a part share; every
@@ -51,6 +54,10 @@ K = 32
 BLOCK = 1 << 20
 #: Text bytes whose segments are pre-aggregated before they are shuffled.
 FLUSH = 8 << 20
+#: Text bytes whose segments share a bucket of anchors, on average.
+BUCKET_BYTES = 32 << 20
+#: Segments that a task holds of a bucket before it reduces them.
+HELD = 1 << 21
 #: Window offsets that a part of a segment spans at most.
 PART = 36
 #: Low bits of an ordered hash that hold the place in a block (BLOCK + min_len fits).
@@ -150,6 +157,8 @@ def _repeated(x: np.ndarray) -> np.ndarray:
 #: (with COPIED if its block holds a later copy), place of the anchor.
 FIELDS = (("mu", np.uint64), ("seg", np.uint64), ("doc", np.int64), ("digest", np.int64), ("start", np.int32), ("n", np.uint8), ("place", np.uint8))
 COPIED = 128
+#: Places of open segments, without and with a later copy (see `_open`).
+OPEN, OPEN_COPIED = -1, -2
 SENT = "bucket int, " + ", ".join(f"{name} binary" for name, _ in FIELDS)
 #: Occurrences of repeat groups (first: the earliest one), and, with a place, segments whose text is asked for.
 FOUND = "doc long, digest long, start int, finish int, group long, first boolean, place int"
@@ -210,14 +219,14 @@ def _pack(held: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     order = _order(to, again, doc, start)
     order = order[~row_again[order]]
     cut = np.flatnonzero(~_same_as_before(to[order], again[order]))
-    out: list[list] = [[] for _ in range(1 + len(FIELDS))]
-    for lo, hi in zip(cut, [*cut[1:], len(order)]):
-        i = order[lo:hi]
-        out[0].append(int(to[i[0]]))
-        for k, (col, (name, kind)) in enumerate(zip((mu, seg, doc, digest, start, n, place), FIELDS)):
-            out[1 + k].append(b"" if again[i[0]] and name in ("mu", "place") else col[i].astype(kind).tobytes())
-    kinds = [pa.int32()] + [pa.binary()] * len(FIELDS)
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["bucket", *(name for name, _ in FIELDS)])
+    size, known = np.diff([*cut, len(order)]), ~again[order[cut]]
+    packed = [pa.array(to[order[cut]], pa.int32())]
+    for col, (name, kind) in zip((mu, seg, doc, digest, start, n, place), FIELDS):
+        bare = name in ("mu", "place")  # what repeats already go without
+        ends = np.concatenate([[0], np.cumsum(size * known if bare else size)]) * np.dtype(kind).itemsize
+        values = np.ascontiguousarray(col[order[~again[order]] if bare else order].astype(kind))
+        packed.append(pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)]))
+    yield pa.RecordBatch.from_arrays(packed, ["bucket", *(name for name, _ in FIELDS)])
 
 
 def _flag(at: np.ndarray, which: np.ndarray, size: int) -> np.ndarray:
@@ -226,41 +235,98 @@ def _flag(at: np.ndarray, which: np.ndarray, size: int) -> np.ndarray:
     return flags
 
 
-def _match_anchors(min_len: int) -> Callable:
-    """Stage 2: occurrences of equal segments, and the segments whose text is asked for."""
+def _match_anchors(min_len: int, held_rows: int) -> Callable:
+    """Stage 2: occurrences of equal segments, and the segments whose text is asked for.
+
+    Rows arrive sorted by bucket, and a bucket is held at a time. At `held_rows`
+    segments it is reduced to the first of each kind; an anchor that even then has
+    more than a quarter of them (the edge of a passage in very many contexts)
+    leaves the task as open rows, which a partially aggregated minimum settles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list[np.ndarray]] = [[] for _ in FIELDS]
+        bucket, held, size, limit, wide = None, [], 0, held_rows, np.zeros(0, np.uint64)
         for b in batches:
-            for packed in zip(*(b.column(1 + k) for k in range(len(FIELDS)))):
+            for at, *packed in zip(b.column(0).to_pylist(), *(b.column(1 + k) for k in range(len(FIELDS)))):
                 own = [np.frombuffer(p.as_py(), kind) for p, (_, kind) in zip(packed, FIELDS)]
                 if not len(own[0]):
                     yield _found(own[2], own[3], own[4], own[4] + own[5] + np.int32(min_len - 1), own[1], False)
                     continue
-                for c, x in zip(cols, own):
-                    c.append(x)
-        if not cols[0]:
-            return
-        mu, seg, doc, digest, start, n, place = (np.concatenate(c) for c in cols)
-        keep = np.union1d(_repeated(mu), np.flatnonzero(n >= COPIED))
-        order = keep[_order(mu[keep], seg[keep], doc[keep], digest[keep], start[keep])]
-        order = order[~_same_as_before(*(c[order] for c in (mu, seg, doc, digest, start)))]  # equal rows
-        mu, seg, doc, digest, start, n, place = (c[order] for c in (mu, seg, doc, digest, start, n, place))
-        copy, has_copy = _same_as_before(mu, seg), n >= COPIED
-        finish = start + (n % COPIED) + np.int32(min_len - 1)
-        leads = np.flatnonzero(~copy)
-        if len(leads):
-            has_copy[leads] = np.maximum.reduceat(has_copy | copy, leads)
-        for part, first in ((copy, False), (~copy & has_copy, True)):
-            yield _found(doc[part], digest[part], start[part], finish[part], seg[part], first)
-        begins = np.flatnonzero(~_same_as_before(mu))
-        kinds = np.add.reduceat((~copy).astype(np.int64), begins) if len(begins) else begins
-        asked = np.flatnonzero((np.repeat(kinds, np.diff([*begins, len(mu)])) > 1) & ~copy)
-        yield _found(doc[asked], digest[asked], start[asked], finish[asked], mu[asked], True, place[asked])
+                if at != bucket:
+                    yield from _settle(held, wide, min_len)
+                    bucket, held, size, limit, wide = at, [], 0, held_rows, wide[:0]
+                held.append(own)
+                size += len(own[0])
+                if size >= limit:
+                    rows, copies = _reduced(held)
+                    yield _spans(copies, min_len, False)
+                    begins = np.flatnonzero(~_same_as_before(rows[0]))
+                    kinds = np.diff([*begins, len(rows[0])])
+                    wide = np.union1d(wide, rows[0][begins[kinds > held_rows // 4]])
+                    out = np.isin(rows[0], wide)
+                    yield from _open(_take(rows, out), min_len)
+                    held = [_take(rows, ~out)]
+                    size = len(held[0][0])
+                    limit = max(held_rows, 2 * size)
+        yield from _settle(held, wide, min_len)
 
     return run
 
 
+def _take(rows: list[np.ndarray], which: np.ndarray) -> list[np.ndarray]:
+    return [c[which] for c in rows]
+
+
+def _reduced(held: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The first of each kind of segment (equal anchor and segment), sorted by anchor
+    and marked COPIED if there is a later one, and the later ones; equal rows count once."""
+    rows = [np.concatenate(c) for c in zip(*held)]
+    rows = _take(rows, _order(*rows[:5]))
+    leads = np.flatnonzero(~_same_as_before(rows[0], rows[1]))
+    marked = np.maximum.reduceat(rows[5] & COPIED, leads) if len(leads) else rows[5]
+    rows[5] = (rows[5] & (COPIED - 1)) | np.repeat(marked, np.diff([*leads, len(rows[0])]))
+    rows = _take(rows, ~_same_as_before(*rows[:5]))
+    copy = _same_as_before(rows[0], rows[1])
+    rows[5][~copy & np.concatenate([copy[1:], [False]])[:len(copy)]] |= COPIED
+    return _take(rows, ~copy), _take(rows, copy)
+
+
+def _settle(held: list[list[np.ndarray]], wide: np.ndarray, min_len: int) -> Iterator[pa.RecordBatch]:
+    """What a whole bucket gives: repeated segments, and those of anchors with several kinds, whose text is asked for."""
+    if not held:
+        return
+    if len(wide):
+        rows = [np.concatenate(c) for c in zip(*held)]
+        out = np.isin(rows[0], wide)
+        yield from _open(_take(rows, out), min_len)
+        held = [_take(rows, ~out)]
+    mu, n = (np.concatenate([h[k] for h in held]) for k in (0, 5))
+    keep = np.union1d(_repeated(mu), np.flatnonzero(n >= COPIED))
+    rows, copies = _reduced([[np.concatenate(c)[keep] for c in zip(*held)]])
+    yield _spans(copies, min_len, False)
+    yield _spans(_take(rows, rows[5] >= COPIED), min_len, True)
+    same = _same_as_before(rows[0])
+    asked = _take(rows, same | np.concatenate([same[1:], [False]])[:len(same)])
+    yield _asked(asked, min_len)
+
+
+def _spans(rows: list[np.ndarray], min_len: int, first: bool, place: np.ndarray | None = None) -> pa.RecordBatch:
+    _, seg, doc, digest, start, n, _ = rows
+    return _found(doc, digest, start, start + (n & (COPIED - 1)) + np.int32(min_len - 1), seg, first, place)
+
+
+def _asked(rows: list[np.ndarray], min_len: int) -> pa.RecordBatch:
+    mu, _, doc, digest, start, n, place = rows
+    return _found(doc, digest, start, start + (n & (COPIED - 1)) + np.int32(min_len - 1), mu, True, place)
+
+
+def _open(rows: list[np.ndarray], min_len: int) -> Iterator[pa.RecordBatch]:
+    """Segments of an anchor with too many kinds for a task: their text is asked
+    for, and which of equal ones is the first is left to `maximal_repeats`."""
+    yield _asked(rows, min_len)
+    yield _spans(rows, min_len, False, np.where(rows[5] >= COPIED, OPEN_COPIED, OPEN))
+
+
 def _found(doc, digest, start, finish, group, first: bool, place=None) -> pa.RecordBatch:
     size = len(doc)
     return pa.RecordBatch.from_arrays(
@@ -445,7 +511,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def maximal_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_len: int = 100,
-                    max_bucket: int = 20_000) -> DataFrame:
+                    max_bucket: int = 20_000, bucket_bytes: int = BUCKET_BYTES, held_rows: int = HELD) -> DataFrame:
     """All occurrences of repeated strings: doc, digest, start, finish (bytes), group, first.
 
     ``group`` is a hash of the repeated string; of every group one occurrence,
@@ -456,23 +522,34 @@ def maximal_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError(f"min_len must lie in {K + 1}..{K + COPIED - 2}")
     texts = keyed(docs, id_col, text_col)
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = texts.where(F.octet_length("text") >= min_len).mapInArrow(_send_segments(min_len, buckets), SENT)
-    found = materialize(sent.repartition(buckets, "bucket").mapInArrow(_match_anchors(min_len), FOUND), "anchors")
-
-    asked = found.where("place is not null").groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "finish", "place")).alias("asked"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts_to_send = texts.where(F.octet_length("text") >= min_len)
+    n_bytes = texts_to_send.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(4 * tasks, -(-n_bytes // bucket_bytes))  # a task holds one bucket at a time, so this bounds its memory at any size
+    sent = texts_to_send.mapInArrow(_send_segments(min_len, buckets), SENT)
+    found = materialize(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+                        .mapInArrow(_match_anchors(min_len, held_rows), FOUND), "anchors")
+
+    asked = found.where("place >= 0").groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "finish", "place")).alias("asked"))
     with_text = texts.join(asked, ["doc", "digest"]).select("doc", "digest", "text", "asked")
     parts = materialize(with_text.mapInArrow(_cut_parts(min_len), PARTS), "parts")
     large = parts.groupBy("bucket").count().where(F.col("count") > max_bucket).select("bucket")
     groups = (parts.join(large, "bucket", "left_anti").select("bucket", "doc", "digest", "start", "bytes")
-              .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_suffix_arrays(min_len), FOUND))
+              .repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_suffix_arrays(min_len), FOUND))
     single = (parts.join(large, "bucket", "left_semi").select("bucket", "doc", "digest", "start", "bytes")
               .mapInArrow(_split_windows(min_len), FOUND).drop("first", "place"))
     firsts = single.groupBy("group").agg(F.min(F.struct("doc", "digest", "start")).alias("lead"), F.count("*").alias("times")).where("times > 1")
     split = single.join(firsts, "group").select(
         "doc", "digest", "start", "finish", "group", (F.struct("doc", "digest", "start") == F.col("lead")).alias("first"))
+    open_ = (found.where("place < 0").groupBy("group", "doc", "digest", "start", "finish")
+             .agg((F.min("place") == OPEN_COPIED).alias("copied")))
+    firsts = open_.groupBy("group").agg(F.min(F.struct("doc", "digest", "start")).alias("lead"), F.count("*").alias("times"),
+                                        F.max("copied").alias("known")).where("times > 1 OR known")
+    opened = open_.join(firsts, "group").select(
+        "doc", "digest", "start", "finish", "group", (F.struct("doc", "digest", "start") == F.col("lead")).alias("first"))
     columns = ["doc", "digest", "start", "finish", "group", "first"]
-    return found.where("place is null").select(columns).union(groups.select(columns)).union(split.select(columns))
+    return (found.where("place is null").select(columns).union(groups.select(columns)).union(split.select(columns))
+            .union(opened.select(columns)))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

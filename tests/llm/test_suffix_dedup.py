@@ -48,6 +48,27 @@ def test_equals_brute_force(make_docs, seed, max_bucket):
     assert result(S.repeated_bytes(make_docs(rows), max_bucket=max_bucket)) == brute(rows)
 
 
+@pytest.mark.parametrize("held_rows", [1, 4, 40])
+def test_reduced_buckets_and_wide_anchors(make_docs, held_rows):
+    rows = corpus(5)
+    assert result(S.repeated_bytes(make_docs(rows), held_rows=held_rows, bucket_bytes=500)) == brute(rows)
+
+
+def test_wide_anchor_has_one_first_occurrence(make_docs):
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(300))
+    rows = [(i, f"{rng.random()} {i % 30:050} {shared} {i % 30:050} {rng.random()}") for i in range(90)]
+    docs = make_docs(rows)
+    assert result(S.repeated_bytes(docs, held_rows=8)) == brute(rows)
+    texts = {i: t.encode() for i, t in rows}
+    groups = {}
+    for r in S.maximal_repeats(docs, held_rows=8).collect():
+        groups.setdefault(r["group"], []).append(r)
+    for own in groups.values():
+        assert len({texts[r["doc"]][r["start"]:r["finish"]] for r in own}) == 1
+        assert [r["first"] for r in sorted(own, key=lambda r: (r["doc"], r["start"]))] == [True] + [False] * (len(own) - 1)
+
+
 def test_given_documents(sf_docs):
     df, rows = sf_docs
     assert result(S.repeated_bytes(df)) == brute(rows)
