@@ -68,12 +68,15 @@ WITH t AS (
          len(list_distinct(w)) AS kinds,
          length(array_to_string(w, '')) AS visible,
          length(regexp_replace(line, '[^\p{L}\p{N}]', '', 'g')) AS letters,
-         regexp_matches(lower(line), 'all rights reserved|click here|cookie policy|enable javascript|lorem ipsum|privacy policy|read more|sign in|sign up|skip to content|subscribe to our|terms of service|terms of use') AS furniture
+         regexp_matches(lower(line), 'all rights reserved|click here|cookie policy|enable javascript|lorem ipsum|privacy policy|read more|sign in|sign up|skip to content|subscribe to our|terms of service|terms of use'
+           || '|alle rechte vorbehalten|cookie-richtlinie|datenschutzerklärung|hier klicken|impressum|jetzt anmelden|javascript aktivieren|mehr erfahren|newsletter abonnieren|nutzungsbedingungen|weiterlesen|zum inhalt springen'
+           || '|abonnez-vous|activer javascript|aller au contenu|cliquez ici|conditions générales|inscrivez-vous|lire la suite|mentions légales|politique de confidentialité|politique de cookies|se connecter|tous droits réservés'
+           || '|activar javascript|aviso legal|haga clic aquí|iniciar sesión|leer más|política de cookies|política de privacidad|regístrate|saltar al contenido|suscríbete|términos de uso|todos los derechos reservados') AS furniture
   FROM worded
 ), judged AS (
   SELECT doc_id, copy_no, visible,
-         (n >= 3 AND bars >= 3 AND 4 * bars >= n) OR (n >= 3 AND (marks >= n OR 2 * shouts >= n))
-         OR (n >= 12 AND 4 * kinds <= n) OR (n <= 12 AND furniture) OR (n BETWEEN 3 AND 12 AND 2 * letters < visible) AS bad
+         (n >= 3 AND bars >= CASE WHEN n <= 12 THEN 2 ELSE 3 END AND 4 * bars >= n) OR (n >= 3 AND (marks >= n OR 2 * shouts >= n))
+         OR (n >= 12 AND 4 * kinds <= n) OR (n <= 12 AND furniture) OR (n >= 3 AND 2 * letters < visible) AS bad
   FROM traits
 ), per_doc AS (
   SELECT doc_id, count(*) FILTER (copy_no > 1) AS n_dup_lines, count(*) FILTER (bad) AS n_bad_lines,

@@ -27,10 +27,17 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 WINDOW = 5
 
-#: Phrases of page furniture; a line of at most BOILERPLATE_WORDS words that holds one is dropped.
+#: Phrases of page furniture in the languages of the corpus (English, German, French, Spanish); a line of at most
+#: BOILERPLATE_WORDS words that holds one is dropped.
 BOILERPLATE = (
     "all rights reserved", "click here", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy",
     "read more", "sign in", "sign up", "skip to content", "subscribe to our", "terms of service", "terms of use",
+    "alle rechte vorbehalten", "cookie-richtlinie", "datenschutzerklärung", "hier klicken", "impressum", "jetzt anmelden",
+    "javascript aktivieren", "mehr erfahren", "newsletter abonnieren", "nutzungsbedingungen", "weiterlesen", "zum inhalt springen",
+    "abonnez-vous", "activer javascript", "aller au contenu", "cliquez ici", "conditions générales", "inscrivez-vous",
+    "lire la suite", "mentions légales", "politique de confidentialité", "politique de cookies", "se connecter", "tous droits réservés",
+    "activar javascript", "aviso legal", "haga clic aquí", "iniciar sesión", "leer más", "política de cookies",
+    "política de privacidad", "regístrate", "saltar al contenido", "suscríbete", "términos de uso", "todos los derechos reservados",
 )
 BOILERPLATE_WORDS = 12
 
@@ -42,11 +49,11 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
     """The rule that a line with words fails, or None.
 
     * navigation: link bars; at least 3 words that are only ``|``, ``>`` or
-      ``»``, and one in four words of the line
+      ``»`` (2 on a line of at most BOILERPLATE_WORDS words), and one in four
+      words of the line
     * punctuation: at least 3 words and as many marks of ``#*$%&<>`` as words,
-      or a shouted ``!!`` on half of the words, or, on a line of at most
-      BOILERPLATE_WORDS words, fewer letters and digits than half of the visible
-      characters
+      or a shouted ``!!`` on half of the words, or fewer letters and digits
+      than half of the visible characters
     * repetition: at least 12 words, and each distinct word four times on average
     * boilerplate: a short line that holds a phrase of page furniture
     """
@@ -54,19 +61,19 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
     if n >= 3:
         if "|" in line or ">" in line or "»" in line:
             bars = sum(w in (b"|", b">", b"\xc2\xbb") for w in words)
-            if bars >= 3 and 4 * bars >= n:
+            if bars >= (2 if n <= BOILERPLATE_WORDS else 3) and 4 * bars >= n:
                 return "navigation"
         if sum(map(line.count, "#*$%&<>")) >= n or 2 * line.count("!!") >= n:
             return "punctuation"
+        visible = len(line) - sum(map(line.count, SPACES))
+        if 2 * sum(map(str.isalnum, line)) < visible:
+            return "punctuation"
     if n >= 12 and 4 * len(set(words)) <= n:
         return "repetition"
     if n <= BOILERPLATE_WORDS:
         low = line.lower()
         if any(p in low for p in BOILERPLATE):
             return "boilerplate"
-        visible = sum(map(len, map(bytes.decode, words)))
-        if n >= 3 and 2 * sum(map(str.isalnum, line)) < visible:
-            return "punctuation"
     return None
 
 

@@ -41,6 +41,12 @@ def test_line_rules():
     assert fault("NOW!! OR!! NEVER!!") == "punctuation"
     assert fault("very " * 15) == "repetition"
     assert fault("Please read our Privacy Policy.") == "boilerplate"
+    assert fault("home | about | contact") == fault("start » hilfe » suche") == "navigation"
+    assert fault("of the three signs | and > used here in a long plain line, two are bars") is None
+    assert fault("~ @ ^ _ = + / : ; ? ( ) - ~ @ ^") == "punctuation"
+    assert fault("Alle Rechte vorbehalten.") == fault("TOUS DROITS RÉSERVÉS") == fault("Todos los derechos reservados") == "boilerplate"
+    assert fault("Lire la suite") == fault("Leer más »") == fault("Zum Inhalt springen") == "boilerplate"
+    assert fault("Der Tag, an dem alles begann, war ein Montag.") is None
     assert fault("A plain sentence, with a comma & a mark.") is None
     assert fault("x") is None
 
