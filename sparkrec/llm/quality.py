@@ -13,9 +13,11 @@ rows are read: no shuffle, and no group that could be hot.
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,6 +42,12 @@ BOILERPLATE = (
     "política de privacidad", "regístrate", "saltar al contenido", "suscríbete", "términos de uso", "todos los derechos reservados",
 )
 BOILERPLATE_WORDS = 12
+ASCII_ALNUM = (string.ascii_letters + string.digits).encode()
+
+PHRASES = ahocorasick.Automaton()
+for _phrase in BOILERPLATE:
+    PHRASES.add_word(_phrase, _phrase)
+PHRASES.make_automaton()
 
 SCHEMA = ("doc_id {id}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
           "kept boolean, n_bad_lines long, lost_chars long, clean_text string")
@@ -65,14 +73,14 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
                 return "navigation"
         if sum(map(line.count, "#*$%&<>")) >= n or 2 * line.count("!!") >= n:
             return "punctuation"
-        visible = len(line) - sum(map(line.count, SPACES))
-        if 2 * sum(map(str.isalnum, line)) < visible:
+        solid = b"".join(words)
+        plain = len(solid) - len(solid.translate(None, ASCII_ALNUM))  # most lines need no look at single characters
+        if 2 * plain < len(solid) and 2 * sum(map(str.isalnum, line)) < len(solid.decode()):
             return "punctuation"
     if n >= 12 and 4 * len(set(words)) <= n:
         return "repetition"
     if n <= BOILERPLATE_WORDS:
-        low = line.lower()
-        if any(p in low for p in BOILERPLATE):
+        if next(PHRASES.iter(line.lower()), None):
             return "boilerplate"
     return None
 
