@@ -62,6 +62,19 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or "app"
 
 
+#: Rows that one task sorts or aggregates, about.
+ROWS_PER_TASK = 500_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str, per_task: int | None = None) -> DataFrame:
+    """`df` dealt by `keys` over as many tasks as `rows` of them ask for.
+
+    A partition count that is named is not merged by AQE, which counts compressed
+    bytes: 64 MB of them are gigabytes in a task that sorts or multiplies the rows."""
+    least = min(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(least, -(-rows // (per_task or ROWS_PER_TASK))), *keys)
+
+
 def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
     """Write `df` as Parquet under the shared checkpoint folder and read it back.
 

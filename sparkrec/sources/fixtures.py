@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import AGE_CODES
+from sparkrec.session import spread
 from sparkrec.sources.tables import read_table
 
 # Fixed values of the derivation: rating_id = user_id * 1,000,000,000 + item_id (ids
@@ -62,11 +63,15 @@ def _with_rating_id(df: DataFrame) -> DataFrame:
 
 def ratings_r1_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse ratings: user = o_custkey, item = l_partkey,
-    rating = ceil(l_quantity / 5) * 0.5, time = o_orderdate."""
+    rating = ceil(l_quantity / 5) * 0.5, time = o_orderdate.
+
+    The orders are joined in tasks of a bounded number of lines: the aggregation
+    sorts what a task has joined."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    lines = li.count()  # from the files' footers
+    j = spread(li, lines, "l_orderkey").join(spread(o, lines, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     latest = j.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).agg(
         F.max(F.struct("o_orderdate", "l_orderkey", "l_linenumber", "l_quantity")).alias("m"))
     return _with_rating_id(latest.select(
