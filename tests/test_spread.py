@@ -47,3 +47,18 @@ def test_orders_are_joined_in_tasks_of_bounded_lines(spark, monkeypatch, tmp_pat
         if (o := i % 300) < 250:
             last[o % 20, i % 50] = max(last.get((o % 20, i % 50), (-1,)), (o, i, i % 50 + 1))
     assert {(r.user_id, r.item_id): r.rating for r in got.collect()} == {k: -(-v[2] // 5) * 0.5 for k, v in last.items()}
+
+
+@pytest.mark.parametrize("raters", [7, 100_000])
+def test_pairs_are_shuffled_packed(spark, monkeypatch, raters):
+    _, train = _hot_pairs(spark)
+    seed = train.groupBy("item_id").agg(F.min("rating").alias("x")).select("item_id", (-F.col("item_id")).alias("seed_rank"))
+    for pairs in (sim_ops.item_similarities, sim_ops.pair_similarity_batch):
+        monkeypatch.setattr(sim_ops, "FEW_PAIRS", 10 ** 9)
+        want = sorted(pairs(train, seed, min_common=2).collect())
+        monkeypatch.setattr(sim_ops, "FEW_PAIRS", 0)
+        monkeypatch.setattr(sim_ops, "MANY_RATERS", raters)
+        for block in (16, 512):
+            packed = pairs(train, seed, min_common=2, block=block)
+            assert not re.search(r"hashpartitioning\([^()]*item_id_2", _plan(packed))
+            assert sorted(packed.collect()) == want
