@@ -32,6 +32,24 @@ def _hits(sims, rows):
     return sum(degree.get(i, 0) for _, i, r in rows if r >= 4.0)
 
 
+def test_cf_tasks_follow_the_multiplied_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    rows, train = _hot_pairs(spark)
+    sims = session.materialize(sim_ops.item_similarities(train, train.select("item_id").distinct(), min_common=2), "sims")
+    want = -(-(_hits(sims, rows) + len(rows)) // 100)
+    for recs in (sim_ops.cf_pool(train, sims), sim_ops.cf_predicted_rating(train, sims)):
+        assert _dealt(recs) == {"user_id, dst": want}
+        assert not recs.join(train, ["user_id", "item_id"], "left_semi").count()
+
+
+def test_cf_rated_items_of_a_null_user(spark):
+    """A null user equals no other: none of its ratings takes a target out."""
+    sims = spark.createDataFrame([(1, 2, 5, 0.5), (2, 3, 5, 0.25)], "item_id_1 long, item_id_2 long, common_users long, similarity_score double")
+    train = spark.createDataFrame([(None, 1, 4.0), (None, 2, 4.0), (8, 1, 4.0), (8, 2, 4.0)], "user_id long, item_id long, rating double")
+    got = {(r.user_id, r.item_id): (r.recommendation_score, r.based_on_items) for r in sim_ops.cf_pool(train, sims).collect()}
+    assert got == {(None, 1): (0.4, "2"), (None, 2): (0.4, "1"), (None, 3): (0.2, "2"), (8, 3): (0.2, "2")}
+
+
 def test_orders_are_joined_in_tasks_of_bounded_lines(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
     lines = spark.range(1000).select((F.col("id") % 300).alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"),
