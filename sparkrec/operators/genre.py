@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from sparkrec.functions.columns import round_half_up
 from sparkrec.operators.popularity import item_stats
 from sparkrec.operators.ranking import join_on_rank, rank_within_groups, top_n_per
+from sparkrec.session import spread
 
 # Rows of the per-genre ranked lists that may go through a broadcast join.
 LOW_RANK_ROWS = 100_000
 
 
+def _by_user(ratings: DataFrame, lists: DataFrame) -> DataFrame:
+    """The ratings with their items' `_genres` (one list per item), dealt by user.
+
+    A rating is one row until it is at its user's task, so neither shuffle grows with
+    the genres of an item; what a task sums is one row per user and genre."""
+    return spread(ratings.join(lists, "item_id"), ratings.count(), "user_id")
+
+
 def _genre_scores(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
                   users: DataFrame | None, min_per_genre: int) -> DataFrame:
     """(user, genre): rating_count, rating sum (= count * avg) over the
@@ -20,7 +29,8 @@ def _genre_scores(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
     r = train.select("user_id", "item_id", "rating")
     if users is not None:
         r = r.join(users.select("user_id"), "user_id", "left_semi")
-    g = (r.join(item_genres, "item_id")
+    lists = item_genres.groupBy("item_id").agg(F.collect_list("genre_id").alias("_genres"))
+    g = (_by_user(r, lists).select("user_id", "rating", F.explode("_genres").alias("genre_id"))
          .groupBy("user_id", "genre_id")
          .agg(F.count(F.lit(1)).alias("rating_count"), F.sum("rating").alias("pref"))
          .filter(F.col("rating_count") >= min_per_genre))
@@ -55,8 +65,9 @@ def _genre_budgets(train: DataFrame, item_genres: DataFrame, genres: DataFrame,
     r = train.select("user_id", "item_id", "rating")
     if users is not None:
         r = r.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    marked = bridge.select("item_id", "genre_id", "_copies", F.col("weighted_rating").isNotNull().cast("int").alias("_ranked"))
-    g = (r.join(marked, "item_id").groupBy("user_id", "genre_id")
+    marked = bridge.select("item_id", F.struct("genre_id", "_copies", F.col("weighted_rating").isNotNull().cast("int").alias("_ranked")).alias("g"))
+    lists = marked.groupBy("item_id").agg(F.collect_list("g").alias("_genres"))
+    g = (_by_user(r, lists).select("user_id", "rating", F.inline("_genres")).groupBy("user_id", "genre_id")
          .agg(F.sum("_copies").alias("_n"), F.sum(F.col("rating") * F.col("_copies")).alias("pref"), F.sum("_ranked").alias("_w"))
          .filter(F.col("_n") >= min_per_genre).join(genres, "genre_id"))
     top = top_n_per(g, ["user_id"], [F.col("pref").desc(), F.col("genre_name")], top_n)

@@ -50,6 +50,25 @@ def test_cf_rated_items_of_a_null_user(spark):
     assert got == {(None, 1): (0.4, "2"), (None, 2): (0.4, "1"), (None, 3): (0.2, "2"), (8, 3): (0.2, "2")}
 
 
+def test_genre_tasks_follow_the_ratings(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    rows, train = _hot_pairs(spark)
+    bridge = spark.createDataFrame([(i, i % 7) for i in range(400)] + [(i, i % 3) for i in range(400)], "item_id long, genre_id int")
+    genres = spark.createDataFrame([(g, f"g{g}") for g in range(7)], "genre_id int, genre_name string")
+    n = -(-len(rows) // 10)
+    got = genre_ops.user_genre_preference(train, bridge, genres, min_per_genre=1, top_n=7)
+    assert _dealt(got) == {"user_id": n}
+    want = {}
+    for u, i, r in rows:
+        for g in (i % 7, i % 3):
+            c, t = want.get((u, f"g{g}"), (0, 0.0))
+            want[u, f"g{g}"] = (c + 1, t + r)
+    assert {(r.user_id, r.genre_name): (r.rating_count, r.preference_score) for r in got.collect()} == want
+    budget = genre_ops._genre_budgets(train, bridge, genres, train.select("item_id", F.lit(1.0).alias("weighted_rating")).distinct(), None, 1, 7)[0]
+    assert _dealt(budget) == {"user_id": n}
+    assert {(r.user_id, r.genre_name): r.pref for r in budget.collect()} == {k: t for k, (_, t) in want.items()}
+
+
 def test_orders_are_joined_in_tasks_of_bounded_lines(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
     lines = spark.range(1000).select((F.col("id") % 300).alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"),
