@@ -99,3 +99,12 @@ def test_pairs_are_shuffled_packed(spark, monkeypatch, raters):
             packed = pairs(train, seed, min_common=2, block=block)
             assert not re.search(r"hashpartitioning\([^()]*item_id_2", _plan(packed))
             assert sorted(packed.collect()) == want
+
+
+def test_residuals_are_not_shuffled_by_factor(spark):
+    _, train = _hot_pairs(spark)
+    got = fac.svd_residuals(fac.svd_train(train, k=5), train)
+    assert not re.search(r"hashpartitioning\((user|item)_id#\d+L?, factor", _plan(got))
+    rows = got.collect()
+    assert sorted(r.factor for r in rows) == list(range(5))
+    assert all(r.user_residual < 1e-9 and r.item_residual <= 1e-6 and abs(r.length - 1) < 1e-9 for r in rows)
