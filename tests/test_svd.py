@@ -152,3 +152,42 @@ def test_blocks_and_slices_do_not_matter(spark, monkeypatch):
     best = b.sort_values(["user_id", "predicted_rating", "item_idx"], ascending=[True, False, True]).groupby("user_id").head(10)
     assert set(map(tuple, best[["user_id", "item_idx"]].to_numpy())) == set(map(tuple, a[["user_id", "item_idx"]].to_numpy()))
     assert len(want) == 400
+
+
+@pytest.mark.parametrize("columns", [0, 2])
+def test_frequent_singular_values_converge(spark, monkeypatch, columns):
+    """A singular value that is more frequent than the block of vectors is wide: vectors
+    as tables of blocks, products shuffled or sent by the driver a few columns at a time;
+    rows above the bound for long ones."""
+    monkeypatch.setattr(fac, "BLOCK", 256)
+    monkeypatch.setattr(fac, "LONG_ROW", 10)
+    monkeypatch.setattr(fac, "MOST_PRODUCTS", 150)
+    rng = np.random.default_rng(5)
+    cells = {(u, i): float(r) for u, i, r in zip(rng.integers(0, 12, 90).tolist(), rng.integers(0, 15, 90).tolist(), rng.integers(1, 11, 90) / 2)}
+    copies = 40
+    train = spark.createDataFrame([(12 * c + u, 15 * c + i, r) for c in range(copies) for (u, i), r in cells.items()],
+                                  "user_id long, item_id long, rating double")
+    a = np.zeros((12, 15))
+    for (u, i), r in cells.items():
+        a[u, i] = r - np.mean(list(cells.values()))
+    best = np.repeat(np.linalg.svd(a, compute_uv=False), copies)[:2]
+    m = fac.svd_train(train, k=2, local_bytes=24 * 15 * copies * columns)
+    assert m.residual <= 1e-6
+    np.testing.assert_allclose(m.singular_values, best, rtol=1e-9)
+    assert all(abs(r["length"] - 1) < 1e-9 and r["item_residual"] <= 1e-6 and r["user_residual"] < 1e-9
+               for r in fac.svd_residuals(m, train).collect())
+
+
+def test_jagged_rows_times_vectors():
+    """Packed by key, with a long key and with more values than a byte numbers."""
+    rng = np.random.default_rng(1)
+    for n_values in (10, 10_000):
+        key = np.sort(np.concatenate([rng.integers(0, 50, 2_000), np.full(30_000, 50)]))
+        other, v = rng.integers(0, 300, len(key)), rng.integers(0, n_values, len(key)) / 7
+        x = rng.standard_normal((300, 3))
+        want, got = np.zeros((51, 3)), np.zeros((51, 3))
+        np.add.at(want, key, v[:, None] * x[other])
+        for b in fac._jagged(key, other, v):
+            ids, *packed = (np.frombuffer(c[0].as_py(), t) for c, t in zip(b.columns, (np.int32, np.int32, np.int32, np.float64, np.uint8)))
+            got[ids] = fac._jagged_times(*packed, x)
+        np.testing.assert_allclose(got, want, atol=1e-8)
